@@ -43,12 +43,18 @@ def running_offsets(counts: DataFrame, bucket: str, size: str, by: list[str] | N
 
 
 def number_within(
-    df: DataFrame, bucket: Column, order_by: list[str], number: str, by: list[str] | None = None
+    df: DataFrame,
+    bucket: Column,
+    order_by: list[str],
+    number: str,
+    by: list[str] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Zero-based dense number in (bucket, order) sequence, restarting per ``by`` group.
 
     ``bucket`` must rise with the order and take at most MAX_BUCKETS values. A hot
     group is spread over its buckets, so no task numbers more than one of them.
+    ``total`` also adds the row count of the group, which the bucket counts give for free.
     """
     keyed = df.withColumn("__bucket", bucket)
     keys = ["__bucket"]
@@ -57,7 +63,10 @@ def number_within(
         keyed = keyed.withColumn("__by", F.struct(*by))
         keys = ["__by", "__bucket"]
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
-    offsets = running_offsets(counts, "__bucket", "__size", keys[:-1]).drop("__size")
+    offsets = running_offsets(counts, "__bucket", "__size", keys[:-1])
+    if total:
+        offsets = offsets.withColumn(total, F.sum("__size").over(Window.partitionBy(*keys[:-1])))
+    offsets = offsets.drop("__size")
     if not by:
         offsets = F.broadcast(offsets)  # at most MAX_BUCKETS rows of two numbers
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by)) - 1
