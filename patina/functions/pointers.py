@@ -6,7 +6,7 @@ nested column reference, so Catalyst can prune to the one leaf it reads.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,38 +138,65 @@ def get_path(schema: T.StructType, pointer: str, prefix: str | None = None) -> C
     return F.expr(sql_ref(schema, pointer, prefix))
 
 
-def _replaced(
-    col: Column, dtype: T.DataType, tokens: list[str], pointer: str, edit: Callable[[Column], Column]
-) -> Column:
-    if not tokens:
-        return edit(col)
-    inner, key = _child(dtype, tokens[0], pointer)
+Edit = Callable[[Column], Column]
+
+
+def _rebuilt(col: Column, dtype: T.DataType, edits: dict[tuple[str, ...], Edit], pointer: str) -> Column:
+    """``col`` with every edit below it applied, opening each struct and array once."""
+    if () in edits:
+        return edits[()](col)
+    below: dict[str, dict] = {}
+    for tokens, edit in edits.items():
+        below.setdefault(tokens[0], {})[tokens[1:]] = edit
+    if isinstance(dtype, T.StructType):
+        out = col
+        for name, inner in below.items():
+            child, _ = _child(dtype, name, pointer)
+            out = out.withField(quoted(name), _rebuilt(col.getField(name), child, inner, pointer))
+        return out
+    keys = {name: _child(dtype, name, pointer) for name in below}
+
+    def change(value: Column, place: Column) -> Column:
+        out = None
+        for name, inner in below.items():
+            child, key = keys[name]
+            new, here = _rebuilt(value, child, inner, pointer), place == F.lit(key)
+            out = F.when(here, new) if out is None else out.when(here, new)
+        return out.otherwise(value)
+
     if isinstance(dtype, T.ArrayType):
-        return F.transform(
-            col,
-            lambda x, k: F.when(
-                k == F.lit(key), _replaced(x, inner, tokens[1:], pointer, edit)
-            ).otherwise(x),
-        )
-    if isinstance(dtype, T.MapType):
-        return F.transform_values(
-            col,
-            lambda k, x: F.when(
-                k == F.lit(key), _replaced(x, inner, tokens[1:], pointer, edit)
-            ).otherwise(x),
-        )
-    value = _replaced(col.getField(tokens[0]), inner, tokens[1:], pointer, edit)
-    return col.withField(quoted(tokens[0]), value)
-
-
-def edit_path(df: DataFrame, pointer: str, edit: Callable[[Column], Column]) -> DataFrame:
+        return F.transform(col, lambda value, place: change(value, place))
+    return F.transform_values(col, lambda place, value: change(value, place))
+
+
+def edit_paths(df: DataFrame, edits: Mapping[str, Edit]) -> DataFrame:
+    """Rewrite several places at once; each edit sees the value before any of them.
+
+    Every struct on the way is rebuilt once, so plans grow with the number of edits.
+    """
+    by_column: dict[str, dict[tuple[str, ...], Edit]] = {}
+    for pointer, edit in edits.items():
+        type_at(df.schema, pointer)  # raises when there is no such place
+        name, *rest = split(pointer)
+        by_column.setdefault(name, {})[tuple(rest)] = edit
+    return df.withColumns(
+        {
+            name: _rebuilt(F.col(quoted(name)), df.schema[name].dataType, inner, join(name))
+            for name, inner in by_column.items()
+        }
+    )
+
+
+def edit_path(df: DataFrame, pointer: str, edit: Edit) -> DataFrame:
     """Rewrite the value at ``pointer`` with ``edit(old)``; the place must exist."""
-    tokens = split(pointer)
-    dtype, _ = _child(df.schema, tokens[0], pointer)
-    new = _replaced(F.col(quoted(tokens[0])), dtype, tokens[1:], pointer, edit)
-    return df.withColumn(tokens[0], new)
+    return edit_paths(df, {pointer: edit})
+
+
+def set_paths(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    """Replace the values at several places; raises when one does not exist."""
+    return edit_paths(df, {p: (lambda _old, v=v: v) for p, v in values.items()})
 
 
 def set_path(df: DataFrame, pointer: str, value: Column) -> DataFrame:
     """Replace the value at ``pointer``; raises when the place does not exist."""
-    return edit_path(df, pointer, lambda _old: value)
+    return set_paths(df, {pointer: value})

@@ -78,6 +78,20 @@ def number_within(
     )
 
 
+def with_running_start(df: DataFrame, size: str, start: str, rows: int) -> DataFrame:
+    """Add ``start``: the sum of ``size`` over all rows of lower record index."""
+    keyed = df.withColumn("__bucket", index_bucket(bucket_width(rows)))
+    before = Window.partitionBy("__bucket").orderBy(INDEX).rowsBetween(Window.unboundedPreceding, -1)
+    sums = keyed.groupBy("__bucket").agg(F.sum(size).alias("__size"))
+    offsets = running_offsets(sums, "__bucket", "__size").drop("__size")
+    return (
+        keyed.withColumn("__local", F.coalesce(F.sum(size).over(before), F.lit(0)))
+        .join(F.broadcast(offsets), "__bucket")  # at most MAX_BUCKETS rows of two numbers
+        .withColumn(start, F.col("offset") + F.col("__local"))
+        .drop("__bucket", "__local", "offset")
+    )
+
+
 def _range_bucket(df: DataFrame, order_by: list[str], rows: int, bucket_rows: int) -> Column:
     """Bucket number by order key, from cut points in a small keyed sample.
 

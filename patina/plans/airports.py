@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patina.collection import INDEX, Collection
-from patina.functions.pointers import get_path, join, set_path, type_at
+from patina.functions.pointers import get_path, join, set_paths, type_at
 from patina.operators import synthesize as S
 
 # Fixed names of the nested schema.
@@ -42,18 +42,22 @@ def recombine_airports(source: Collection, seed: int) -> Collection:
     rows = S.stratum_donor(source, stratum(), seed, ("a", "b"), [STATS], distinct_pair=True)
     w = S.blend_weight(seed, 0.25, 0.75)
     donors = T.StructType([source.df.schema[STATS]])
+    values = {}
     for group in GROUPS:
         names, has_total = members(source.schema, group)
+        blended = []
         for n in names:
             p = join(STATS, group, n)
             a, b = get_path(donors, p, "donor_a"), get_path(donors, p, "donor_b")
-            rows = set_path(rows, p, F.bround(S.blend(w, a, b), 0).cast(type_at(source.schema, p)))
+            blended.append(F.bround(S.blend(w, a, b), 0).cast(type_at(source.schema, p)))
+            values[p] = blended[-1]
         if has_total:
             p = join(STATS, group, "Total")
-            rows = set_path(rows, p, group_sum(source.schema, group).cast(type_at(source.schema, p)))
-    rows = set_path(rows, ROSTER, get_path(donors, ROSTER, "donor_a"))
-    size = S.list_length(get_path(source.schema, ROSTER)).cast(type_at(source.schema, ROSTER_SIZE))
-    rows = set_path(rows, ROSTER_SIZE, size)
+            values[p] = reduce(lambda x, y: x + y, blended).cast(type_at(source.schema, p))
+    roster = get_path(donors, ROSTER, "donor_a")
+    values[ROSTER] = roster
+    values[ROSTER_SIZE] = S.list_length(roster).cast(type_at(source.schema, ROSTER_SIZE))
+    rows = set_paths(rows, values)
     return source.with_df(rows.select(*source.df.columns), source.rows)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from patina.collection import INDEX, Collection
 from patina.errors import PatinaError
 from patina.functions.pointers import MAX_DEPTH, escape, get_path, split, type_at
+from patina.operators import order
 
 PROBED_ITEMS = 20
 
@@ -53,6 +54,8 @@ def discover_collections(df: DataFrame) -> DataFrame:
 def select_collection(df: DataFrame, record_path: str | None = None) -> Collection:
     """Records of one collection; ``record_index`` is the position in its array.
 
+    A table of several containers must have its own ``record_index``: records are then
+    numbered container after container.
     Without a path: the collection with most records, the shallowest if they tie. A
     container without any array of objects is itself the single record.
     """
@@ -66,9 +69,17 @@ def select_collection(df: DataFrame, record_path: str | None = None) -> Collecti
     dtype = type_at(df.schema, record_path)
     if not (isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType)):
         raise PatinaError(f"{record_path!r} is not an array of objects")
-    exploded = df.select(F.posexplode(get_path(df.schema, record_path)).alias("pos", "rec"))
-    out = exploded.select("rec.*", F.col("pos").cast("bigint").alias(INDEX))
-    return Collection(out, record_path, {"format": "json"})
+    records = get_path(df.schema, record_path)
+    if INDEX in df.columns:
+        sized = df.select(INDEX, records.alias("__records"))
+        sized = sized.withColumn("__count", F.coalesce(F.size("__records"), F.lit(0)))
+        containers = (df.agg(F.max(INDEX)).head()[0] or 0) + 1
+        placed = order.with_running_start(sized, "__count", "__start", containers)
+    else:
+        placed = df.select(records.alias("__records"), F.lit(0).alias("__start"))
+    exploded = placed.select("__start", F.posexplode("__records").alias("pos", "rec"))
+    index = (F.col("__start") + F.col("pos")).cast("bigint").alias(INDEX)
+    return Collection(exploded.select("rec.*", index), record_path, {"format": "json"})
 
 
 def explode_documents(docs: DataFrame, record_path: str | None, variant: bool) -> Collection:

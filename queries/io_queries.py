@@ -45,11 +45,12 @@ def collections(spark, sf_dir):
 
 @query(
     "select_collection",
-    f"""WITH {LINES_SQL} SELECT k AS record_index, CAST(k AS INTEGER) AS no, line FROM l""",
+    f"""WITH {LINES_SQL} SELECT row_number() OVER (ORDER BY doc_id, k) - 1 AS record_index, CAST(k AS INTEGER) AS no, line FROM l""",
 )
 def select_collection(spark, sf_dir):
-    """One collection of every document; the position in its array is the record index."""
-    return C.select_collection(container(spark, sf_dir), "/lines").df
+    """One collection of every document, numbered document after document."""
+    docs = container(spark, sf_dir).withColumn("record_index", F.col("doc_id"))
+    return C.select_collection(docs, "/lines").df
 
 
 @query(
