@@ -30,10 +30,8 @@ def audit(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 def failures(df: DataFrame, rules: Mapping[str, Column], keys: Sequence[str] = (INDEX,)) -> DataFrame:
     """(keys..., rule) for every broken rule of every row."""
-    broken = F.array_compact(
-        F.array(*[F.when(~F.coalesce(t, F.lit(False)), F.lit(name)) for name, t in rules.items()])
-    )
-    return df.select(*keys, F.explode(broken).alias("rule"))
+    broken = F.array(*[F.when(~F.coalesce(t, F.lit(False)), F.lit(name)) for name, t in rules.items()])
+    return df.select(*keys, F.explode(broken).alias("rule")).where("rule IS NOT NULL")
 
 
 def first_failures(found: DataFrame, limit: int = EVIDENCE_LIMIT) -> DataFrame:

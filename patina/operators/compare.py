@@ -41,7 +41,7 @@ def _present_keys(coll: Collection, paths: Sequence[str]) -> DataFrame:
         )
     if not made:
         return coll.df.sparkSession.createDataFrame([], "path string, value_key string")
-    return coll.df.select(F.explode(F.array_compact(F.array(*made))).alias("k")).select("k.*")
+    return coll.df.select(F.explode(F.array(*made)).alias("k")).where("k IS NOT NULL").select("k.*")
 
 
 def identifier_overlap(source: Collection, clean: Collection, paths: Sequence[str]) -> DataFrame:

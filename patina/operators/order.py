@@ -12,13 +12,16 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patina.collection import INDEX
+from patina.collection import INDEX, Collection
 from patina.errors import PatinaError
 from patina.functions.pointers import quoted
+from patina.functions.values import sql_literal
+from patina.operators.stage import stage
 
 MAX_BUCKETS = 8192
 MIN_BUCKET_ROWS = 32_768
 SAMPLES_PER_BUCKET = 32
+RANGE_BUCKETS = 2048  # cut points become one expression, so there are fewer of them
 BROADCAST_FILES = 100_000  # offsets of this many files stay under 20 MB
 
 
@@ -98,7 +101,7 @@ def _range_bucket(df: DataFrame, order_by: list[str], rows: int, bucket_rows: in
     Cut points decide only how evenly work spreads; any cut points give the same
     numbering. The sample is about SAMPLES_PER_BUCKET rows of key columns a bucket.
     """
-    buckets = min(MAX_BUCKETS, math.ceil(rows / bucket_rows))
+    buckets = min(RANGE_BUCKETS, math.ceil(rows / bucket_rows))
     if buckets <= 1:
         return F.lit(0)
     keys = df.select(*order_by)
@@ -109,21 +112,34 @@ def _range_bucket(df: DataFrame, order_by: list[str], rows: int, bucket_rows: in
     cuts = sorted({tuple(sample[len(sample) * b // buckets]) for b in range(1, buckets)}) if sample else []
     if not cuts:
         return F.lit(0)
-    names = [f"k{j}" for j in range(len(order_by))]
     types = [df.schema[c].dataType for c in order_by]
-    key = F.struct(*[F.col(quoted(c)).alias(n) for c, n in zip(order_by, names)])
-
-    def cut_struct(cut: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(cut, types, names)])
-
-    # Two-level search: first the group of cuts, then the cut inside it.
-    step = max(1, math.isqrt(len(cuts)))
-    groups = [cuts[j : j + step] for j in range(0, len(cuts), step)]
-    heads = F.array(*[cut_struct(g[0]) for g in groups])
-    members = F.array(*[F.array(*[cut_struct(c) for c in g]) for g in groups])
-    group = F.size(F.filter(heads, lambda c: c <= key))
-    inside = F.size(F.filter(F.get(members, group - 1), lambda c: c <= key))
-    return F.when(group == 0, F.lit(0)).otherwise((group - 1) * F.lit(step) + inside)
+
+    def before(cut: tuple) -> str:
+        """SQL for "the row's key sorts before this cut" (nulls sort first)."""
+        test = ""
+        for name, value, dtype in reversed(list(zip(order_by, cut, types))):
+            ref, literal = quoted(name), sql_literal(value, dtype)
+            later = f" OR ({ref} = {literal} AND ({test}))" if test else ""
+            test = f"{ref} IS NULL OR {ref} < {literal}{later}"
+        return test
+
+    def search(lo: int, hi: int) -> str:
+        """Binary search over cuts[lo:hi] as nested CASE, which Spark compiles."""
+        if lo == hi:
+            return str(lo)
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {before(cuts[mid])} THEN {search(lo, mid)} ELSE {search(mid + 1, hi)} END"
+
+    return F.expr(search(0, len(cuts)))
+
+
+def numbered(df: DataFrame, order_by: list[str], record_path: str = "") -> Collection:
+    """``with_record_index`` written to the checkpoint folder once, with its row count.
+
+    Numbering costs a sort of the table, so later jobs should read it, not repeat it.
+    """
+    staged = stage(with_record_index(df, order_by))
+    return Collection(staged, record_path)
 
 
 def with_record_index(

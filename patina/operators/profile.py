@@ -28,8 +28,7 @@ SPLIT_INTERLEAVED = 0.8
 SPLIT_GROUPED = 0.1
 STEP_SHARE = 0.9
 MONOTONE_SHARE = 0.98
-SKETCH_CUTS = 512
-CUT_STEP = 23  # about the square root of SKETCH_CUTS
+SKETCH_CUTS = 512  # a power of two
 
 
 def _paths(coll: Collection, paths: Sequence[str] | None) -> list[str]:
@@ -158,7 +157,7 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool) -> DataFrame:
             )
         )
     index = F.lit(None).cast("bigint") if edge else F.col(INDEX)
-    cells = df.select(index.alias("at"), F.explode(F.array_compact(F.array(*made))).alias("c"))
+    cells = df.select(index.alias("at"), F.explode(F.array(*made)).alias("c")).where("c IS NOT NULL")
     cells = cells.select("at", "c.*").withColumns(
         {"suffix": F.expr(_suffix("cur")), "prev_suffix": F.expr(_suffix("prev"))}
     )
@@ -464,23 +463,16 @@ def numeric_distribution(vt: DataFrame) -> DataFrame:
             F.expr(f"array_distinct(percentile_approx(num, array({cuts}), {4 * SKETCH_CUTS})) AS cuts"),
         )
         .where("parsed = total AND parsed > 0")
-        .selectExpr(
-            "path",
-            "total",
-            "cuts",
-            # Every CUT_STEP-th cut, for a two-level search.
-            f"transform(sequence(0, (size(cuts) - 1) div {CUT_STEP}), k -> cuts[k * {CUT_STEP}]) AS heads",
-        )
-    )
-    coarse = "size(filter(heads, c -> c <= num))"
-    fine = f"size(filter(slice(cuts, greatest({coarse} - 1, 0) * {CUT_STEP} + 1, {CUT_STEP}), c -> c <= num))"
-    ranged = num.join(F.broadcast(totals), "path").selectExpr(  # one row a path
-        "path",
-        "total",
-        "num",
-        "n",
-        f"CASE WHEN {coarse} = 0 THEN 0 ELSE ({coarse} - 1) * {CUT_STEP} + {fine} END AS rng",
+        .select("path", "total", "cuts")
     )
+    ranged = num.join(F.broadcast(totals), "path").withColumn("rng", F.lit(0))  # one row a path
+    step = SKETCH_CUTS // 2
+    while step:  # binary search: how many cuts are at most the number
+        ranged = ranged.withColumn(
+            "rng", F.expr(f"rng + CASE WHEN get(cuts, rng + {step - 1}) <= num THEN {step} ELSE 0 END")
+        )
+        step //= 2
+    ranged = ranged.select("path", "total", "num", "n", "rng")
     sizes = ranged.groupBy("path", "rng").agg(F.expr("sum(n) AS size"), F.expr("first(total) AS total"))
     asked = ", ".join(
         f"struct('{name}' AS name, (total - 1) * {p}D AS pos)" for name, p in QUANTILES.items()

@@ -194,7 +194,9 @@ def dirty_coverage(spark, sf_dir):
 
 # ---------------------------------------------------------------- applying
 
-DATE_TEXT = F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
+def date_text():
+    return F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
+
 
 
 @query(
@@ -205,7 +207,7 @@ DATE_TEXT = F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
 def apply_patches(spark, sf_dir):
     *_, dirty = orders_dirty(spark, sf_dir)
     return dirty.df.select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", DATE_TEXT, "o_orderpriority"
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", date_text(), "o_orderpriority"
     )
 
 

@@ -90,7 +90,7 @@ def quantile_sql(tab: str, col: str) -> str:
 def profile_numeric(spark, sf_dir):
     c = table(spark, sf_dir, "lineitem")
     vt = P.value_table(c, ["/" + n for n in NUMERIC_COLUMNS], ordered=False)
-    return P.numeric_distribution(vt)
+    return P.numeric_distribution(vt.persist())  # read three times
 
 
 # ---------------------------------------------------------------- patterns and ranges
@@ -368,8 +368,7 @@ LINE_COLS = {"l_orderkey": "int", "l_linenumber": "int", "l_returnflag": "text",
 )
 def order_profile_by_key(spark, sf_dir):
     """Row order from a composite key instead of the file."""
-    df = order.with_record_index(read(spark, sf_dir, "lineitem"), LINE_KEY)
-    c = Collection(df, "lineitem")
+    c = order.numbered(read(spark, sf_dir, "lineitem"), LINE_KEY, "lineitem")
     return P.order_profile(P.value_table(c, ["/" + x for x in LINE_COLS])).withColumn(
         "record_path", F.lit("lineitem")
     )
