@@ -70,9 +70,9 @@ def variant_cells(coll: Collection, column: str = "record", structural: bool = F
             level = level.where(opened)
         if depth == MAX_DEPTH or (depth > 0 and level.isEmpty()):
             break
-        level.createOrReplaceTempView("__patina_level")
-        down = spark.sql(
-            f"SELECT {INDEX}, value AS v, key, path FROM __patina_level, LATERAL variant_explode(v)"
+        opened_rows = level.withColumnRenamed("v", "__parent")
+        down = opened_rows.lateralJoin(spark.tvf.variant_explode(F.col("__parent").outer())).select(
+            INDEX, F.col("value").alias("v"), "key", "path"
         )
         token = F.replace(F.replace("key", F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
         level = down.select(

@@ -22,6 +22,7 @@ from patina.operators import order
 
 QUANTILES = {"min": 0.0, "p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "max": 1.0}
 LONG_TEXT = 256  # longer values are grouped by their SHA-256 instead of themselves
+SUFFIX_BIT = 128  # in pattern_bits, after the seven patterns: the text ends in digits
 TOP_VALUES = 20
 FEW_VALUES = 50
 SPLIT_INTERLEAVED = 0.8
@@ -167,6 +168,7 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool) -> DataFrame:
     if not edge:
         for k, hit in enumerate(V.pattern_flags(F.col("cur")).values()):
             bits = bits + F.when(hit, 1 << k).otherwise(0)
+        bits = bits + F.expr(f"CASE WHEN suffix IS NOT NULL THEN {SUFFIX_BIT} ELSE 0 END")
     return cells.select(
         "path_no",
         F.expr(f"CASE WHEN length(cur) > {LONG_TEXT} THEN concat('sha256:', sha2(cur, 256)) ELSE cur END").alias(
@@ -259,10 +261,10 @@ def pattern_counts(vt: DataFrame) -> DataFrame:
 
 def order_profile(vt: DataFrame) -> DataFrame:
     """Cardinality, layout and sequence class per path, from an ordered value table."""
-    digits = F.col("value").rlike(r"[0-9]\n?\z")
-    parses = (F.col("type_tag") == "integer") | (
-        (F.col("type_tag") == "string") & F.col("length").isNull() & digits
+    digits = F.when(F.col("length").isNull(), F.col("value").rlike(r"[0-9]\n?\z")).otherwise(
+        F.col("pattern_bits").bitwiseAND(SUFFIX_BIT) != 0
     )
+    parses = (F.col("type_tag") == "integer") | ((F.col("type_tag") == "string") & digits)
     sums = vt.groupBy("path", "type_tag").agg(
         F.sum("n").alias("non_null_count"),
         F.count(F.lit(1)).alias("distinct_count"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,16 +84,10 @@ def select_collection(df: DataFrame, record_path: str | None = None) -> Collecti
 
 def explode_documents(docs: DataFrame, record_path: str | None, variant: bool) -> Collection:
     """Turn whole JSON documents (column ``value``) into one collection."""
-    spark = docs.sparkSession
     parsed = docs.select(F.parse_json("value").alias("v"))
     kinds = {r[0] for r in parsed.select(F.schema_of_variant("v").startswith("ARRAY<")).distinct().collect()}
     if kinds == {True} and record_path in (None, ""):
-        items = parsed.select(F.col("v"))
-        items.createOrReplaceTempView("__patina_docs")
-        rows = spark.sql(
-            "SELECT pos AS __pos, value AS record FROM __patina_docs, LATERAL variant_explode(v)"
-        )
-        rows = rows.select("record", F.col("__pos").cast("bigint").alias(INDEX))
+        rows = _exploded(parsed, F.col("v"))
         if variant:
             return Collection(rows, "", {"format": "json"})
         schema = rows.agg(F.schema_of_variant_agg("record")).head()[0]
@@ -106,16 +100,17 @@ def explode_documents(docs: DataFrame, record_path: str | None, variant: bool) -
     if variant:
         tokens = split(record_path or "")
         at = "$" + "".join(f'["{t}"]' for t in tokens)
-        parsed.createOrReplaceTempView("__patina_docs")
-        rows = spark.sql(
-            f"SELECT pos AS __pos, value AS record FROM __patina_docs, LATERAL variant_explode(variant_get(v, '{at}'))"
-        )
-        return Collection(
-            rows.select("record", F.col("__pos").cast("bigint").alias(INDEX)), record_path or "", {"format": "json"}
-        )
+        return Collection(_exploded(parsed, F.variant_get("v", at, "variant")), record_path or "", {"format": "json"})
     return select_collection(whole.drop(INDEX), record_path)
 
 
+def _exploded(docs: DataFrame, array: Column) -> DataFrame:
+    """Items of a VARIANT array with their positions."""
+    held = docs.select(array.alias("__items"))
+    items = docs.sparkSession.tvf.variant_explode(F.col("__items").outer())
+    return held.lateralJoin(items).select(F.col("value").alias("record"), F.col("pos").cast("bigint").alias(INDEX))
+
+
 def _typed(rows: DataFrame, variant_schema: str) -> DataFrame:
     """Cast VARIANT records to the one struct type all of them fit."""
     ddl = variant_schema.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")

@@ -201,3 +201,10 @@ def test_nan_and_infinity_do_not_break_quantiles(spark):
     c = table(spark, [1.0, math.inf, 2.0], "double")
     got = P.numeric_distribution(P.value_table(c, ordered=False)).head()
     assert got["max"] == math.inf and got["min"] == 1.0
+
+
+def test_long_texts_keep_their_order_statistics(spark):
+    values = ["x" * 300 + f"{j:03d}" for j in range(30)]
+    got = P.order_profile(P.value_table(table(spark, values))).head()
+    assert got["sequence_class"] == "sequential_ascending"
+    assert got["trailing_integer_parse_ratio"] == 1.0
