@@ -22,7 +22,6 @@ from patina.operators import order
 
 QUANTILES = {"min": 0.0, "p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "max": 1.0}
 LONG_TEXT = 256  # longer values are grouped by their SHA-256 instead of themselves
-SUFFIX_BIT = 128  # in pattern_bits, after the seven patterns: the text ends in digits
 TOP_VALUES = 20
 FEW_VALUES = 50
 SPLIT_INTERLEAVED = 0.8
@@ -168,7 +167,6 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool) -> DataFrame:
     if not edge:
         for k, hit in enumerate(V.pattern_flags(F.col("cur")).values()):
             bits = bits + F.when(hit, 1 << k).otherwise(0)
-        bits = bits + F.expr(f"CASE WHEN suffix IS NOT NULL THEN {SUFFIX_BIT} ELSE 0 END")
     return cells.select(
         "path_no",
         F.expr(f"CASE WHEN length(cur) > {LONG_TEXT} THEN concat('sha256:', sha2(cur, 256)) ELSE cur END").alias(
@@ -179,6 +177,9 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool) -> DataFrame:
         F.expr(runs).alias("runs"),
         F.expr(f"CASE WHEN length(cur) > {LONG_TEXT} THEN length(cur) END").alias("length"),
         F.when(F.expr(f"is_text AND length(cur) > {LONG_TEXT}"), bits).otherwise(0).alias("pattern_bits"),
+        F.expr(f"CASE WHEN suffix IS NOT NULL AND length(cur) > {LONG_TEXT} THEN 1 ELSE 0 END").alias(
+            "long_suffix"
+        ),
         *[F.expr(p) for p in pairs],
     )
 
@@ -186,9 +187,9 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool) -> DataFrame:
 def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: bool = True) -> DataFrame:
     """One row per (path, distinct present value).
 
-    Columns: path, type_tag, value, n, first_index, runs, length, pattern_bits and the
-    adjacent-pair counts. Texts over LONG_TEXT characters are represented by a digest;
-    their length and patterns are taken before. ``ordered=False`` skips the walk in row
+    Columns: path, type_tag, value, n, first_index, runs, length, pattern_bits, long_suffix
+    and the adjacent-pair counts. Texts over LONG_TEXT characters are represented by a
+    digest; their length, patterns and trailing digits are taken before. ``ordered=False`` skips the walk in row
     order, which saves the one shuffle of whole rows when no order statistic is wanted.
     """
     chosen = _paths(coll, paths)
@@ -216,6 +217,7 @@ def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: b
         F.expr("sum(runs) AS runs"),
         F.expr("max(length) AS length"),
         F.expr("max(pattern_bits) AS pattern_bits"),
+        F.expr("max(long_suffix) AS long_suffix"),
         *[F.expr(f"sum({s}) AS {s}") for s in _PAIRS],
     )
     path_names = ", ".join(sql_text(p) for p in chosen)
@@ -262,7 +264,7 @@ def pattern_counts(vt: DataFrame) -> DataFrame:
 def order_profile(vt: DataFrame) -> DataFrame:
     """Cardinality, layout and sequence class per path, from an ordered value table."""
     digits = F.when(F.col("length").isNull(), F.col("value").rlike(r"[0-9]\n?\z")).otherwise(
-        F.col("pattern_bits").bitwiseAND(SUFFIX_BIT) != 0
+        F.col("long_suffix") == 1
     )
     parses = (F.col("type_tag") == "integer") | ((F.col("type_tag") == "string") & digits)
     sums = vt.groupBy("path", "type_tag").agg(

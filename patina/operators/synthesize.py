@@ -17,6 +17,7 @@ from patina.collection import INDEX, Collection
 from patina.errors import PatinaError
 from patina.functions import draws
 from patina.operators import order
+from patina.operators.stage import stage
 
 LOOKUP_SALT = 32
 
@@ -85,7 +86,8 @@ def stratum_donor(
 ) -> DataFrame:
     """The collection's rows with a random same-stratum donor struct per tag."""
     names = list(columns) if columns is not None else coll.data_columns
-    numbered = stratum_ordinals(coll, stratum)
+    # Read once for the rows and once per tag, and numbering shuffles the table.
+    numbered = stage(stratum_ordinals(coll, stratum))
     drawn = donor_draws(numbered, seed, tags, distinct_pair)
     return attach_donors(drawn, numbered, tags, names)
 
