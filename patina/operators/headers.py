@@ -19,23 +19,19 @@ def detect_header_rows(grid: DataFrame) -> DataFrame:
     with min_by and max_by, so a grid's rows are never gathered.
     """
     near = grid.where(F.col("row_no") <= SCANNED_ROWS)
-    pairs = F.arrays_zip(F.col("cells").alias("cell"), F.col("is_text").alias("text"))
-    filled = F.filter(pairs, lambda c: c["cell"].isNotNull() & (c["cell"] != ""))
-    texts = F.transform(
-        F.filter(filled, lambda c: c["text"]), lambda c: F.lower(V.trimmed(c["cell"]))
-    )
-    names = F.filter(texts, lambda t: t != "")
     rows = near.select(
         "file",
         "row_no",
-        F.size(filled).alias("dense"),
-        F.size(texts).alias("text_cells"),
-        F.size(names).alias("names"),
-        F.size(F.array_distinct(names)).alias("distinct_names"),
+        F.size(F.filter("cells", lambda c: c != "")).alias("dense"),
+        F.filter("cells", lambda c, k: F.get("is_text", k) & (c != "")).alias("texts"),
     ).where(F.col("dense") > 0)
-    candidate = (F.col("text_cells") / F.col("dense") >= TEXT_SHARE) & (
-        F.col("names") == F.col("distinct_names")
+    # Names are only spelled out and compared on rows that are text enough.
+    texty = F.size("texts") / F.col("dense") >= TEXT_SHARE
+    names = F.filter(
+        F.transform("texts", lambda c: F.lower(V.trimmed(c))), lambda t: t != ""
     )
+    rows = rows.select("file", "row_no", "dense", texty.alias("texty"), F.when(texty, names).alias("names"))
+    candidate = F.col("texty") & (F.size("names") == F.size(F.array_distinct("names")))
     best = F.when(candidate, F.struct(F.col("dense"), (-F.col("row_no")).alias("up")))
     picked = rows.groupBy("file").agg(
         F.min("row_no").alias("first_row"),
