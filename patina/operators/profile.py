@@ -514,7 +514,11 @@ def numeric_distribution(vt: DataFrame) -> DataFrame:
     )
     value = "low * (1 - (pos - floor(pos))) + high * (pos - floor(pos))"
     return ends.groupBy("path", F.col("total").alias("n")).agg(
-        *[F.expr(f"max(CASE WHEN name = '{q}' THEN {value} END) AS {q}") for q in QUANTILES]
+        # The ends are values themselves: interpolating an infinite one would give NaN.
+        *[
+            F.expr(f"max(CASE WHEN name = '{q}' THEN {'low' if p in (0.0, 1.0) else value} END) AS {q}")
+            for q, p in QUANTILES.items()
+        ]
     )
 
 
