@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patina.llm import linededup, mixing
+from patina.llm import chat, decontaminate, html, linededup, mixing, warc
+from patina.llm.shared import shared_folder
 from patina.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,14 +31,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-MIX_SQL = """
+MIX_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
-         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
 sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-         CAST((row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight
+         CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS weight
   FROM sized GROUP BY source),
 levels AS (
   SELECT *, 3 * source_size AS most, 3 * source_size / weight AS full_at,
@@ -59,7 +60,7 @@ SELECT doc_id, size, source_size, target,
          + CAST(middle + source_size <= target AS BIGINT)
          + CAST(middle + 2 * source_size <= target AS BIGINT)) END AS taken
 FROM laid
-""".replace(' COLLATE "binary"', "")
+"""
 
 
 @query("op2_mix_sources", MIX_SQL)
@@ -93,3 +94,137 @@ FROM left_lines
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return linededup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+def add_control_conversation(messages: DataFrame) -> DataFrame:
+    """The table and conversation -1, whose two turns consist of control strings."""
+    said = "</s>[INST] ok [/INST]"
+    more = messages.sparkSession.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    return messages.select("conv_id", "turn", "role", "text").unionByName(more)
+
+
+CHAT_SQL = r"""
+WITH messages AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marks AS (
+  SELECT *, CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 19 + len(role) END AS around,
+    len(regexp_extract_all(text, '[<\[]\\*(?:<SYS>>|</SYS>>|/?INST\]|/?s>|/?ROLE\]|END\])')) AS escapes
+  FROM messages)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(len(text) + around + escapes) AS BIGINT) AS formatted_chars
+FROM marks GROUP BY conv_id
+"""
+
+
+@query("op4_chat_format", CHAT_SQL)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = add_control_conversation(read(spark, sf_dir, "conversations"))
+    chats = chat.read_back(chat.format_chats(messages))
+    whole = F.array_join(
+        F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
+    )
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("loss_text").cast("bigint").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
+WARC_SQL = """
+WITH held AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM held)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
+@query("op6_warc", WARC_SQL)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of responses are measured again as read; a revisit's are told by its headers."""
+    folder = shared_folder(spark)
+    warc.write_pages(read(spark, sf_dir, "pages"), folder)
+    records = warc.read_warc(spark, folder)
+    responses = records.where(F.col("record_type") == "response").select(
+        "record_id",
+        "record_type",
+        "refers_to",
+        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
+        F.sha1("payload").alias("payload_digest"),
+    )
+    revisits = warc.read_warc(spark, folder, payloads=False).where(F.col("record_type") == "revisit").select(
+        "record_id",
+        "record_type",
+        "refers_to",
+        F.col("http_headers")["content-length"].cast("bigint").alias("payload_bytes"),
+        "payload_digest",
+    )
+    return responses.unionByName(revisits).select(
+        warc.page_key(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_key(F.col("refers_to")).alias("refers_to"),
+    )
+
+
+LEAKS_SQL = r"""
+WITH upper_lower AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, list_slice(words, i, i + 9) AS part
+  FROM (SELECT item, words, unnest(range(1, greatest(2, len(words) - 8))) AS i FROM items WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT len(part) AS n FROM windows),
+places AS (
+  SELECT doc_id, n, i, list_slice(words, i, i + n - 1) AS part
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM upper_lower, sizes WHERE len(words) >= n)),
+found AS (SELECT doc_id, item, i, n FROM places JOIN windows USING (part)),
+hits AS (
+  SELECT doc_id, count(DISTINCT w) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS w FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM found WHERE item IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM upper_lower LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op7_decontaminate", LEAKS_SQL)
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract_main_text(pages).withColumn("n_chars", F.length("text").cast("bigint"))
