@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patina.llm import chat, decontaminate, html, linededup, mixing, warc
+from patina.llm import chat, decontaminate, html, linededup, mixing, quality, toxicity, warc
 from patina.llm.shared import shared_folder
 from patina.session import configure
 
@@ -228,3 +228,25 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract_main_text(pages).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def learning_fold(key: Column) -> Column:
+    """Rows whose labels may be learnt from; the others are held out."""
+    return F.crc32(key.cast("string").cast("binary")) % 5 != 0
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn_from=learning_fold)
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    held_out = ~learning_fold(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources are the hosts here, and languages the paths within them."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    model = quality.train(docs, read(spark, sf_dir, "labels"), learn_from=learning_fold)
+    return quality.score(docs, model, keep=["doc_id"])

@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from patina.errors import PatinaError
@@ -80,7 +81,7 @@ def row_ranges(sizes, most: int = TEXT_BYTES) -> Iterator[tuple[int, int]]:
 
 def text_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch that hold about ``TEXT_BYTES`` of ``column`` each."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     for start, end in row_ranges(sizes):
         yield batch.slice(start, end - start)
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 PIECE = 500_000  # bytes hashed at a time
 
@@ -40,7 +41,7 @@ def _powers(n: int) -> list[np.ndarray]:
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts in a row, and where each text begins (nulls are empty)."""
-    texts = pa.compute.fill_null(texts.cast(pa.large_string()), "")
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
     raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
