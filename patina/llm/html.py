@@ -23,7 +23,7 @@ WINDOW = 3  # lines of one block
 SURGE = 86  # characters in a window with which main text begins, where no element marks it
 
 # Names that HTML or common page templates give to parts of a page.
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "xmp")
+RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
@@ -153,7 +153,9 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
             lines.end(main)
         if closing:
             if count[name] > 0:
-                place = max(k for k, tag in enumerate(open_tags) if tag[0] == name)
+                place = len(open_tags) - 1
+                while open_tags[place][0] != name:
+                    place -= 1
                 pop_to(place)
             continue
         if name in VOID:
