@@ -2,7 +2,7 @@
 
 The writer makes one record per row; a record ends with two line ends, which is exactly
 the text writer's line separator, so every store that Spark writes to and its commit
-protocol serve. The reader plans one partition per file, reads headers first, and skips
+protocol serve. Archives are compressed as one gzip stream each. The reader plans one partition per file, reads headers first, and skips
 the payload of every record that a pushed filter or an option rules out.
 """
 
@@ -23,10 +23,11 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, In, InputPartition
 
 from patina.errors import PatinaError
-from patina.llm.shared import ship
+from patina.llm.shared import broadcast_below, ship, stored
 
 REVISIT_FROM = 1000  # bytes; shorter payloads are stored each time
 BATCH_BYTES = 4_000_000
+BROADCAST_DIGESTS = 100_000  # digests of repeated payloads, about 60 bytes each
 LINE = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -63,7 +64,8 @@ def with_revisits(pages: DataFrame, key: str, payload: str, revisit_from: int =
     Among pages with one payload of at least ``revisit_from`` bytes that with the largest
     key is the response and the others revisit it; repeated rows with that key are all
     responses, and so are pages whose payload only pages without a key share. Only the
-    digests of repeated payloads are joined, one row each; Spark splits a hot one.
+    digests of repeated payloads are joined, one row each. They are stored and counted
+    first, and where they are few the pages need no shuffle.
     """
     rows = pages.withColumn("digest", F.sha1(payload)).withColumn(
         "payload_length", F.octet_length(payload).cast("bigint")
@@ -75,6 +77,7 @@ def with_revisits(pages: DataFrame, key: str, payload: str, revisit_from: int =
         .where(F.col("n") > 1)
         .drop("n")
     )
+    shared = broadcast_below(stored(shared), BROADCAST_DIGESTS)
     joined = rows.join(shared, ["digest", "payload_length"], "left")
     revisits = F.col("first").isNotNull() & ~F.col(key).eqNullSafe(F.col("first"))
     return joined.select(
@@ -136,7 +139,7 @@ def write_pages(
     record = F.concat(
         headers.cast("binary"), F.lit(LINE + LINE).cast("binary"), http.cast("binary"), body
     ).cast("string")
-    rows.select(record.alias("value")).write.option("lineSep", LINE + LINE).text(folder)
+    rows.select(record.alias("value")).write.option("lineSep", LINE + LINE).text(folder, compression="gzip")
 
 
 @dataclass
