@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patina.llm import chat, decontaminate, html, linededup, mixing, quality, toxicity, warc
+from patina.llm import chat, decontaminate, html, linededup, minhash, mixing, quality, toxicity, warc
 from patina.llm.shared import shared_folder
 from patina.session import configure
 
@@ -250,3 +250,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     model = quality.train(docs, read(spark, sf_dir, "labels"), learn_from=learning_fold)
     return quality.score(docs, model, keep=["doc_id"])
+
+
+@query("op3_minhash")
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs)
