@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patina.llm import chat, decontaminate, html, linededup, minhash, mixing, quality, toxicity, warc
+from patina.llm import chat, decontaminate, embeddings, html, linededup, minhash, mixing, quality, toxicity, warc
 from patina.llm.shared import shared_folder
 from patina.session import configure
 
@@ -256,3 +256,27 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs)
+
+
+VECTORS_SQL = """
+WITH RECURSIVE held AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM held a, held b
+  WHERE a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON vec_id = least.a LEFT JOIN counts ON vec_id = counts.a
+"""
+
+
+@query("op1_embedding_dedup", VECTORS_SQL)
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
