@@ -21,7 +21,7 @@ def line_key(line: Column) -> Column:
 
 def boilerplate(docs: DataFrame, text: str, host: str, ratio: float, min_pages: int) -> DataFrame:
     """(host, line key) of every line on more than ``ratio`` of the host's pages."""
-    lines = F.array_distinct(F.transform(F.split(text, "\n"), F.trim))
+    lines = F.array_distinct(F.transform(F.split(text, "\n"), lambda line: F.trim(line)))
     pages = (
         docs.select(F.col(host).alias("host"), F.explode(lines).alias("line"))
         .where(F.col("line") != "")
