@@ -70,8 +70,10 @@ def window_items(items: list[tuple[str | None, str | None]], width: int) -> list
 
 
 @lru_cache(maxsize=1)
-def _automaton(patterns: Broadcast) -> ahocorasick.Automaton:
-    """Built once in each Python worker."""
+def _automaton(patterns: Broadcast) -> ahocorasick.Automaton | None:
+    """Built once in each Python worker; nothing where there are no windows."""
+    if not patterns.value:
+        return None
     made = ahocorasick.Automaton()
     for key, n, ids in patterns.value:
         made.add_word(key.decode("latin-1"), (n, ids))
@@ -94,7 +96,7 @@ def _scan(batch: pa.RecordBatch, text: str, patterns: Broadcast) -> Iterator[lis
     clean, begin = normalised(raw, at)
     for k in range(len(at) - 1):
         n = int(first[k + 1] - first[k])
-        found = list(automaton.iter(" " + clean[begin[k] : begin[k + 1]].decode("latin-1"))) if n else []
+        found = list(automaton.iter(" " + clean[begin[k] : begin[k + 1]].decode("latin-1"))) if n and automaton else []
         if not found:
             yield [n, 0, [], []]
             continue
