@@ -28,6 +28,7 @@ BANDS, ROWS = 25, 5  # a pair at the threshold shares some band with probability
 REGISTERS = BANDS * ROWS
 SPREAD = 5.0  # standard errors below the threshold at which an estimate rules a pair out
 BROADCAST_IDS = 1_000_000
+TIE_HOME, CHUNK = 512, 128  # documents of a block that is compared once more, and at a time
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -183,52 +184,43 @@ def _pairs_schema(kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
 
 
-def candidate_pairs(places: DataFrame, least: int, kind: T.DataType, across: bool) -> DataFrame:
+def candidate_pairs(places: DataFrame, least: int, kind: T.DataType) -> DataFrame:
     """Pairs (u < v) of one bucket whose registers agree often enough, from its blocks.
 
-    ``across`` gives every such pair of two components; otherwise the pairs are enough to
-    tie together all rows of a block that such pairs connect.
+    They are not all such pairs, but enough to tie together all rows of a bucket that such
+    pairs connect: a spanning forest of each chunk, and for each visitor its closest row
+    of every chunk it visits.
     """
     keys = ["bucket", "block_i", "block_s"]
 
-    def registers(table: pa.Table) -> np.ndarray:
-        return np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        home = own = ids = part = None
+        home = ids = None
         for what, table in block_events(batches, [*keys, "side"]):
-            new, names = registers(table), table.column("v").to_pylist()
-            parts = table.column("component").to_pylist()
+            new, names = _registers(table), table.column("v").to_pylist()
             if what == "home":
-                home, ids, part, own = new, names, parts, table.column("own")[0].as_py()
-                if not own:
-                    continue
-                agree = _agreements(home, home)
-                if across:
-                    a, b = np.nonzero(np.triu(agree >= least, 1))
-                    found = [(ids[i], ids[j]) for i, j in zip(a, b, strict=True) if part[i] != part[j]]
-                else:
-                    found = [(ids[i], ids[j]) for i, j in spanning_pairs(agree, least)]
+                home, ids = new, names
+                own = table.column("own")[0].as_py()
+                found = [(ids[i], ids[j]) for i, j in spanning_pairs(_agreements(home, home), least)] if own else []
             else:
                 agree = _agreements(home, new)
-                if across:
-                    a, b = np.nonzero(agree >= least)
-                    found = [(ids[i], names[j]) for i, j in zip(a, b, strict=True) if part[i] != parts[j]]
-                else:
-                    near = agree.argmax(axis=0)
-                    found = [(ids[i], names[j]) for j, i in enumerate(near) if agree[i, j] >= least]
+                found = [(ids[i], names[j]) for j, i in enumerate(agree.argmax(axis=0)) if agree[i, j] >= least]
             for start in range(0, len(found), 10_000):
-                some = [(min(p), max(p)) for p in found[start : start + 10_000] if p[0] != p[1]]
-                columns = list(zip(*some, strict=True)) or [[], []]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, table.schema.field("v").type) for c in columns], names=["u", "v"]
-                )
+                yield _pair_batch(found[start : start + 10_000], table.schema.field("v").type)
 
     return by_block(places, *keys).mapInArrow(compare, _pairs_schema(kind)).distinct()
 
 
+def _registers(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint8).reshape(-1, REGISTERS)
+
+
+def _pair_batch(pairs: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    some = [(min(p), max(p)) for p in pairs if p[0] != p[1]]
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in some], kind) for k in (0, 1)], names=["u", "v"])
+
+
 def shingle_sets(docs: DataFrame, text: str, key: str, ids: DataFrame) -> DataFrame:
-    """(v, hashes, counts) of the documents that ``ids`` (v) names; repeated rows give one."""
+    """(v, hashes, weights) of the documents that ``ids`` (v) names, one row for each of theirs."""
     rows = docs.select(F.col(key).alias("v"), F.col(text).alias("text"))
     rows = rows.join(broadcast_below(ids, BROADCAST_IDS), "v", "left_semi")
     schema = T.StructType([rows.schema["v"], *T.StructType.fromDDL("hashes array<bigint>, weights array<float>")])
@@ -279,10 +271,106 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.mapInArrow(check, pairs.select("u", "v").schema)
 
 
+class _Sets:
+    """The weighted sets of some rows; ``plain`` rows have all weights 1."""
+
+    def __init__(self, table: pa.Table):
+        self.rows = []
+        for column in zip(*(table.column(c).to_pylist() for c in ("hashes", "weights")), strict=True):
+            hashes = np.array(column[0], np.int64).view(np.uint64)
+            self.rows.append((hashes, np.array(column[1], float) if column[1] else np.ones(len(hashes))))
+        self.plain = np.array([not w for w in table.column("weights").to_pylist()])
+        self.sizes = np.array([len(h) for h, _ in self.rows])
+
+
+def _common(one: _Sets, two: _Sets) -> np.ndarray:
+    """How many shingles each row of one shares with each row of two, by parts of the vocabulary."""
+    left, right = (np.concatenate([h for h, _ in x.rows]) for x in (one, two))
+    shared = np.intersect1d(left, right)
+    out = np.zeros((len(one.rows), len(two.rows)), np.float32)
+    for start in range(0, len(shared), 8_192):
+        part = shared[start : start + 8_192]
+        sides = []
+        for x in (one, two):
+            dense = np.zeros((len(x.rows), len(part)), np.float32)
+            for k, (h, _) in enumerate(x.rows):
+                lo, hi = np.searchsorted(h, part[[0, -1]])
+                own = h[lo : hi + 1]
+                at = np.minimum(np.searchsorted(part, own), len(part) - 1)
+                dense[k, at[part[at] == own]] = 1
+            sides.append(dense)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _links_across(one: _Sets, two: _Sets, maybe: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs marked in ``maybe`` reach the threshold exactly."""
+    if not maybe.any():
+        return maybe
+    common = _common(one, two)
+    jaccard = common / np.maximum(one.sizes[:, None] + two.sizes[None, :] - common, 1)
+    plain = one.plain[:, None] & two.plain[None, :]
+    found = maybe & plain & (jaccard >= threshold - 1e-6)
+    for i, j in zip(*np.nonzero(maybe & ~plain & (common > 0)), strict=True):
+        found[i, j] = probability_jaccard(*one.rows[i], *two.rows[j]) >= threshold - 1e-9
+    return found
+
+
+def remaining_links(places: DataFrame, least: int, kind: T.DataType, threshold: float) -> DataFrame:
+    """Links (u < v) between components of one tie, verified where the rows meet.
+
+    No pairs leave a block but links, and of those only as many as tie its rows together.
+    """
+    keys = ["tie", "block_i", "block_s"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        home = None
+        for what, table in block_events(batches, [*keys, "side"]):
+            for start in range(0, table.num_rows, CHUNK):
+                part = table.slice(start, CHUNK)
+                now = (_registers(part), part.column("v").to_pylist(), part.column("component").to_pylist(), _Sets(part))
+                if what == "home" and not start:
+                    home = []
+                if what == "home":
+                    home.append(now)
+                against = home if what == "visit" else home if table.column("own")[0].as_py() else []
+                for other in against:
+                    parts = np.array(other[2], object)[:, None] != np.array(now[2], object)[None, :]
+                    maybe = parts & (_agreements(other[0], now[0]) >= least)
+                    root: dict = {}
+
+                    def find(x, root=root):
+                        while root.get(x, x) != x:
+                            x = root[x]
+                        return x
+
+                    found = []
+                    for i, j in zip(*np.nonzero(_links_across(other[3], now[3], maybe, threshold)), strict=True):
+                        a, b = find(other[2][i]), find(now[2][j])
+                        if a != b:
+                            root[max(a, b)] = min(a, b)
+                            found.append((other[1][i], now[1][j]))
+                    yield _pair_batch(found, table.schema.field("v").type)
+
+    return by_block(places, *keys).mapInArrow(compare, _pairs_schema(kind)).distinct()
+
+
+def _labelled(rows: DataFrame, components: DataFrame | None, name: str) -> DataFrame:
+    """``rows`` with the component of v, which is v itself where it has no link."""
+    if components is None:
+        return rows.withColumn(name, F.col("v"))
+    found = components.select(F.col("u").alias("v"), F.col("component").alias(name))
+    return rows.join(found, "v", "left").withColumn(name, F.coalesce(name, "v"))
+
+
+def _components(links: DataFrame) -> DataFrame | None:
+    return stored(connected_components(links)) if links.limit(1).count() else None
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """One row per row of ``docs``: id, component (least id of its class), n_words, kept.
+    """One row per row of ``docs``: key, component (least id of its class), n_words, kept.
 
     Documents link when the probability Jaccard of their shingles of five words, weighted
     by 1 + ln(count), is at least ``threshold``; classes are what links connect, and the
@@ -290,9 +378,10 @@ def near_duplicates(
     are one class from the start and their copies are never compared.
 
     Candidates are pairs that share a band and whose registers agree in no fewer places
-    than five standard errors below the threshold. Verification needs exact similarities
-    only until classes are tied together: first a spanning forest of each bucket, then all
-    candidates left that lie in two classes. Nothing is capped.
+    than five standard errors below the threshold. First a spanning forest of each
+    bucket's candidates is verified, which ties most classes together. What candidates
+    connect but links don't is then compared once more, in blocks, between the parts.
+    Nothing is capped, and no group's pairs are listed.
 
     Null text and text without words have no shingles, link with nothing and are kept.
     Rows with a null id link with nothing, have a null component and are kept. Rows that
@@ -303,39 +392,33 @@ def near_duplicates(
     kind = docs.schema[key].dataType
     signed = stored(signatures(docs, text, key))
     known = signed.where((F.col("n_words") > 0) & F.col("id").isNotNull())
-    classes = known.groupBy("a", "b", "n_words").agg(
-        F.min("id").alias("v"), F.min_by("bands", "id").alias("bands"), F.min_by("registers", "id").alias("registers")
-    )
-    classes = stored(classes)
-    banded = classes.select("v", "registers", F.explode("bands").alias("bucket"))
+    classes = known.groupBy("a", "b", "n_words").agg(F.min(F.struct("id", "bands", "registers")).alias("least"))
+    classes = stored(classes.select("a", "b", "n_words", F.col("least.id").alias("v"), "least.bands", "least.registers"))
+    banded = classes.select("v", F.explode("bands").alias("bucket"))
     sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
-    buckets = stored(banded.join(sizes, "bucket"))
+    buckets = banded.join(sizes, "bucket").join(classes.select("v", "registers"), "v")
     least = least_estimate(threshold)
-    places = into_blocks(buckets.withColumn("component", F.lit(None).cast(kind)), "bucket", "v", "size", star=True)
-    pairs = stored(candidate_pairs(places, least, kind, across=False))
-    links = stored(verified(pairs, _sets(docs, text, key, pairs), threshold))
-    tied = stored(connected_components(links)) if links.limit(1).count() else None
-
-    named = buckets
-    if tied is not None:
-        named = buckets.join(tied, buckets["v"] == tied["u"], "left").drop("u")
-        named = named.withColumn("component", F.coalesce("component", "v"))
-    else:
-        named = buckets.withColumn("component", F.col("v"))
-    open_buckets = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_buckets = open_buckets.where("low <> high").select("bucket")
-    left = into_blocks(named.join(open_buckets, "bucket", "left_semi"), "bucket", "v", "size")
-    more = candidate_pairs(left, least, kind, across=True).join(pairs, ["u", "v"], "left_anti")
-    more = stored(more)
-    if more.limit(1).count():
-        links = links.unionByName(stored(verified(more, _sets(docs, text, key, more), threshold)))
-        tied = stored(connected_components(links)) if links.limit(1).count() else None
-    members = classes.select("a", "b", "n_words", "v")
-    if tied is not None:
-        members = members.join(tied, members["v"] == tied["u"], "left").drop("u")
-        members = members.withColumn("component", F.coalesce("component", "v"))
-    else:
-        members = members.withColumn("component", F.col("v"))
+    pairs = stored(candidate_pairs(into_blocks(buckets, "bucket", "v", "size"), least, kind))
+    ids = pairs.select("v").unionByName(pairs.select(F.col("u").alias("v"))).distinct()
+    sets = shingle_sets(docs, text, key, ids)
+    if known.groupBy("id").count().where(F.col("count") > 1).limit(1).count():
+        sets = sets.dropDuplicates(["v"])
+    sets = stored(sets)
+    links = stored(verified(pairs, sets, threshold))
+    tied = _components(links)
+
+    ties = _labelled(_labelled(ids, _components(pairs), "tie"), tied, "component")
+    ties = stored(ties)
+    spread = ties.groupBy("tie").agg(
+        F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    spread = stored(spread.where("size > 2 AND low <> high").select("tie", "size"))
+    if spread.limit(1).count():
+        left = ties.join(spread, "tie").join(classes.select("v", "registers"), "v").join(sets, "v")
+        more = remaining_links(into_blocks(left, "tie", "v", "size", home=TIE_HOME), least, kind, threshold)
+        links = stored(links.unionByName(more))
+        tied = _components(links)
+    members = _labelled(classes.select("a", "b", "n_words", "v"), tied, "component").drop("v")
     found = signed.select("id", "a", "b", "n_words").join(members, ["a", "b", "n_words"], "left")
     alone = F.col("id").isNull() | (F.col("n_words") == 0)
     component = F.when(alone, F.col("id")).otherwise(F.col("component"))
@@ -345,8 +428,3 @@ def near_duplicates(
         "n_words",
         (F.col("id").isNull() | (component == F.col("id"))).alias("kept"),
     )
-
-
-def _sets(docs: DataFrame, text: str, key: str, pairs: DataFrame) -> DataFrame:
-    ids = pairs.select("v").unionByName(pairs.select(F.col("u").alias("v"))).distinct()
-    return stored(shingle_sets(docs, text, key, ids))
