@@ -19,26 +19,22 @@ HOME = 2048  # rows of a chunk, about
 SLICE = 32  # chunks of visitors that one task streams
 
 
-def into_blocks(rows: DataFrame, group: str, row: str, size: str, star: bool = False) -> DataFrame:
+def into_blocks(rows: DataFrame, group: str, row: str, size: str, home: int | None = None) -> DataFrame:
     """Copies of ``rows`` with their places: block_i, block_s, side (0 home, 1 visitor), own.
 
-    ``size`` is a column with the number of rows of the group. A block is (group, block_i,
-    block_s); home rows of a block are compared with each other where ``own`` holds. With
-    ``star`` chunks meet only themselves and chunk 0, so each row has two places at most
-    beside the copies of chunk 0.
+    ``size`` is a column with the number of rows of the group, ``home`` about the rows of
+    a chunk. A block is (group, block_i, block_s); home rows of a block are compared with
+    each other where ``own`` holds.
     """
-    chunks = F.ceil(F.col(size) / F.lit(HOME)).cast("int")
+    chunks = F.ceil(F.col(size) / F.lit(home or HOME)).cast("int")
     last = F.floor((F.col("__chunks") - 1) / SLICE).cast("int")
     i = F.col("__chunk")
     own_slice = F.floor(i / SLICE).cast("int")
     place = lambda a, s, side, own: F.struct(
         a.cast("int").alias("block_i"), s.cast("int").alias("block_s"), F.lit(side).alias("side"), own.alias("own")
     )
-    reach = F.when(i == 0, last).otherwise(own_slice) if star else last
-    homes = F.transform(F.sequence(own_slice, reach), lambda s: place(i, s, 0, s == own_slice))
-    earlier = F.when(i == 0, F.array().cast("array<int>")).otherwise(
-        F.array(F.lit(0)) if star else F.sequence(F.lit(0), i - 1)
-    )
+    homes = F.transform(F.sequence(own_slice, last), lambda s: place(i, s, 0, s == own_slice))
+    earlier = F.when(i == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), i - 1))
     visits = F.transform(earlier, lambda a: place(a, own_slice, 1, F.lit(False)))
     return (
         rows.withColumn("__chunks", chunks)
@@ -70,19 +66,20 @@ def block_events(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
     """("home", all home rows of a block), then ("visit", some of its visitors) as they come.
 
     ``batches`` come sorted as ``by_block`` sorts them; the last key must be ``side``.
+    Visitors of a block whose chunk turned out empty meet nobody and are passed over.
     """
-    now, waiting = None, []
+    now, ready, waiting = None, None, []
     for batch in batches:
         for key, a, b in _runs(batch, keys):
             part = pa.Table.from_batches([batch.slice(a, b - a)])
             block, side = key[:-1], key[-1]
             if waiting and (block != now or side):
                 yield "home", pa.concat_tables(waiting).combine_chunks()
-                waiting = []
+                ready, waiting = now, []
             now = block
-            if side:
-                yield "visit", part
-            else:
+            if not side:
                 waiting.append(part)
+            elif block == ready:
+                yield "visit", part
     if waiting:
         yield "home", pa.concat_tables(waiting).combine_chunks()
