@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from patina.collection import INDEX, Collection
 from patina.functions import values as V
-from patina.functions.pointers import MAX_DEPTH, get_path, has_path, sql_ref, sql_text, type_at
+from patina.functions.pointers import get_path, has_path, sql_ref, sql_text, type_at
 
 CELL_SCHEMA = (
     "record_path string, record_index bigint, path string, physical_type string, "
@@ -57,7 +58,7 @@ def variant_cells(coll: Collection, column: str = "record", structural: bool = F
     spark = coll.df.sparkSession
     level = coll.df.select(INDEX, F.col(column).alias("v"), F.lit("").alias("path"))
     found: list[DataFrame] = []
-    for depth in range(MAX_DEPTH + 1):
+    for depth in itertools.count():
         kind = F.schema_of_variant("v")
         opened = kind.startswith("OBJECT<") & (kind != "OBJECT<>")
         if structural:
@@ -68,7 +69,7 @@ def variant_cells(coll: Collection, column: str = "record", structural: bool = F
             keep = level if structural else level.where(~opened)
             found.append(keep.withColumn("kind", kind))
             level = level.where(opened)
-        if depth == MAX_DEPTH or (depth > 0 and level.isEmpty()):
+        if depth > 0 and level.isEmpty():
             break
         opened_rows = level.withColumnRenamed("v", "__parent")
         down = opened_rows.lateralJoin(spark.tvf.variant_explode(F.col("__parent").outer())).select(

@@ -114,26 +114,47 @@ _PAIRS = {
     "inc": "CASE WHEN is_text THEN cur > prev ELSE num > prev_num END",
     "dec": "CASE WHEN is_text THEN cur < prev ELSE num < prev_num END",
     "eq": "CASE WHEN is_text THEN cur = prev ELSE num = prev_num END",
-    "s_inc": "suffix > prev_suffix",
-    "s_dec": "suffix < prev_suffix",
-    "s_eq": "suffix = prev_suffix",
-    "s_plus": "suffix - prev_suffix = 1",
-    "s_minus": "suffix - prev_suffix = -1",
+    "s_inc": "CASE WHEN is_int THEN whole > prev_whole ELSE suffix > prev_suffix END",
+    "s_dec": "CASE WHEN is_int THEN whole < prev_whole ELSE suffix < prev_suffix END",
+    "s_eq": "CASE WHEN is_int THEN whole = prev_whole ELSE suffix = prev_suffix END",
+    "s_plus": "CASE WHEN is_int THEN whole - prev_whole = 1 ELSE suffix.digits = {next_of_prev} END",
+    "s_minus": "CASE WHEN is_int THEN whole - prev_whole = -1 ELSE prev_suffix.digits = {next_of_cur} END",
 }
 
 
+def _whole(text: str) -> str:
+    return f"CASE WHEN is_int THEN try_cast({text} AS DECIMAL(38,0)) END"
+
+
 def _suffix(text: str) -> str:
+    """Digits that a text ends in, of any length, without leading zeros.
+
+    Length before digits: such structs compare as the numbers do.
+    """
+    digits = rf"regexp_extract({text}, r'([0-9]+)\n?\z', 1)"
+    bare = f"CASE WHEN ltrim('0', {digits}) = '' THEN '0' ELSE ltrim('0', {digits}) END"
     return (
-        f"CASE WHEN is_int THEN try_cast({text} AS DECIMAL(38,0)) WHEN is_text THEN "
-        rf"try_cast(nullif(regexp_extract({text}, r'([0-9]+)\n?\z', 1), '') AS DECIMAL(38,0)) END"
+        f"CASE WHEN is_text AND {digits} <> '' THEN"
+        f" named_struct('size', length({bare}), 'digits', {bare}) END"
+    )
+
+
+def _next(digits: str) -> str:
+    """The digits of the next integer: trailing nines turn to zeros and carry one."""
+    kept = f"rtrim('9', {digits})"
+    zeros = f"repeat('0', length({digits}) - length({kept}))"
+    raised = (
+        f"CASE WHEN {kept} = '' THEN '1' ELSE concat(left({kept}, length({kept}) - 1),"
+        f" CAST(CAST(right({kept}, 1) AS INT) + 1 AS STRING)) END"
     )
+    return f"concat({raised}, {zeros})"
 
 
-def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool) -> DataFrame:
+def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool, walked: bool = True) -> DataFrame:
     """Long form of present values with how each relates to the one before it.
 
     ``edge`` rows carry no occurrence of their own: they only join the last value of
-    one bucket to the first of the next.
+    one bucket to the first of the next. Without ``walked`` no value has one before it.
     """
     made = []
     for j, dtype in enumerate(dtypes):
@@ -159,9 +180,18 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool) -> DataFrame:
     index = F.lit(None).cast("bigint") if edge else F.col(INDEX)
     cells = df.select(index.alias("at"), F.explode(F.array(*made)).alias("c")).where("c IS NOT NULL")
     cells = cells.select("at", "c.*").withColumns(
-        {"suffix": F.expr(_suffix("cur")), "prev_suffix": F.expr(_suffix("prev"))}
-    )
-    pairs = [f"CASE WHEN {test} THEN 1 ELSE 0 END AS {name}" for name, test in _PAIRS.items()]
+        {
+            "suffix": F.expr(_suffix("cur")),
+            "prev_suffix": F.expr(_suffix("prev")),
+            "whole": F.expr(_whole("cur")),
+            "prev_whole": F.expr(_whole("prev")),
+        }
+    )
+    nexts = {"next_of_cur": _next("suffix.digits"), "next_of_prev": _next("prev_suffix.digits")}
+    pairs = [
+        f"CASE WHEN {test.format(**nexts)} THEN 1 ELSE 0 END AS {name}" if walked else f"0 AS {name}"
+        for name, test in _PAIRS.items()
+    ]
     runs = "CASE WHEN cur = prev THEN -1 ELSE 0 END" if edge else "CASE WHEN cur = prev THEN 0 ELSE 1 END"
     bits = F.lit(0)
     if not edge:
@@ -172,12 +202,16 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool) -> DataFrame:
         F.expr(f"CASE WHEN length(cur) > {LONG_TEXT} THEN concat('sha256:', sha2(cur, 256)) ELSE cur END").alias(
             "value"
         ),
+        F.expr(f"length(cur) > {LONG_TEXT}").alias("is_long"),
+        F.when(F.expr(f"is_text AND length(cur) > {LONG_TEXT}"), V.parse_float(F.col("cur"), T.StringType())).alias(
+            "long_number"
+        ),
         F.lit(0 if edge else 1).alias("n"),
         F.col("at").alias("first_index"),
         F.expr(runs).alias("runs"),
         F.expr(f"CASE WHEN length(cur) > {LONG_TEXT} THEN length(cur) END").alias("length"),
         F.when(F.expr(f"is_text AND length(cur) > {LONG_TEXT}"), bits).otherwise(0).alias("pattern_bits"),
-        F.expr(f"CASE WHEN suffix IS NOT NULL AND length(cur) > {LONG_TEXT} THEN 1 ELSE 0 END").alias(
+        F.expr(f"CASE WHEN (suffix IS NOT NULL OR whole IS NOT NULL) AND length(cur) > {LONG_TEXT} THEN 1 ELSE 0 END").alias(
             "long_suffix"
         ),
         *[F.expr(p) for p in pairs],
@@ -188,8 +222,8 @@ def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: b
     """One row per (path, distinct present value).
 
     Columns: path, type_tag, value, n, first_index, runs, length, pattern_bits, long_suffix
-    and the adjacent-pair counts. Texts over LONG_TEXT characters are represented by a
-    digest; their length, patterns and trailing digits are taken before. ``ordered=False`` skips the walk in row
+    long_number and the adjacent-pair counts. Texts over LONG_TEXT characters are represented
+    by a digest; their length, number, patterns and trailing digits are taken before. ``ordered=False`` skips the walk in row
     order, which saves the one shuffle of whole rows when no order statistic is wanted.
     """
     chosen = _paths(coll, paths)
@@ -210,12 +244,14 @@ def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: b
         )
     else:
         nulls = {f"{n}_prev": F.lit(None).cast(t) for n, t in zip(names, dtypes)}
-        long = _cells(rows.withColumns(nulls), dtypes, edge=False)
-    grouped = long.groupBy("path_no", "value").agg(
+        long = _cells(rows.withColumns(nulls), dtypes, edge=False, walked=False)
+    # A short value that looks like a digest is not the long value of that digest.
+    grouped = long.groupBy("path_no", "value", "is_long").agg(
         F.expr("sum(n) AS n"),
         F.expr("min(first_index) AS first_index"),
         F.expr("sum(runs) AS runs"),
         F.expr("max(length) AS length"),
+        F.expr("max(long_number) AS long_number"),
         F.expr("max(pattern_bits) AS pattern_bits"),
         F.expr("max(long_suffix) AS long_suffix"),
         *[F.expr(f"sum({s}) AS {s}") for s in _PAIRS],
@@ -225,7 +261,7 @@ def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: b
     return grouped.select(
         F.expr(f"get(array({path_names}), path_no)").alias("path"),
         F.expr(f"get(array({tags}), path_no)").alias("type_tag"),
-        *[c for c in grouped.columns if c != "path_no"],
+        *[c for c in grouped.columns if c not in ("path_no", "is_long")],
     )
 
 
@@ -234,7 +270,7 @@ def _number_of() -> Column:
     text = V.parse_float(F.col("value"), T.StringType())
     return F.when(
         F.col("type_tag").isin("integer", "number", "Decimal"), F.col("value").try_cast("double")
-    ).when((F.col("type_tag") == "string") & F.col("length").isNull(), text)
+    ).when(F.col("type_tag") == "string", F.when(F.col("length").isNull(), text).otherwise(F.col("long_number")))
 
 
 def pattern_counts(vt: DataFrame) -> DataFrame:

@@ -6,13 +6,17 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from patina.errors import PatinaError
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only where none is set."""
+    """The session's checkpoint folder; a temporary one only in a one-process session without one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise PatinaError("set spark.checkpoint.dir to a folder that all executors share")
     folder = named or tempfile.mkdtemp(prefix="patina-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from patina.collection import Collection
 from patina.functions.pointers import structural_paths
 from patina.operators import compare, validate
-from patina.operators.corrupt import HARD_MAX_RATE, as_rate, table_digest, target_count
+from patina.operators.corrupt import table_digest
 from patina.operators.stage import stage
 from patina.plans import spec as S
 
@@ -161,13 +161,11 @@ def check_accounting(
 ) -> None:
     """Checks that dirty rows, plan policy and manifest agree."""
     policy = spec.get("dirty_policy", {})
-    rate = as_rate(policy.get("selected_rate"), "selected_rate")
-    cap = as_rate(policy.get("max_rate"), "max_rate")
-    within = 0 <= rate <= cap == HARD_MAX_RATE
-    report.say("dirty_rate_policy", within, {"selected_rate": float(rate), "max_rate": float(cap)})
+    rate = S.policy_rate(policy)
+    report.say("dirty_rate_policy", rate is not None, {k: str(policy.get(k)) for k in ("selected_rate", "max_rate")})
     tables = [clean[c.record_path] for c in made]
     total = sum(c.count() for c in tables)
-    expected = target_count(total, rate, cap) if within else -1
+    expected = rate.of(total) if rate is not None else -1
     # Three checks read the dirty keys, and finding them reads both tables whole.
     keys = stage(validate.dirty_keys(tables, dirty))
     counted = keys.agg(F.count(F.lit(1)).alias("actual")).select(F.lit(expected).alias("expected"), "actual")

@@ -126,11 +126,11 @@ def test_sample_test_covers_the_sample_and_asks_no_more_than_there_is(spark):
 
 @pytest.mark.parametrize("n,count", [(0, 0), (1, 0), (19, 0), (20, 1), (100, 5)])
 def test_target_count_is_floored(n, count):
-    assert corrupt.target_count(n, 0.05) == count
-    assert corrupt.target_count(10**12 + 7, "0.02") == (10**12 + 7) * 2 // 100
-    for bad in (0.051, -0.01, True, "x", float("inf")):
+    assert corrupt.Rate.read(0.05).of(n) == count
+    assert corrupt.Rate.read("0.02").of(10**12 + 7) == (10**12 + 7) * 2 // 100
+    for bad in (0.051, -0.01, True, "x", "1/20", None, float("inf")):
         with pytest.raises(PatinaError):
-            corrupt.target_count(100, bad)
+            corrupt.Rate.read(bad)
 
 
 def test_weights_steer_the_error_types(spark):

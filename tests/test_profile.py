@@ -1,5 +1,6 @@
 """Profiles against a plain-Python count, on tables small enough to read."""
 
+import hashlib
 import json
 import math
 import re
@@ -9,7 +10,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from patina import Collection
-from patina.operators import order
+from patina.operators import cells, order
 from patina.operators import profile as P
 
 
@@ -221,3 +222,32 @@ def test_numbering_by_awkward_keys(spark):
     got = order.with_record_index(df, ["s", "d", "t"], bucket_rows=40)
     ranked = got.orderBy("s", "d", "t").select("record_index").collect()
     assert [r[0] for r in ranked] == list(range(900))
+
+
+def test_long_texts_keep_their_numbers_and_stay_apart(spark):
+    long = "0" * 300 + "2"
+    fake = "sha256:" + hashlib.sha256(long.encode()).hexdigest()
+    rows = [(0, "1.5", long), (1, long, fake), (2, "3", "x")]
+    coll = Collection(spark.createDataFrame(rows, "record_index bigint, n string, t string"))
+    vt = P.value_table(coll, ["/n", "/t"], ordered=False).cache()
+    assert {r["path"]: (r["min"], r["max"]) for r in P.numeric_distribution(vt).collect()} == {"/n": (1.5, 3.0)}
+    assert vt.where("path = '/t'").count() == 3
+
+
+def test_trailing_digits_of_any_length(spark):
+    start = 10**39 - 4
+    rows = [(k, f"id{start + k:045d}", f"id{start - k}") for k in range(9)]
+    coll = Collection(spark.createDataFrame(rows, "record_index bigint, up string, down string"))
+    found = {r["path"]: r for r in P.order_profile(P.value_table(coll, ["/up", "/down"])).collect()}
+    assert found["/up"]["suffix_plus_one_ratio"] == found["/down"]["suffix_minus_one_ratio"] == 1.0
+    assert found["/up"]["suffix_increase_ratio"] == found["/down"]["suffix_decrease_ratio"] == 1.0
+
+
+def test_objects_are_walked_to_the_bottom(spark):
+    deep = '{"leaf": 7}'
+    for k in range(14):
+        deep = '{"k%d": %s}' % (k, deep)
+    df = spark.createDataFrame([(0, '{"top": 1, "deep": %s}' % deep)], "record_index bigint, j string")
+    coll = Collection(df.select("record_index", F.parse_json("j").alias("record")))
+    paths = cells.variant_leaf_paths(coll)
+    assert paths[1] == "/top" and paths[0].endswith("/leaf") and paths[0].count("/") == 16
