@@ -24,6 +24,7 @@ from patina.llm.words import find_words, hash_shingles, hash_words, text_bytes
 
 SAMPLE = 8_000  # labelled rows that the classifier is fitted on, at most
 RIDGE = 1.0
+SHAPES = 135  # numbers that describe a text
 BROADCAST_GROUPS = 100_000  # hosts or paths, a few numbers each
 RESULT = ("evidence", "host_share", "path_share", "score", "keep")
 TINY = 1e-4  # probabilities stay this far from 0 and 1
@@ -79,7 +80,7 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> QualityModel:
     """Ridge logistic regression by Newton steps."""
     base = (y.sum() + 0.5) / (len(y) + 1)
     if not len(y):
-        return QualityModel(np.zeros(135), np.ones(135), np.zeros(135), 0.0, float(base))
+        return QualityModel(np.zeros(SHAPES), np.ones(SHAPES), np.zeros(SHAPES), 0.0, float(base))
     mean, scale = x.mean(0), x.std(0) + 1e-3
     z = np.column_stack([np.clip((x - mean) / scale, -8, 8), np.ones(len(x))])
     w = np.zeros(z.shape[1])
@@ -125,7 +126,7 @@ def train(
                 yield pa.RecordBatch.from_arrays([batch.column("label"), found], names=["label", "shape"])
 
     got = rows.mapInArrow(extract, "label int, shape array<double>").toArrow()
-    x = np.array(got.column("shape").to_pylist(), float).reshape(got.num_rows, -1)
+    x = np.array(got.column("shape").to_pylist(), float).reshape(got.num_rows, SHAPES)
     return fit(x, np.array(got.column("label").to_pylist(), float))
 
 

@@ -80,8 +80,8 @@ def test_empty_tables(spark):
 
 
 def test_query_on_the_given_tables(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"  # the smaller tables have a few dozen toxic examples
     found = QUERIES["op10_toxicity"](spark, sf)
     assert found.count() == read(spark, sf, "documents").count()
     joined = found.where("held_out").join(read(spark, sf, "labels"), "doc_id").collect()
-    assert joined and np.mean([r.predicted == r.toxic for r in joined]) >= 0.9
+    assert joined and np.mean([r.predicted == r.toxic for r in joined]) >= 0.95
