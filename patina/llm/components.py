@@ -15,16 +15,17 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
 
     ``larger`` ties neighbours above the vertex, else the vertex and neighbours below it.
     """
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(F.explode(ends).alias("e")).select("e.*")
     if not larger:
         both = both.where(F.col("v") < F.col("u"))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    if larger:
-        found = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        found = both.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        found = found.unionByName(least.select("u", F.col("m").alias("v")))
-    return found.where(F.col("u") != F.col("v")).distinct()
+    joined = both.where(F.col("v") > F.col("u")) if larger else both
+    tied = F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
+    # The least neighbour of a small star ties the vertex itself in place of its own loop.
+    found = tied if larger else F.when(F.col("v") == F.col("m"), F.struct("u", F.col("m").alias("v"))).otherwise(tied)
+    stars = joined.join(least, "u").select(found.alias("e")).select("e.*")
+    return stars.where(F.col("u") != F.col("v")).distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -38,7 +39,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = stored(edges.select("u", "v").where("u <> v").distinct())
     mark = None
     for _ in range(MAX_ROUNDS):
-        now = stored(_stars(_stars(now, larger=True), larger=False))
+        # Stored in between, for each star reads its edges twice.
+        now = stored(_stars(stored(_stars(now, larger=True)), larger=False))
         count, total = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if (count, total) == mark or not count:
             least = now.select(F.col("v").alias("u"), F.col("v").alias("component")).distinct()

@@ -416,8 +416,8 @@ def near_duplicates(
     if spread.limit(1).count():
         left = ties.join(spread, "tie").join(classes.select("v", "registers"), "v").join(sets, "v")
         more = remaining_links(into_blocks(left, "tie", "v", "size", home=TIE_HOME), least, kind, threshold)
-        links = stored(links.unionByName(more))
-        tied = _components(links)
+        known = more if tied is None else more.unionByName(tied.select("u", F.col("component").alias("v")))
+        tied = _components(stored(known))
     members = _labelled(classes.select("a", "b", "n_words", "v"), tied, "component").drop("v")
     found = signed.select("id", "a", "b", "n_words").join(members, ["a", "b", "n_words"], "left")
     alone = F.col("id").isNull() | (F.col("n_words") == 0)

@@ -122,11 +122,12 @@ def nn_pu_fit(
     the step goes the other way on that term.
     """
     width = positive.shape[1]
+    forward = lambda x, w: x @ w.astype(x.dtype)  # noqa: E731  no copy of the matrix in another type
     w, b = np.zeros(width), float(np.log(prior / (1 - prior)))
     m1, m2 = np.zeros(width + 1), np.zeros(width + 1)
     softplus = lambda x: np.logaddexp(0, x)
     for step in range(1, steps + 1):
-        zp, zu = positive @ w + b, unlabelled @ w + b
+        zp, zu = forward(positive, w) + b, forward(unlabelled, w) + b
         sp, su = sigmoid(zp), sigmoid(zu)
         negative_part = softplus(zu).mean() - prior * softplus(zp).mean()
         # Gradients of the mean losses with respect to the logits.
@@ -136,7 +137,8 @@ def nn_pu_fit(
             gp, gu = plus + minus_p, minus_u
         else:
             gp, gu = -minus_p, -minus_u
-        grad = np.append(positive.T @ gp + unlabelled.T @ gu + decay * w, gp.sum() + gu.sum())
+        slope = forward(positive.T, gp) + forward(unlabelled.T, gu) + decay * w
+        grad = np.append(slope, gp.sum() + gu.sum())
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad * grad
         move = rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - float(move[-1])
@@ -158,13 +160,12 @@ def _features_of(docs: DataFrame, ids: DataFrame, key: str, text: str) -> list[t
     # A key that many rows share still gives one text.
     chosen = chosen.groupBy("group", "id").agg(F.max("text").alias("text"))
     rows = chosen.select("group", "text").mapInArrow(extract, "group int, features array<int>").toArrow()
-    return list(
-        zip(
-            rows.column("group").to_pylist(),
-            (np.array(f.values, np.int32) for f in rows.column("features").combine_chunks()),
-            strict=True,
-        )
-    )
+    out = []
+    for batch in rows.to_batches():
+        flat, at = batch.column("features").flatten().to_numpy(), batch.column("features").offsets.to_numpy()
+        parts = np.split(flat, (at[1:-1] - at[0]))
+        out += [(g, part.copy()) for g, part in zip(batch.column("group").to_pylist(), parts, strict=True)]
+    return out
 
 
 def train(
