@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from patina.llm.shared import stored
 
 RATIO = 0.1  # a line on more than this part of its host's pages is boilerplate
-MIN_PAGES = 10  # and on so many pages at least: a tiny host proves nothing
+MIN_PAGES = 3  # and on so many at least: two copies of a page share all lines without being boilerplate
 BROADCAST_LINES = 200_000  # boilerplate lines, 16 bytes each
 RESULT = ("n_lines", "n_dropped")
 

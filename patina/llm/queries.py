@@ -90,10 +90,13 @@ FROM left_lines
 """
 
 
+LINES_SQL_MIN_PAGES = 10  # the floor that LINES_SQL states; the operator and the pipeline have none so high
+
+
 @query("op8_line_dedup", LINES_SQL)
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return linededup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
+    return linededup.drop_boilerplate(docs, min_pages=LINES_SQL_MIN_PAGES).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 def add_control_conversation(messages: DataFrame) -> DataFrame:

@@ -52,6 +52,16 @@ def test_shuffled_join_gives_the_same(spark, monkeypatch):
     assert ordered(got) == ordered(cleaned(pages(), linededup.RATIO, linededup.MIN_PAGES))
 
 
+def test_hosts_of_any_size_go_by_the_ratio(spark):
+    rows = [(1000 * n + i, f"menu\nbody {n} {i}", f"host {n}", 7, "x") for n in (3, 9, 10) for i in range(n)]
+    rows += [(90_000 + i, f"{'some' if i < 6 else 'other'}\nbody {i}", "fifty", 7, "x") for i in range(50)]
+    rows += [(80_000 + i, "copied\nwhole", "copies", 7, "x") for i in range(2)]
+    found = linededup.drop_boilerplate(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert ordered((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in found) == ordered(cleaned(rows, 0.1, 3))
+    dropped = {h: sum(r.n_dropped for r in found if r.source == h) for h in {r.source for r in found}}
+    assert dropped == {"host 3": 3, "host 9": 9, "host 10": 10, "fifty": 50, "copies": 0}
+
+
 def test_empty_table(spark):
     assert linededup.drop_boilerplate(spark.createDataFrame([], SCHEMA)).count() == 0
 
