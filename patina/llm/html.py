@@ -1,7 +1,8 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped first: each block element becomes a line, and what can never be main
-text (menus, notices, scripts and the like) becomes empty lines. Text lengths summed over
+text (menus, notices, scripts and the like) becomes empty lines, unless the text before and
+after it stands in one parent. Text lengths summed over
 a sliding window of lines then surge where main text begins and dive where it ends; the
 lines in between are kept whole.
 """
@@ -34,6 +35,10 @@ NOT_TEXT = frozenset(
     "nav header footer aside form button select menu dialog head audio video canvas map datalist".split()
 )
 MAIN = frozenset(["article", "main"])
+IN_PARENT = frozenset(  # blocks whose lines belong to the element around them
+    "address blockquote caption center dd dir dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr li ol p pre "
+    "table tbody td tfoot th thead tr ul".split()
+)
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies "
     "consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar "
@@ -64,13 +69,15 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[^a-z0-9]+")
+_ARTICLE = re.compile(r"<article[\s/>]", re.I)
+SOFT, HARD = 1, 2  # skips: by attributes or a form, which may wrap a whole page, and by other elements
 
 
 def is_boilerplate(name: str, attributes: str) -> bool:
     """Whether an element's name, class, id or role says that it isn't main text."""
     if name in NOT_TEXT:
         return True
-    if name in MAIN or name in ("body", "html") or "=" not in attributes:
+    if name in MAIN or name in ("body", "html") or "=" not in attributes or 'role="main"' in attributes:
         return False
     for kind, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
@@ -83,10 +90,10 @@ def is_boilerplate(name: str, attributes: str) -> bool:
 
 
 class _Lines:
-    """Lines of a page in order: (text, whether inside a main element, whether all in links)."""
+    """Lines of a page in order: (text, whether inside a main element, whether all in links, parent)."""
 
     def __init__(self) -> None:
-        self.lines: list[tuple[str, bool, bool]] = []
+        self.lines: list[tuple[str, bool, bool, int]] = []
         self.parts: list[str] = []
         self.plain = False  # some text of the line stands outside links
 
@@ -95,32 +102,36 @@ class _Lines:
         if not linked and not text.isspace():
             self.plain = True
 
-    def end(self, main: bool) -> None:
+    def end(self, main: bool, parent: int) -> None:
         if self.parts:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
-                self.lines.append((text, main, not self.plain))
+                self.lines.append((text, main, not self.plain, parent))
         self.parts, self.plain = [], False
 
     def gap(self) -> None:
         """Empty lines, enough to make every window over them dive."""
-        self.lines.extend([("", False, False)] * WINDOW)
+        self.lines.extend([("", False, False, 0)] * WINDOW)
+
 
+def page_lines(page: str, articles: bool = False) -> list[tuple[str, bool, bool, int]]:
+    """Strip markup; see ``_Lines``.
 
-def page_lines(page: str) -> list[tuple[str, bool, bool]]:
-    """Strip markup; see ``_Lines``."""
+    A main element ends a skip that it inherits. With ``articles`` an article does so too, where
+    the skip comes from attributes or a form and not from a menu, an aside or the like.
+    """
     lines = _Lines()
-    open_tags: list[tuple[str, bool, bool]] = []  # name, skips text, in main
+    open_tags: list[tuple[str, int, bool, int]] = []  # name, skips text (see SOFT), in main, parent of lines
     count: Counter[str] = Counter()
-    skip = main = False
+    skip, main, parent, parents = 0, False, 0, 0
 
     def pop_to(place: int) -> None:
-        nonlocal skip, main
-        for name, _, _ in open_tags[place:]:
+        nonlocal skip, main, parent
+        for name, *_ in open_tags[place:]:
             count[name] -= 1
         was = skip
         del open_tags[place:]
-        skip, main = (open_tags[-1][1], open_tags[-1][2]) if open_tags else (False, False)
+        skip, main, parent = open_tags[-1][1:] if open_tags else (0, False, 0)
         if was and not skip:
             lines.gap()
 
@@ -150,7 +161,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
             continue
         block = name in BLOCKS
         if block:
-            lines.end(main)
+            lines.end(main, parent)
         if closing:
             if count[name] > 0:
                 place = len(open_tags) - 1
@@ -165,16 +176,25 @@ def page_lines(page: str) -> list[tuple[str, bool, bool]]:
         if name in CLOSED_BY_SAME:
             close_open(SIBLINGS.get(name, (name,)), CLOSED_BY_SAME[name])
         rest = token["rest"] if token["rest"] is not None else (token["rest2"] or "")
-        starts = is_boilerplate(name, rest)
+        starts = 0
+        if is_boilerplate(name, rest):
+            starts = HARD if name in NOT_TEXT and name != "form" else SOFT
         if starts and not skip:
-            lines.end(main)
+            lines.end(main, parent)
             lines.gap()
-        open_tags.append((name, skip or starts, main or name in MAIN or 'role="main"' in rest))
+        marked = name in MAIN or 'role="main"' in rest
+        if marked and not main and (name != "article" or (articles and skip == SOFT)):
+            skip = 0
+        if block and name not in IN_PARENT:
+            parents += 1
+            parent = parents
+        skip = max(skip, starts)
+        main = main or (marked and not skip)
+        open_tags.append((name, skip, main, parent))
         count[name] += 1
-        skip, main = open_tags[-1][1], open_tags[-1][2]
     if not skip:
         lines.add(page[at:], count["a"] > 0)
-    lines.end(main)
+    lines.end(main, parent)
     return lines.lines
 
 
@@ -200,19 +220,60 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     """The blocks of a page's main text, one line each; empty if there are none.
 
     Inside an article or main element the surge needs a single character, for the element
-    itself says that its text is wanted. Elsewhere lines that are all link count as empty.
-    If no window surges, the page is so short that all of its lines are kept.
+    itself says that its text is wanted. Elsewhere lines that are all link count as empty, a
+    removed element inside one parent's text counts as absent, and between two kept lines of
+    a parent its short lines are kept. If no window surges, the page is so short that all of
+    its lines are kept.
+
+    Where the only articles stand in elements whose attributes say boilerplate, these may be
+    wrappers of the page or lists of teasers: the longer of both readings is taken.
     """
     lines = page_lines(page or "")
-    if any(main for _, main, _ in lines):
-        lengths, surge = [len(text) if main else 0 for text, main, _ in lines], 0
-    else:
-        lengths = [0 if linked else len(text) for text, _, linked in lines]
-    kept = surges(lengths, window, surge) or [(0, len(lines))]
-    only_main = surge == 0
-    return "\n".join(
-        text for start, end in kept for text, main, _ in lines[start:end] if text and (main or not only_main)
-    )
+    if any(line[1] for line in lines):
+        return _marked_text(lines, window)
+    text = _dense_text(lines, window, surge)
+    if _ARTICLE.search(page or ""):
+        inside = _marked_text(page_lines(page or "", articles=True), window)
+        return inside if len(inside) > len(text) else text
+    return text
+
+
+def _marked_text(lines: list[tuple[str, bool, bool, int]], window: int) -> str:
+    """Text in article and main elements."""
+    kept = surges([len(text) if main else 0 for text, main, _, _ in lines], window, 0)
+    return "\n".join(text for start, end in kept for text, main, _, _ in lines[start:end] if text and main)
+
+
+def _dense_text(lines: list[tuple[str, bool, bool, int]], window: int, surge: int) -> str:
+    """Text where windows surge, on pages that mark none."""
+    lines = _without_inner_gaps(lines)
+    ranges = surges([0 if linked else len(text) for text, _, linked, _ in lines], window, surge)
+    if not ranges:
+        return "\n".join(line[0] for line in lines if line[0])
+    kept = {i for start, end in ranges for i in range(start, end) if lines[i][0]}
+    held: dict[int, tuple[int, int]] = {}  # first and last kept line of a parent
+    for i in sorted(kept):
+        held[lines[i][3]] = (held.get(lines[i][3], (i, i))[0], i)
+    for i, (text, _, linked, parent) in enumerate(lines):
+        first, last = held.get(parent, (i, i))
+        if text and not linked and first < i < last:
+            kept.add(i)
+    return "\n".join(lines[i][0] for i in sorted(kept))
+
+
+def _without_inner_gaps(lines: list[tuple[str, bool, bool, int]]) -> list[tuple[str, bool, bool, int]]:
+    """Lines without the empty ones between two lines of the same parent."""
+    found: list[tuple[str, bool, bool, int]] = []
+    gap: list[tuple[str, bool, bool, int]] = []
+    for line in lines:
+        if not line[0]:
+            gap.append(line)
+            continue
+        if gap and not (found and found[-1][3] == line[3]):
+            found.extend(gap)
+        gap = []
+        found.append(line)
+    return found + gap
 
 
 def extract_main_text(

@@ -30,6 +30,34 @@ def test_cases(page, text):
     assert html.main_text(page) == text
 
 
+LOST = [
+    (f"<div><p>{PROSE} {PROSE}</p><div class=ad>x</div><p>Short end.</p></div>", f"{PROSE} {PROSE}\nShort end."),
+    (
+        f"<nav>n</nav><div><p>{PROSE}{PROSE}</p><aside>a</aside><h2>Head</h2><div class=ad>x</div><p>{PROSE}{PROSE}</p></div>",
+        f"{PROSE}{PROSE}\nHead\n{PROSE}{PROSE}",
+    ),
+    (
+        f"<div><p>{PROSE}{PROSE}</p>" + "<div><a>l</a></div>" * 4 + "<h2>Head</h2>" + "<div><a>l</a></div>" * 4 + f"<p>{PROSE}{PROSE}</p></div>",
+        f"{PROSE}{PROSE}\nHead\n{PROSE}{PROSE}",
+    ),
+    ("<div class='content-sidebar-wrap'><main><p>a</p><div class=ad>x</div></main><p>b</p></div>", "a"),
+    ("<div class='no-sidebar'><article><p>a</p></article></div>", "a"),
+    ("<section id=with-sidebar><div><article>a<div class=comments><article>c</article></div></article></div></section>", "a"),
+    ("<form><div class=ad>x</div><div role=\"main\" class='no-sidebar'>a</div></form>", "a"),
+]
+STILL_DROPPED = [
+    ("<article><p>a</p></article><div class=comments><article>c</article></div>", "a"),
+    (f"<div><p>{PROSE}{PROSE}</p></div><div class=related><article>teaser</article></div>", f"{PROSE}{PROSE}"),
+    (f"<div><p>{PROSE}{PROSE}</p></div><aside><article>{PROSE * 9}</article></aside>", f"{PROSE}{PROSE}"),
+    (f"<div><p>{PROSE}{PROSE}</p></div><div class=ad>x</div><div><p>note</p></div>", f"{PROSE}{PROSE}"),
+]
+
+
+@pytest.mark.parametrize("page, text", LOST + STILL_DROPPED)
+def test_removed_elements_and_wrappers_take_no_main_text(page, text):
+    assert html.main_text(page) == text
+
+
 def test_surge_and_dive():
     assert html.surges([0, 5, 100, 3, 0, 0, 0, 9, 0], 3, 86) == [(1, 4)]
     assert html.surges([0, 5, 0, 0, 0, 9], 3, 0) == [(1, 2), (5, 6)]
