@@ -14,8 +14,6 @@ from pyspark.sql import types as T
 
 from patina.errors import PatinaError
 
-MAX_DEPTH = 10
-
 
 def escape(token: str) -> str:
     return token.replace("~", "~0").replace("/", "~1")

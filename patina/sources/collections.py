@@ -8,47 +8,71 @@ from pyspark.sql import types as T
 
 from patina.collection import INDEX, Collection
 from patina.errors import PatinaError
-from patina.functions.pointers import MAX_DEPTH, escape, get_path, split, type_at
+from patina.functions.pointers import escape, get_path, split, type_at
 from patina.operators import order
 
-PROBED_ITEMS = 20
 
-
-def _object_arrays(dtype: T.DataType, base: str, depth: int):
-    if depth > MAX_DEPTH:
-        return
+def _object_arrays(dtype: T.DataType, base: str = ""):
+    """(pointer, levels) of each array that holds objects below ``levels`` further arrays."""
     if isinstance(dtype, T.ArrayType):
-        if isinstance(dtype.elementType, T.StructType):
-            yield base
-        elif isinstance(dtype.elementType, T.ArrayType):
-            for k in range(PROBED_ITEMS):
-                yield from _object_arrays(dtype.elementType, f"{base}/{k}", depth + 1)
+        levels, inner = 0, dtype.elementType
+        while isinstance(inner, T.ArrayType):
+            levels, inner = levels + 1, inner.elementType
+        if isinstance(inner, T.StructType):
+            yield base, levels
     elif isinstance(dtype, T.StructType):
         for f in dtype.fields:
-            yield from _object_arrays(f.dataType, base + "/" + escape(f.name), depth + 1)
+            yield from _object_arrays(f.dataType, base + "/" + escape(f.name))
+
+
+def _slot_sizes(df: DataFrame, column: Column, base: str, levels: int, place: int) -> DataFrame:
+    """Counts of the object arrays in the slots of an array of arrays, however many it has."""
+    held = df.select(F.lit(base).alias("record_path"), F.array().cast("array<int>").alias("slots"), column.alias("items"))
+    for _ in range(levels):
+        held = held.select("record_path", "slots", F.posexplode("items").alias("slot", "items")).select(
+            F.concat_ws("/", "record_path", F.col("slot").cast("string")).alias("record_path"),
+            F.concat("slots", F.array("slot")).alias("slots"),
+            "items",
+        )
+    count = F.sum(F.coalesce(F.size("items"), F.lit(0)).cast("bigint")).alias("record_count")
+    return held.groupBy("record_path", "slots").agg(count).select(
+        "record_path", "record_count", F.lit(place).alias("place"), "slots"
+    )
 
 
 def discover_collections(df: DataFrame) -> DataFrame:
     """(record_path, record_count) of every non-empty array of objects in a container.
 
     ``df`` holds containers, one document a row (usually just one). The candidates
-    come from the schema; one aggregate counts their records.
+    come from the schema, to its bottom; one aggregate counts their records. Slots of
+    arrays of arrays come from the data, one aggregate for each such array.
     """
     schema = T.StructType([f for f in df.schema.fields if f.name != INDEX])
-    paths = list(_object_arrays(schema, "", 0))
+    paths = list(_object_arrays(schema))
     if not paths:
         n = df.count()
         return df.sparkSession.createDataFrame([("", n)], "record_path string, record_count bigint")
     sizes = [
         F.sum(F.coalesce(F.size(get_path(schema, p)), F.lit(0)).cast("bigint")).alias(f"n{j}")
-        for j, p in enumerate(paths)
+        for j, (p, levels) in enumerate(paths)
+        if not levels
     ]
     rows = [
-        F.struct(F.lit(p).alias("record_path"), F.col(f"n{j}").alias("record_count"))
-        for j, p in enumerate(paths)
+        F.struct(F.lit(p).alias("record_path"), F.col(f"n{j}").alias("record_count"), F.lit(j).alias("place"))
+        for j, (p, levels) in enumerate(paths)
+        if not levels
     ]
-    found = df.agg(*sizes).select(F.explode(F.array(*rows)).alias("c")).select("c.*")
-    return found.where(F.col("record_count") > 0)
+    parts = [_slot_sizes(df, get_path(schema, p), p, levels, j) for j, (p, levels) in enumerate(paths) if levels]
+    if rows:
+        flat = df.agg(*sizes).select(F.explode(F.array(*rows)).alias("c")).select("c.*")
+        parts.append(flat.withColumn("slots", F.array().cast("array<int>")))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    found = found.where(F.col("record_count") > 0)
+    if len(parts) > 1 or not rows:
+        found = found.orderBy("place", "slots")
+    return found.select("record_path", "record_count")
 
 
 def select_collection(df: DataFrame, record_path: str | None = None) -> Collection:

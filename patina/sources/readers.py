@@ -20,6 +20,7 @@ from patina.operators import order
 from patina.sources.collections import explode_documents
 
 CORRUPT = "__corrupt"
+PROBE = "\x01patina\x01"  # a cell that no file holds
 
 
 def _number(df: DataFrame, order_by: list[str] | None) -> DataFrame:
@@ -57,6 +58,25 @@ def check_header(names: list[str | None]) -> None:
         seen.add(n)
 
 
+def _count_long_rows(spark: SparkSession, path: str, names: list[str], options: dict) -> int:
+    """Rows with more cells than the header.
+
+    Spark marks rows of another width. A cell put behind such a row is seen within the
+    header's width only where the row is the shorter one.
+    """
+    cells = [f"c{j}" for j in range(len(names))]
+    strings = T.StructType([T.StructField(c, T.StringType()) for c in [*cells, CORRUPT]])
+    marked = {**options, "columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
+    rows = spark.read.schema(strings).options(**marked, header=True, enforceSchema=True).csv(path)
+    # Spark refuses to read the mark alone, so another column is looked at too
+    odd = rows.where(F.col(CORRUPT).isNotNull() & (F.coalesce(F.col(cells[0]), F.lit("")) != F.lit(PROBE)))
+    longer = F.concat(CORRUPT, F.lit(options["sep"] + PROBE))
+    ddl = ", ".join(f"{c} STRING" for c in cells)
+    again = F.from_csv(longer, F.lit(ddl), {k: str(options[k]) for k in ("sep", "escape")})
+    seen = odd.select(again.alias("r")).select(F.array(*[F.col(f"r.{c}") for c in cells]).alias("cells"))
+    return seen.where(~F.coalesce(F.array_contains("cells", PROBE), F.lit(False))).count()
+
+
 def read_delimited(
     spark: SparkSession,
     path: str,
@@ -64,9 +84,16 @@ def read_delimited(
     order_by: list[str] | None = None,
     encoding: str = "UTF-8",
 ) -> Collection:
-    """CSV or TSV with a header. Every cell is text; an absent cell is ``""``."""
+    """CSV or TSV with a header. Every cell is text; an absent cell is ``""``.
+
+    A row with more cells than the header is an error, looked for in a pass of its own.
+    """
     names = header_names(spark, path, sep)
     check_header(names)
+    options = {"sep": sep, "escape": '"', "multiLine": True, "encoding": encoding}
+    long_rows = _count_long_rows(spark, path, names, options)
+    if long_rows:
+        raise PatinaError(f"{path}: {long_rows} rows have more cells than the header")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     df = (
         spark.read.schema(schema)

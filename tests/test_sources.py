@@ -31,6 +31,22 @@ def test_delimited_cells_are_text_and_round_trip(spark, tmp_path):
     assert again.df.orderBy("record_index").collect() == rows
 
 
+def test_rows_longer_than_the_header_are_refused(spark, tmp_path):
+    for name, text, n in (
+        ("long", 'a,b\n1,2,3\n1,"x\ny"\n', 1),
+        ("empty", 'a,b\n1,2,\n1,2,,\n"x\ny",2,"z, ""q"\n1\n', 3),
+        ("one", "a\n1\n1,2\n", 1),
+    ):
+        p = tmp_path / f"{name}.csv"
+        p.write_text(text)
+        with pytest.raises(PatinaError, match=f"{n} rows have more cells"):
+            R.read_delimited(spark, str(p), order_by=["a"])
+    short = tmp_path / "short.csv"
+    short.write_text('a,b,c\n1\n2,"x\ny"\n3,,\n')
+    rows = R.read_delimited(spark, str(short), order_by=["a"]).df.orderBy("a").collect()
+    assert [(r.a, r.b, r.c) for r in rows] == [("1", "", ""), ("2", "x\ny", ""), ("3", "", "")]
+
+
 def test_bad_headers_are_refused(spark, tmp_path):
     for name, text in {"dup": "a,a\n1,2\n", "gap": "a,,c\n1,2,3\n"}.items():
         p = tmp_path / f"{name}.csv"
@@ -72,6 +88,24 @@ def test_most_records_then_shallowest_is_selected(spark, tmp_path):
         R.read_json(spark, str(p), "/meta")
 
 
+def test_slots_and_depth_have_no_bound(spark):
+    schema = "few array<struct<a:int>>, grid array<array<struct<b:int>>>, cube array<array<array<struct<c:int>>>>"
+    deep = "struct<rows:array<struct<d:int>>>"
+    for k in range(14):
+        deep = f"struct<l{k}:{deep}>"
+    at = Row(rows=[Row(d=1)] * 4)
+    for k in range(14):
+        at = Row(**{f"l{k}": at})
+    grid = [None, *[[]] * 22, [Row(b=1)], *[[]] * 10, [Row(b=k) for k in range(9)]]
+    cube = [[], None, [None, *[[]] * 30, [Row(c=1)] * 3]]
+    df = spark.createDataFrame([([Row(a=1)] * 2, grid, cube, at)], f"{schema}, deep {deep}")
+    found = [(r[0], r[1]) for r in C.discover_collections(df).collect()]
+    path = "/deep" + "".join(f"/l{k}" for k in reversed(range(14))) + "/rows"
+    assert found == [("/few", 2), ("/grid/23", 1), ("/grid/34", 9), ("/cube/2/31", 3), (path, 4)]
+    chosen = C.select_collection(df)
+    assert chosen.record_path == "/grid/34" and chosen.count() == 9
+
+
 def test_discovery_lists_object_arrays_with_counts(spark):
     df = spark.createDataFrame(
         [Row(x=1, xs=[Row(a=1), Row(a=2)], plain=[1, 2], inner=Row(ys=[Row(b=1)]))]
