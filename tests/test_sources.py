@@ -1,5 +1,7 @@
 """Readers and writers, on files written by the tests."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from patina.errors import PatinaError
 from patina.sources import collections as C
 from patina.sources import readers as R
 from patina.sources import writers as W
+from queries import QUERIES, io_queries
 
 
 def numbered(spark, rows, schema=None):
@@ -47,6 +50,21 @@ def test_rows_longer_than_the_header_are_refused(spark, tmp_path):
     assert [(r.a, r.b, r.c) for r in rows] == [("1", "", ""), ("2", "x\ny", ""), ("3", "", "")]
 
 
+def test_release_catalogue_has_bytes_and_digests(spark, tmp_path):
+    for k, name in enumerate(io_queries.FILES):
+        rows = spark.range(k + 1).withColumnRenamed("id", f"{name}_key").coalesce(1)
+        rows.write.parquet(str(tmp_path / f"dir_{name}"))
+        part = next((tmp_path / f"dir_{name}").glob("part-*.parquet"))
+        (tmp_path / f"{name}.parquet").write_bytes(part.read_bytes())
+    got = {r.filename: r for r in QUERIES["file_release"](spark, str(tmp_path)).collect()}
+    assert len(got) == len(io_queries.FILES)
+    for k, name in enumerate(io_queries.FILES):
+        r, held = got[f"{name}.parquet"], (tmp_path / f"{name}.parquet").read_bytes()
+        assert (r.bytes, r.sha256) == (len(held), hashlib.sha256(held).hexdigest())
+        assert (r.id, r.site, r.title, r.format, r.rows) == (name, "tpch", name, "PARQUET", k + 1)
+        assert (r.period, r.station, r.province, r["columns"]) == (None, "", "", [f"{name}_key"])
+
+
 def test_bad_headers_are_refused(spark, tmp_path):
     for name, text in {"dup": "a,a\n1,2\n", "gap": "a,,c\n1,2,3\n"}.items():
         p = tmp_path / f"{name}.csv"
