@@ -286,3 +286,27 @@ def test_header_rows(spark):
     df = spark.createDataFrame(grid, "file string, row_no int, cells array<string>, is_text array<boolean>")
     got = {r["file"]: r["header_row"] for r in headers.detect_header_rows(df).collect()}
     assert got == {"plain": 1, "titled": 4, "notes": 1, "tie": 3, "late": 1}
+
+
+def test_foreign_patches_are_refused_where_they_are_applied(spark):
+    clean = Collection(spark.range(10).select(F.col("id").alias("record_index"), F.col("id").alias("a")))
+    schema = (
+        "patch_id string, record_path string, record_index bigint, error_type string, explanation string, "
+        "changes array<struct<path:string,value:string>>"
+    )
+    good = ("p0", "", 3, "e", "why", [("/a", "7")])
+    other = ("p1", "elsewhere", 99, "e", "why", [("/zz", "7")])
+    for bad, fields, maybe in (
+        (("p2", "", 99, "e", "why", [("/a", "7")]), ["/a"], None),
+        (("p2", "", 4, "e", "why", [("/a", "7"), ("/zz", "7")]), None, None),
+        (("p2", "", 4, "e", "why", [("/a", "7")]), [], None),
+        (("p2", "", 4, "e", "why", [("/a", "7")]), ["/a"], F.col("record_index") < 4),
+    ):
+        patches = spark.createDataFrame([good, other, bad], schema)
+        for use in (corrupt.apply_patches, corrupt.build_manifest):
+            with pytest.raises(PatinaError, match="foreign"):
+                use(clean, patches, fields, maybe)
+    patches = spark.createDataFrame([good, other], schema)
+    dirty = corrupt.apply_patches(clean, patches, ["/a"], F.col("record_index") < 4)
+    assert sorted(r.a for r in dirty.df.collect()) == [0, 1, 2, 4, 5, 6, 7, 7, 8, 9]
+    assert corrupt.build_manifest(clean, patches, ["/a"]).count() == 1
