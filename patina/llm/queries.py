@@ -79,7 +79,7 @@ held AS (
 bad AS (
   SELECT host, list(line) AS bad_lines
   FROM held JOIN (SELECT host, count(*) AS total FROM pages GROUP BY host) USING (host)
-  WHERE n >= 10 AND n / total > 0.1 GROUP BY host),
+  WHERE n >= 3 AND n / total > 0.1 GROUP BY host),
 left_lines AS (
   SELECT doc_id, lines, CASE WHEN bad_lines IS NULL THEN lines
     ELSE list_filter(lines, lambda x: NOT list_contains(bad_lines, trim(x))) END AS kept
@@ -90,13 +90,10 @@ FROM left_lines
 """
 
 
-LINES_SQL_MIN_PAGES = 10  # the floor that LINES_SQL states; the operator and the pipeline have none so high
-
-
 @query("op8_line_dedup", LINES_SQL)
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return linededup.drop_boilerplate(docs, min_pages=LINES_SQL_MIN_PAGES).select("doc_id", "text", "n_lines", "n_dropped")
+    return linededup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
 
 
 def add_control_conversation(messages: DataFrame) -> DataFrame:

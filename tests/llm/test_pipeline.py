@@ -9,7 +9,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from patina.llm import toxicity
+from patina.llm import linededup, toxicity
 from patina.llm.queries import learning_fold, read
 from patina.llm.shared import stored
 
@@ -54,7 +54,7 @@ def test_boilerplate_lines_go(steps):
     held, total = Counter(), Counter(r["source"] for r in before)
     for r in before:
         held.update({(r["source"], x.strip(" ")) for x in (r["text"] or "").split("\n") if x.strip(" ")})
-    bad = {k for k, n in held.items() if n >= 10 and n / total[k[0]] > 0.1}
+    bad = {k for k, n in held.items() if n >= linededup.MIN_PAGES and n / total[k[0]] > linededup.RATIO}
 
     def cleaned(r):
         if r["text"] is None:
