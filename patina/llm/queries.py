@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patina.llm import chat, decontaminate, embeddings, html, linededup, minhash, mixing, quality, toxicity, warc
+from patina.llm import (
+    chat,
+    decontaminate,
+    embeddings,
+    html,
+    licenses,
+    linededup,
+    minhash,
+    mixing,
+    prefix_trie,
+    quality,
+    runs,
+    toxicity,
+    warc,
+)
+from patina.llm.license_templates import TEMPLATES
 from patina.llm.shared import shared_folder
 from patina.session import configure
 
@@ -280,3 +295,149 @@ FROM embeddings JOIN least ON vec_id = least.a LEFT JOIN counts ON vec_id = coun
 @query("op1_embedding_dedup", VECTORS_SQL)
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+TRIE_SQL = """
+WITH own AS (
+  SELECT conv_id, list(struct_pack(id := sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')),
+                                   chars := length(coalesce(text, '')))
+                       ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+marked AS (
+  SELECT *, conv_id - conv_id % 100 AS base, xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda v, k: xor(v >> 1, (v & 1) * 3988292384)),
+    4294967295)) % 6 AS h FROM own),
+rebuilt AS (
+  SELECT m.conv_id, list_concat(coalesce(b.turns[1:m.h], []), m.turns[m.h + 1:]) AS turns
+  FROM marked m LEFT JOIN own b ON b.conv_id = m.base),
+members AS (
+  SELECT conv_id, depth, list_transform(turns[1:depth], lambda t: t.id) AS node, len(turns) = depth AS ends,
+         coalesce(turns[depth].chars, 0) AS chars
+  FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY node, depth),
+children AS (
+  SELECT p.node, p.depth, count(c.node) AS n_children
+  FROM nodes p LEFT JOIN nodes c ON c.depth = p.depth + 1 AND c.node[1:p.depth] = p.node GROUP BY p.node, p.depth),
+subtrees AS (
+  SELECT top, tops_depth, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * chars) AS BIGINT) AS saved_tokens
+  FROM (SELECT n.*, c.n_children, unnest(range(0, n.depth + 1)) AS tops_depth, n.node[1:tops_depth] AS top
+        FROM nodes n JOIN children c USING (node, depth)) GROUP BY top, tops_depth)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, c.n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN children c USING (node, depth) JOIN subtrees s ON s.top = n.node AND s.tops_depth = n.depth
+LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = read(spark, sf_dir, "conversations")
+    own = prefix_trie.turn_sequences(messages, "conv_id", "turn", "role", "text")
+    return prefix_trie.prefix_trie(prefix_trie.share_openings(own))
+
+
+def template_pattern(items: list) -> str:
+    """A regular expression for what a parsed license template accepts, each word after one space."""
+    parts = []
+    for item in items:
+        if isinstance(item, bytes):
+            parts.append(" " + item.decode())
+        elif isinstance(item, tuple):
+            parts.append(f"(?: [^ ]+){{{item[0]},{item[1]}}}")
+        else:
+            parts.append(f"(?:{template_pattern(item)})?")
+    return "".join(parts)
+
+
+LICENSES_SQL = r"""
+WITH patterns(label, pattern) AS (VALUES
+  PATTERNS),
+cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+places AS (
+  SELECT doc_id, words,
+    list_filter(range(len(words)), lambda i: words[i + 1] = 'mit' AND words[i + 2] = 'license') AS mit,
+    list_filter(range(len(words)), lambda i: words[i + 1] = 'apache' AND words[i + 2] = 'license') AS apache,
+    list_filter(range(len(words)), lambda i: words[i + 1] = 'general' AND words[i + 2] = 'public' AND words[i + 3] = 'license') AS gpl
+  FROM cut),
+labelled AS (
+  SELECT *, list_concat(mit, apache, gpl) AS base, list_filter([CASE WHEN len(apache) > 0 THEN 'apache' END,
+      CASE WHEN len(gpl) > 0 THEN 'gpl' END, CASE WHEN len(mit) > 0 THEN 'mit' END], lambda x: x IS NOT NULL) AS base_labels,
+    (SELECT coalesce(list(label), []) FROM patterns
+     WHERE regexp_matches(' ' || array_to_string(words, ' ') || ' ', pattern)) AS accepted
+  FROM places)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(base) AS BIGINT) AS n_base,
+  CAST(list_min(base) AS BIGINT) AS first_word, CAST(list_max(base) AS BIGINT) AS last_word,
+  array_to_string(base_labels, ',') AS base_labels,
+  array_to_string(list_sort(list_concat(base_labels, accepted)), ',') AS labels,
+  CASE WHEN len(accepted) > 0 THEN 1.0 WHEN len(base) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+FROM labelled
+"""
+
+
+def licenses_sql() -> str:
+    patterns: dict[str, list[str]] = {}
+    for label, markup in TEMPLATES:
+        patterns.setdefault(label, []).append(template_pattern(licenses.parse(markup)) + " ")
+    rows = ",\n  ".join(f"('{label}', '{'|'.join(found)}')" for label, found in patterns.items())
+    return LICENSES_SQL.replace("PATTERNS", rows)
+
+
+@query("op12_license_scan", licenses_sql())
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score: 1 where a template accepts, one half where only a phrase occurs, else 0."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.find_licenses(docs, keep=["doc_id"])
+    base = F.array_distinct(F.transform("phrases", lambda p: p["label"]))
+    accepted = F.array_distinct(F.transform("matches", lambda m: m["label"]))
+    places = F.transform("phrases", lambda p: p["first_word"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("bigint").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, accepted)), ",").alias("labels"),
+        F.when(F.size("matches") > 0, 1.0).when(F.size("phrases") > 0, 0.5).otherwise(0.0).alias("score"),
+    )
+
+
+def repeat_words(docs: DataFrame) -> DataFrame:
+    """Texts of which a tenth, by a hash of the id, repeat themselves from some word to their end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("bigint")
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n = F.size("words").cast("bigint")
+    split = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    placed = split.select("*", n.alias("n"), F.when(n > 0, F.col("g") % n).alias("a"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)).cast("bigint")
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    again = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), lambda i: F.element_at("words", (place(i) + 1).cast("int"))
+    )
+    text = F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text"))
+    return placed.select("*", period.alias("p")).select("doc_id", text.alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = repeat_words(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.collapse_runs(docs, keep=["doc_id"])
+    # The greatest: longest, then first, then of least period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

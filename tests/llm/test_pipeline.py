@@ -129,5 +129,5 @@ def test_run_registers(spark):
     assert entry.queries()["pipeline"] is pipeline.run and "pipeline" not in entry.oracle_sql()
     assert [name for name, _ in pipeline.STAGES] == ["toxicity", "line_dedup", "minhash", "decontaminate", "mix"]
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if re.match(r"op\d+_", n))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert read(spark, SF, "documents").where(F.col("doc_id").isNull()).count() == 0
