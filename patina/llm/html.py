@@ -2,9 +2,10 @@
 
 Markup is stripped first: each block element becomes a line, and what can never be main
 text (menus, notices, scripts and the like) becomes empty lines, unless the text before and
-after it stands in one parent. Text lengths summed over
-a sliding window of lines then surge where main text begins and dive where it ends; the
-lines in between are kept whole.
+after it stands in one parent or in one article. Every line has a weight, which is its
+length; elements change the weight but keep no line and drop none of those left. Weights
+summed over a sliding window of lines then surge where main text begins and dive where it
+ends; the lines in between are kept whole.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +23,9 @@ from pyspark.sql import types as T
 from patina.llm.shared import ship, text_slices
 
 WINDOW = 3  # lines of one block
-SURGE = 86  # characters in a window with which main text begins, where no element marks it
+SURGE = 86  # weight of a window with which main text begins
+MARKED = 100  # weight that a main element adds to each of its lines
+OUTSIDE = 0.125  # weight of a character outside main elements on pages that have some
 
 # Names that HTML or common page templates give to parts of a page.
 RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg")
@@ -40,10 +44,13 @@ IN_PARENT = frozenset(  # blocks whose lines belong to the element around them
     "table tbody td tfoot th thead tr ul".split()
 )
 BOILERPLATE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies "
-    "consent gdpr notice notices popup modal overlay newsletter subscribe subscription sidebar menu nav navbar "
-    "navigation breadcrumb breadcrumbs header masthead footer comment comments disqus reply replies respond "
-    "share sharing social related recommended widget toolbar pagination pager login signup search alert".split()
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies consent gdpr "
+    "newsletter subscribe subscription sidebar nav navbar navigation breadcrumb breadcrumbs masthead footer comment "
+    "comments disqus pagination pager".split()
+)
+OFTEN_BOILERPLATE = frozenset(  # inside a main element their text may still be the article's
+    "banner notice notices popup modal overlay menu header reply replies respond share sharing social related "
+    "recommended widget toolbar login signup search alert".split()
 )
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split()
@@ -70,30 +77,47 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORDS = re.compile(r"[^a-z0-9]+")
 _ARTICLE = re.compile(r"<article[\s/>]", re.I)
-SOFT, HARD = 1, 2  # skips: by attributes or a form, which may wrap a whole page, and by other elements
+# Skips: by attributes that leave a doubt, by attributes or a form, which may wrap a page, and by other elements.
+DOUBT, SOFT, HARD = 0.5, 1, 2
 
 
-def is_boilerplate(name: str, attributes: str) -> bool:
-    """Whether an element's name, class, id or role says that it isn't main text."""
+def boilerplate(name: str, attributes: str) -> float:
+    """How surely an element's name, class, id or role says that it isn't main text; 0 if it doesn't."""
     if name in NOT_TEXT:
-        return True
+        return SOFT if name == "form" else HARD
     if name in MAIN or name in ("body", "html") or "=" not in attributes or 'role="main"' in attributes:
-        return False
+        return 0
+    found = 0
     for kind, *values in _ATTRIBUTE.findall(attributes):
         value = "".join(values).lower()
         if kind.lower() == "role":
             if BOILERPLATE_ROLES.intersection(value.split()):
-                return True
-        elif BOILERPLATE_WORDS.intersection(_WORDS.split(value)):
-            return True
-    return False
+                return SOFT
+            continue
+        words = _WORDS.split(value)
+        if BOILERPLATE_WORDS.intersection(words):
+            return SOFT
+        if OFTEN_BOILERPLATE.intersection(words):
+            found = DOUBT
+    return found
+
+
+class Line(NamedTuple):
+    """``linked`` if all of its text is in links; ``doubt`` numbers the element that may be boilerplate."""
+
+    text: str
+    main: bool = False
+    linked: bool = False
+    parent: int = 0
+    doubt: int = 0
 
 
 class _Lines:
-    """Lines of a page in order: (text, whether inside a main element, whether all in links, parent)."""
+    """Lines of a page in order."""
 
-    def __init__(self) -> None:
-        self.lines: list[tuple[str, bool, bool, int]] = []
+    def __init__(self, window: int) -> None:
+        self.window = window
+        self.lines: list[Line] = []
         self.parts: list[str] = []
         self.plain = False  # some text of the line stands outside links
 
@@ -102,37 +126,50 @@ class _Lines:
         if not linked and not text.isspace():
             self.plain = True
 
-    def end(self, main: bool, parent: int) -> None:
+    def end(self, main: bool, parent: int, doubt: int) -> None:
         if self.parts:
             text = " ".join(html.unescape("".join(self.parts)).split())
             if text:
-                self.lines.append((text, main, not self.plain, parent))
+                self.lines.append(Line(text, main, not self.plain, parent, doubt))
         self.parts, self.plain = [], False
 
     def gap(self) -> None:
         """Empty lines, enough to make every window over them dive."""
-        self.lines.extend([("", False, False, 0)] * WINDOW)
+        self.lines.extend([Line("")] * self.window)
+
+
+class _Open(NamedTuple):
+    """An open element and how text in it is read."""
 
+    name: str
+    skip: float
+    main: bool
+    parent: int
+    doubt: int
 
-def page_lines(page: str, articles: bool = False) -> list[tuple[str, bool, bool, int]]:
-    """Strip markup; see ``_Lines``.
 
-    A main element ends a skip that it inherits. With ``articles`` an article does so too, where
-    the skip comes from attributes or a form and not from a menu, an aside or the like.
+def page_lines(page: str, articles: bool = False, window: int = WINDOW) -> list[Line]:
+    """Strip markup.
+
+    Gaps stand where a main element begins and ends and, outside main elements, for what is
+    left out. A main element ends a skip that it inherits. With ``articles`` an article does so
+    too, where the skip comes from attributes or a form and not from a menu, an aside or the like.
     """
-    lines = _Lines()
-    open_tags: list[tuple[str, int, bool, int]] = []  # name, skips text (see SOFT), in main, parent of lines
+    lines = _Lines(window)
+    top = _Open("", 0, False, 0, 0)
+    open_tags: list[_Open] = []
     count: Counter[str] = Counter()
-    skip, main, parent, parents = 0, False, 0, 0
+    parents = doubts = 0
 
     def pop_to(place: int) -> None:
-        nonlocal skip, main, parent
-        for name, *_ in open_tags[place:]:
-            count[name] -= 1
-        was = skip
+        nonlocal top
+        for tag in open_tags[place:]:
+            count[tag.name] -= 1
+        was = top
         del open_tags[place:]
-        skip, main, parent = open_tags[-1][1:] if open_tags else (0, False, 0)
-        if was and not skip:
+        top = open_tags[-1] if open_tags else _Open("", 0, False, 0, 0)
+        if (was.skip and not top.skip and not top.main) or (was.main and not top.main):
+            lines.end(was.main, was.parent, was.doubt)
             lines.gap()
 
     def close_open(names, scope) -> None:
@@ -140,15 +177,15 @@ def page_lines(page: str, articles: bool = False) -> list[tuple[str, bool, bool,
         if not any(count[n] > 0 for n in names):
             return
         for k in range(len(open_tags) - 1, -1, -1):
-            if open_tags[k][0] in names:
+            if open_tags[k].name in names:
                 pop_to(k)
                 return
-            if open_tags[k][0] in scope:
+            if open_tags[k].name in scope:
                 return
 
     at = 0
     for token in _TOKEN.finditer(page):
-        if token.start() > at and not skip:
+        if token.start() > at and not top.skip:
             lines.add(page[at : token.start()], count["a"] > 0)
         at = token.end()
         name = (token["name"] or token["name2"] or token["raw"] or "").lower()
@@ -156,16 +193,16 @@ def page_lines(page: str, articles: bool = False) -> list[tuple[str, bool, bool,
             continue
         closing = bool(token["close"] or token["close2"])
         if name == "br":
-            if not skip:
+            if not top.skip:
                 lines.add(" ", True)
             continue
         block = name in BLOCKS
         if block:
-            lines.end(main, parent)
+            lines.end(top.main, top.parent, top.doubt)
         if closing:
             if count[name] > 0:
                 place = len(open_tags) - 1
-                while open_tags[place][0] != name:
+                while open_tags[place].name != name:
                     place -= 1
                 pop_to(place)
             continue
@@ -176,12 +213,17 @@ def page_lines(page: str, articles: bool = False) -> list[tuple[str, bool, bool,
         if name in CLOSED_BY_SAME:
             close_open(SIBLINGS.get(name, (name,)), CLOSED_BY_SAME[name])
         rest = token["rest"] if token["rest"] is not None else (token["rest2"] or "")
-        starts = 0
-        if is_boilerplate(name, rest):
-            starts = HARD if name in NOT_TEXT and name != "form" else SOFT
+        _, skip, main, parent, doubt = top
+        starts = boilerplate(name, rest)
+        if starts == DOUBT:
+            if main and not doubt:
+                doubts += 1
+                doubt = doubts
+            starts = 0 if main else SOFT
         if starts and not skip:
-            lines.end(main, parent)
-            lines.gap()
+            lines.end(main, parent, doubt)
+            if not main:
+                lines.gap()
         marked = name in MAIN or 'role="main"' in rest
         if marked and not main and (name != "article" or (articles and skip == SOFT)):
             skip = 0
@@ -189,87 +231,100 @@ def page_lines(page: str, articles: bool = False) -> list[tuple[str, bool, bool,
             parents += 1
             parent = parents
         skip = max(skip, starts)
-        main = main or (marked and not skip)
-        open_tags.append((name, skip, main, parent))
+        if marked and not skip and not main:
+            main = True
+            lines.gap()
+        top = _Open(name, skip, main, parent, doubt)
+        open_tags.append(top)
         count[name] += 1
-    if not skip:
+    if not top.skip:
         lines.add(page[at:], count["a"] > 0)
-    lines.end(main, parent)
+    lines.end(top.main, top.parent, top.doubt)
     return lines.lines
 
 
-def surges(lengths: list[int], window: int = WINDOW, surge: int = SURGE) -> list[tuple[int, int]]:
+def surges(weights: list[float], window: int = WINDOW, surge: float = SURGE) -> list[tuple[int, int]]:
     """Line ranges [start, end) between a surge of the window sums and their dive to nothing."""
-    sums, total = [0] * len(lengths), 0
-    for i in range(len(lengths) - 1, -1, -1):
-        total += lengths[i] - (lengths[i + window] if i + window < len(lengths) else 0)
-        sums[i] = total
     found, start = [], None
-    for i, held in enumerate(sums):
-        if start is None and held > surge and lengths[i]:
+    for i, weight in enumerate(weights):
+        held = sum(weights[i : i + window])
+        if start is None and held > surge and weight:
             start = i
         elif start is not None and not held:
             found.append((start, i))
             start = None
     if start is not None:
-        found.append((start, len(lengths)))
+        found.append((start, len(weights)))
     return found
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
+def main_text(page: str | None, window: int = WINDOW, surge: float = SURGE) -> str:
     """The blocks of a page's main text, one line each; empty if there are none.
 
-    Inside an article or main element the surge needs a single character, for the element
-    itself says that its text is wanted. Elsewhere lines that are all link count as empty, a
-    removed element inside one parent's text counts as absent, and between two kept lines of
-    a parent its short lines are kept. If no window surges, the page is so short that all of
-    its lines are kept.
+    A line weighs its length. A main element (article, main) adds ``MARKED`` to each of its lines, so
+    they surge by default, and on a page with such lines a character outside counts only
+    ``OUTSIDE``. Lines outside that are all link weigh nothing. A removed element inside one
+    parent's text or a main element counts as absent, and between two kept lines of a parent
+    its short lines are kept. An element inside a main element whose attributes may mean
+    boilerplate stays only if its own text surges at the weight of outside text. If no
+    window surges, the page is so short that all of its lines are kept.
 
     Where the only articles stand in elements whose attributes say boilerplate, these may be
     wrappers of the page or lists of teasers: the longer of both readings is taken.
     """
-    lines = page_lines(page or "")
-    if any(line[1] for line in lines):
-        return _marked_text(lines, window)
+    lines = page_lines(page or "", window=window)
     text = _dense_text(lines, window, surge)
-    if _ARTICLE.search(page or ""):
-        inside = _marked_text(page_lines(page or "", articles=True), window)
-        return inside if len(inside) > len(text) else text
-    return text
-
-
-def _marked_text(lines: list[tuple[str, bool, bool, int]], window: int) -> str:
-    """Text in article and main elements."""
-    kept = surges([len(text) if main else 0 for text, main, _, _ in lines], window, 0)
-    return "\n".join(text for start, end in kept for text, main, _, _ in lines[start:end] if text and main)
-
-
-def _dense_text(lines: list[tuple[str, bool, bool, int]], window: int, surge: int) -> str:
-    """Text where windows surge, on pages that mark none."""
-    lines = _without_inner_gaps(lines)
-    ranges = surges([0 if linked else len(text) for text, _, linked, _ in lines], window, surge)
+    if any(line.main for line in lines) or not _ARTICLE.search(page or ""):
+        return text
+    inside = page_lines(page or "", articles=True, window=window)
+    if not any(line.main for line in inside):
+        return text
+    return max(text, _dense_text(inside, window, surge), key=len)
+
+
+def _dense_text(lines: list[Line], window: int, surge: float) -> str:
+    """Text where windows surge."""
+    lines = _without_inner_gaps(_without_doubtful(lines, window, surge))
+    marks = any(line.main for line in lines)
+    ranges = surges([_weight(line, marks) for line in lines], window, surge)
     if not ranges:
-        return "\n".join(line[0] for line in lines if line[0])
-    kept = {i for start, end in ranges for i in range(start, end) if lines[i][0]}
+        return "\n".join(line.text for line in lines if line.text)
+    kept = {i for start, end in ranges for i in range(start, end) if lines[i].text}
     held: dict[int, tuple[int, int]] = {}  # first and last kept line of a parent
     for i in sorted(kept):
-        held[lines[i][3]] = (held.get(lines[i][3], (i, i))[0], i)
-    for i, (text, _, linked, parent) in enumerate(lines):
-        first, last = held.get(parent, (i, i))
-        if text and not linked and first < i < last:
+        held[lines[i].parent] = (held.get(lines[i].parent, (i, i))[0], i)
+    for i, line in enumerate(lines):
+        first, last = held.get(line.parent, (i, i))
+        if line.text and not line.linked and first < i < last:
             kept.add(i)
-    return "\n".join(lines[i][0] for i in sorted(kept))
+    return "\n".join(lines[i].text for i in sorted(kept))
+
+
+def _weight(line: Line, marks: bool) -> float:
+    if line.main:
+        return len(line.text) + MARKED
+    return 0 if line.linked else len(line.text) * (OUTSIDE if marks else 1)
+
+
+def _without_doubtful(lines: list[Line], window: int, surge: float) -> list[Line]:
+    """Lines without those of elements that may be boilerplate and whose own text doesn't surge."""
+    own: dict[int, list[float]] = {}
+    for line in lines:
+        if line.doubt:
+            own.setdefault(line.doubt, []).append(_weight(line._replace(main=False), True))
+    gone = {k for k, weights in own.items() if not surges(weights, window, surge)}
+    return [line for line in lines if line.doubt not in gone]
 
 
-def _without_inner_gaps(lines: list[tuple[str, bool, bool, int]]) -> list[tuple[str, bool, bool, int]]:
+def _without_inner_gaps(lines: list[Line]) -> list[Line]:
     """Lines without the empty ones between two lines of the same parent."""
-    found: list[tuple[str, bool, bool, int]] = []
-    gap: list[tuple[str, bool, bool, int]] = []
+    found: list[Line] = []
+    gap: list[Line] = []
     for line in lines:
-        if not line[0]:
+        if not line.text:
             gap.append(line)
             continue
-        if gap and not (found and found[-1][3] == line[3]):
+        if gap and not (found and found[-1].parent == line.parent and found[-1].main == line.main):
             found.extend(gap)
         gap = []
         found.append(line)
