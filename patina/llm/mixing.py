@@ -30,6 +30,7 @@ CURRICULA: tuple[Knots, ...] = (
 )
 BUCKET_ROWS = 5_000  # documents that one window task lays end to end
 BROADCAST_ROWS = 100_000  # sources or buckets, a few numbers each
+FIRST = "__first_position"
 RESULT = ("size", "source_size", "target", "taken", "positions")
 
 
@@ -63,38 +64,55 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
+def numbered_sources(sizes: DataFrame) -> DataFrame:
+    """``sizes`` with ``number``, from 0 in code point order of the source, null last.
+
+    Sorted into ranges and numbered within each; of the ranges only row counts are compared.
+    """
+    spread = sizes.repartitionByRange(F.col("source").asc_nulls_last()).select("*", F.spark_partition_id().alias("part"))
+    spread = stored(spread)
+    counts = spread.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    starts = counts.select("part", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy("part").orderBy(F.col("source").asc_nulls_last()))
+    return spread.withColumn("row", within).join(F.broadcast(starts), "part").select(
+        *sizes.columns, (F.col("start") + F.col("row") - 1).alias("number")
+    )
+
+
 def source_targets(sizes: DataFrame, curricula: Sequence[Knots], most: int) -> DataFrame:
     """Words each source gives: one row per source of ``sizes`` (source, source_size).
 
     Sources in code point order, null last, take the curricula in turn. They share the
     sum of all sizes by weight; a source gives at most ``most`` times its size, and what
-    it cannot give is shared again by weight. Sorted by the level at which they run out,
-    sources run out in order, so two running sums find the level that the rest reach.
+    it cannot give is shared again by weight. The level that the others reach rises from
+    round to round, each an aggregate over the sources, until no more of them run out.
     """
     weights = F.array(*[F.lit(float(integral(c))) for c in curricula])
-    turn = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    ranked = (
-        sizes.withColumn("curriculum", (turn % len(curricula)).cast("int"))
+    ranked = stored(
+        numbered_sources(sizes)
+        .withColumn("curriculum", (F.col("number") % len(curricula)).cast("int"))
         .withColumn("weight", F.element_at(weights, F.col("curriculum") + 1))
         .withColumn("most", F.col("source_size") * F.lit(most))
         .withColumn("full_at", F.col("most") / F.col("weight"))
     )
-    whole = Window.partitionBy()
-    before = Window.orderBy("full_at", F.col("source").asc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    level = (F.sum("source_size").over(whole) - F.coalesce(F.sum("most").over(before), F.lit(0))) / (
-        F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    )
-    levels = ranked.withColumn("level", level).withColumn("full", F.col("level") > F.col("full_at"))
-    reached = F.max(F.when(~F.col("full"), F.col("level"))).over(whole)
-    return levels.select(
+    total = ranked.agg(F.sum("source_size")).first()[0]
+    level, stopped = float("-inf"), -1
+    while True:
+        full = F.col("full_at") < F.lit(level)
+        n, given, weight = ranked.agg(
+            F.count_if(full), F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("weight")))
+        ).first()
+        if n == stopped or not weight:
+            break
+        level, stopped = (total - (given or 0)) / weight, n
+    return ranked.select(
         "source",
         "source_size",
         "curriculum",
         "weight",
-        F.when(F.col("full"), F.col("most").cast("double"))
-        .otherwise(reached * F.col("weight"))
+        F.when(F.col("full_at") < F.lit(level), F.col("most").cast("double"))
+        .otherwise(F.lit(level) * F.col("weight"))
         .alias("target"),
     )
 
@@ -193,3 +211,11 @@ def training_order(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
         F.posexplode("positions").alias("epoch", "position"),
     )
     return rows.repartitionByRange("position", key).sortWithinPartitions("position", key)
+
+
+def document_order(mixed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``mixed``, range-sorted by the position of their first copy, those without copies last."""
+    first = F.try_element_at("positions", F.lit(1))
+    rows = stored(mixed.select("*", first.alias(FIRST)))
+    order = [F.col(FIRST).asc_nulls_last(), F.col(key).asc_nulls_last()]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).select(*mixed.columns)

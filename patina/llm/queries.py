@@ -63,25 +63,35 @@ levels AS (
   WINDOW ahead AS (ORDER BY 3 * source_size / weight, source NULLS LAST
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 targets AS (
-  SELECT source, source_size, CASE WHEN level > full_at THEN CAST(most AS DOUBLE)
+  SELECT source, source_size, weight, CASE WHEN level > full_at THEN CAST(most AS DOUBLE)
     ELSE weight * max(CASE WHEN level <= full_at THEN level END) OVER () END AS target
   FROM levels),
 laid AS (
-  SELECT s.*, t.source_size, t.target, coalesce(sum(size) OVER (
+  SELECT s.*, t.source_size, t.target, t.weight, coalesce(sum(size) OVER (
       PARTITION BY s.source ORDER BY place, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CASE WHEN size = 0 THEN 0 ELSE size * (CAST(middle <= target AS BIGINT)
-         + CAST(middle + source_size <= target AS BIGINT)
-         + CAST(middle + 2 * source_size <= target AS BIGINT)) END AS taken
-FROM laid
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+copies AS (
+  SELECT *, list_filter([CAST(middle AS DOUBLE), middle + source_size, middle + 2 * source_size],
+                        lambda m: size > 0 AND m <= target) AS middles FROM laid),
+times AS (
+  SELECT *, list_transform(list_transform(middles, lambda m: m * (weight / target)), lambda w: CASE
+    WHEN weight = 1 THEN CASE WHEN w <= 1 THEN 2 * w / (1.5 + sqrt(greatest(0, 2.25 - 2 * w))) ELSE 1 END
+    WHEN weight = 2 THEN CASE WHEN w <= 0.75 THEN 2 * w / (1.0 + sqrt(1.0 + 4 * w))
+      WHEN w <= 2 THEN 0.5 + 2 * (w - 0.75) / (2.0 + sqrt(4.0 + 4 * (w - 0.75))) ELSE 1 END
+    ELSE CASE WHEN w <= 3 THEN 2 * w / 6.0 ELSE 1 END END) AS positions FROM copies)
+SELECT doc_id, size, source_size, target, size * len(middles) AS taken,
+       array_to_string(list_transform(positions, lambda p: CAST(floor(least(1.0, p) * 1000000) AS BIGINT)), ',') AS positions
+FROM times
 """
 
 
 @query("op2_mix_sources", MIX_SQL)
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Range-sorted by the first training position; positions are in millionths of the training time."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "positions")
+    millionths = F.transform("positions", lambda p: F.floor(p * 1_000_000).cast("string"))
+    return mixing.document_order(mixed).withColumn("positions", F.array_join(millionths, ","))
 
 
 LINES_SQL = """
