@@ -340,22 +340,9 @@ def field_dictionary(spark, sf_dir):
 FILES = ("nation", "customer", "orders", "lineitem")
 
 
-@query(
-    "file_catalog",
-    " UNION ALL ".join(
-        f"""SELECT '{n}' AS id, '{n}.parquet' AS filename, 'PARQUET' AS format, (SELECT count(*) FROM {n}) AS rows,
-  (SELECT string_agg(column_name, ',' ORDER BY column_index) FROM duckdb_columns() WHERE table_name = '{n}') AS columns"""
-        for n in FILES
-    ),
-)
+@query("file_catalog")
 def file_catalog(spark, sf_dir):
-    """The columns of ``file_release`` that its SQL gives: format, rows and columns."""
-    return file_release(spark, sf_dir).select("id", "filename", "format", "rows", F.array_join("columns", ",").alias("columns"))
-
-
-@query("file_release")
-def file_release(spark, sf_dir):
-    """All catalogue columns but the url; no SQL gives bytes and digests, tests/test_sources.py does."""
+    """All catalogue columns but the url; no SQL gives bytes and digests, tests/test_sources.py checks them."""
     sets = [
         (f"{n}.parquet", table(spark, sf_dir, n), {"id": n, "site": "tpch", "title": n, "format": "PARQUET"})
         for n in FILES

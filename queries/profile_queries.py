@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from patina import Collection
+from patina.functions.values import PATTERNS
 from patina.operators import order
 from patina.operators import profile as P
 from queries.base import LINE_KEY, query, read, table
@@ -95,15 +96,7 @@ def profile_numeric(spark, sf_dir):
 
 # ---------------------------------------------------------------- patterns and ranges
 
-RE2 = {
-    "email": r"^[^\s@]+@[^\s@]+\.[^\s@]+$",
-    "url": r"(?i)^https?://",
-    "uuid": r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[1-5][0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$",
-    "iso_date": r"^\d{4}-\d{2}-\d{2}$",
-    "iso_datetime": r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}",
-    "integer_text": r"^[+-]?\d+$",
-    "decimal_text": r"^[+-]?(?:\d+\.\d*|\d*\.\d+)$",
-}
+RE2 = PATTERNS  # plain enough for both engines
 
 TEXTS_SQL = {
     "url": "SELECT url AS v FROM pages",

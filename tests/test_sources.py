@@ -56,7 +56,7 @@ def test_release_catalogue_has_bytes_and_digests(spark, tmp_path):
         rows.write.parquet(str(tmp_path / f"dir_{name}"))
         part = next((tmp_path / f"dir_{name}").glob("part-*.parquet"))
         (tmp_path / f"{name}.parquet").write_bytes(part.read_bytes())
-    got = {r.filename: r for r in QUERIES["file_release"](spark, str(tmp_path)).collect()}
+    got = {r.filename: r for r in QUERIES["file_catalog"](spark, str(tmp_path)).collect()}
     assert len(got) == len(io_queries.FILES)
     for k, name in enumerate(io_queries.FILES):
         r, held = got[f"{name}.parquet"], (tmp_path / f"{name}.parquet").read_bytes()
