@@ -229,15 +229,3 @@ def trailing_integer(col: Column, dtype: T.DataType) -> Column:
 def full_match(text: Column, pattern: str) -> Column:
     return text.rlike(rf"\A(?:{pattern})\z")
 
-
-def sql_literal(value, dtype: T.DataType) -> str:
-    """SQL text of a collected non-null value."""
-    if isinstance(value, bool):
-        return str(value).upper()
-    if isinstance(value, float):
-        return f"CAST('{value!r}' AS DOUBLE)"
-    if isinstance(value, bytes | bytearray):
-        return f"X'{bytes(value).hex()}'"
-    if isinstance(value, str):
-        return sql_text(value)
-    return f"CAST('{value}' AS {dtype.simpleString()})"

@@ -1,8 +1,9 @@
 """Positions: numbering rows, walking them in order, sampling by stride.
 
-Nothing here sorts a table in one task. Rows are cut into buckets, work is done
-inside each bucket, and only one small row per bucket (at most ``MAX_BUCKETS``)
-ever passes through a single partition to carry offsets or last values forward.
+Nothing here sorts a table in one task. Rows are cut into buckets of a row budget, work
+is done inside each bucket, and a bucket's summary (its size, or its first and last
+values) is one small row. Summaries merge: they are combined in levels of at most ``FAN``
+neighbours, so that what a task holds depends neither on the rows nor on the buckets.
 """
 
 from __future__ import annotations
@@ -15,39 +16,72 @@ from pyspark.sql import functions as F
 from patina.collection import INDEX, Collection
 from patina.errors import PatinaError
 from patina.functions.pointers import quoted
-from patina.functions.values import sql_literal
 from patina.operators.stage import stage
 
-MAX_BUCKETS = 8192
-MIN_BUCKET_ROWS = 32_768
-SAMPLES_PER_BUCKET = 32
-RANGE_BUCKETS = 2048  # cut points become one expression, so there are fewer of them
+BUCKET_ROWS = 32_768
+FAN = 8192  # neighbouring summaries that one task combines
+BROADCAST_BUCKETS = 1_000_000  # offsets of this many buckets stay under 30 MB
 BROADCAST_FILES = 100_000  # offsets of this many files stay under 20 MB
 
 
-def bucket_width(rows: int, min_rows: int = MIN_BUCKET_ROWS) -> int:
-    """Rows per bucket so that a table of ``rows`` makes at most MAX_BUCKETS."""
-    return max(min_rows, math.ceil(rows / MAX_BUCKETS), 1)
+def index_bucket(index: Column | None = None, rows: int | None = None) -> Column:
+    """Number of the bucket of ``rows`` (``BUCKET_ROWS``) consecutive records."""
+    col = F.col(INDEX) if index is None else index
+    return F.floor(col / F.lit(rows or BUCKET_ROWS)).cast("bigint")
 
 
-def index_bucket(width: int, index: Column | None = None) -> Column:
-    col = F.col(INDEX) if index is None else index
-    return F.floor(col / F.lit(width)).cast("bigint")
+def bucket_count(rows: int, bucket_rows: int | None = None) -> int:
+    return max(1, math.ceil(rows / (bucket_rows or BUCKET_ROWS)))
 
 
-def running_offsets(counts: DataFrame, bucket: str, size: str, by: list[str] | None = None):
+def running_offsets(counts: DataFrame, bucket: str, size: str, buckets: int, by: list[str] | None = None):
     """Add ``offset``: the sum of ``size`` over earlier buckets (of the same ``by`` group).
 
-    Takes one row per bucket, so the window holds at most MAX_BUCKETS rows a group.
+    Takes one row per bucket, numbered below ``buckets``. A group of ``FAN`` neighbours is
+    summed in one task; the sums of the groups before it come from the level above.
     """
-    window = Window.partitionBy(*(by or [])).orderBy(bucket)
-    before = window.rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("offset", F.coalesce(F.sum(size).over(before), F.lit(0)))
+    keys = by or []
+
+    def before(*parts: str) -> Column:
+        window = Window.partitionBy(*parts).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(window), F.lit(0))
+
+    if buckets <= FAN:
+        return counts.withColumn("offset", before(*keys))
+    up = bucket + "_up"
+    level = counts.withColumn(up, F.floor(F.col(bucket) / F.lit(FAN)).cast("bigint"))
+    ups = level.groupBy(*keys, up).agg(F.sum(size).alias("__sum"))
+    ups = running_offsets(ups, up, "__sum", bucket_count(buckets, FAN), by)
+    ups = ups.select(*keys, up, F.col("offset").alias("__ahead"))
+    within = level.withColumn("offset", before(*keys, up))
+    return within.join(ups, [*keys, up]).select(*counts.columns, (F.col("offset") + F.col("__ahead")).alias("offset"))
+
+
+def last_before(edges: DataFrame, bucket: str, names: list[str], buckets: int) -> DataFrame:
+    """``bucket`` and, for each of ``names``, its last non-null value in earlier buckets.
+
+    Takes one row per bucket and works in levels as ``running_offsets`` does.
+    """
+
+    def before(*parts: str) -> list[Column]:
+        window = Window.partitionBy(*parts).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.last(n, ignorenulls=True).over(window).alias(n) for n in names]
+
+    if buckets <= FAN:
+        return edges.select(bucket, *before())
+    up = bucket + "_up"
+    level = edges.withColumn(up, F.floor(F.col(bucket) / F.lit(FAN)).cast("bigint"))
+    lasts = [F.max_by(n, F.when(F.col(n).isNotNull(), F.col(bucket))).alias(n) for n in names]
+    ups = last_before(level.groupBy(up).agg(*lasts), up, names, bucket_count(buckets, FAN))
+    within = level.select(up, bucket, *before(up)).alias("w")
+    joined = within.join(ups.alias("u"), up)
+    return joined.select(F.col(f"w.{bucket}"), *[F.coalesce(F.col(f"w.{n}"), F.col(f"u.{n}")).alias(n) for n in names])
 
 
 def number_within(
     df: DataFrame,
     bucket: Column,
+    buckets: int,
     order_by: list[str],
     number: str,
     by: list[str] | None = None,
@@ -55,7 +89,7 @@ def number_within(
 ) -> DataFrame:
     """Zero-based dense number in (bucket, order) sequence, restarting per ``by`` group.
 
-    ``bucket`` must rise with the order and take at most MAX_BUCKETS values. A hot
+    ``bucket`` must rise with the order and be below ``buckets``. A hot
     group is spread over its buckets, so no task numbers more than one of them.
     ``total`` also adds the row count of the group, which the bucket counts give for free.
     """
@@ -66,12 +100,13 @@ def number_within(
         keyed = keyed.withColumn("__by", F.struct(*by))
         keys = ["__by", "__bucket"]
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
-    offsets = running_offsets(counts, "__bucket", "__size", keys[:-1])
+    offsets = running_offsets(counts, "__bucket", "__size", buckets, keys[:-1])
     if total:
-        offsets = offsets.withColumn(total, F.sum("__size").over(Window.partitionBy(*keys[:-1])))
+        totals = counts.groupBy(*keys[:-1]).agg(F.sum("__size").alias(total))
+        offsets = offsets.join(totals, keys[:-1]) if by else offsets.crossJoin(F.broadcast(totals))
     offsets = offsets.drop("__size")
-    if not by:
-        offsets = F.broadcast(offsets)  # at most MAX_BUCKETS rows of two numbers
+    if not by and buckets <= BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
     local = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by)) - 1
     return (
         keyed.withColumn("__local", local)
@@ -83,74 +118,58 @@ def number_within(
 
 def with_running_start(df: DataFrame, size: str, start: str, rows: int) -> DataFrame:
     """Add ``start``: the sum of ``size`` over all rows of lower record index."""
-    keyed = df.withColumn("__bucket", index_bucket(bucket_width(rows)))
+    buckets = bucket_count(rows)
+    keyed = df.withColumn("__bucket", index_bucket())
     before = Window.partitionBy("__bucket").orderBy(INDEX).rowsBetween(Window.unboundedPreceding, -1)
     sums = keyed.groupBy("__bucket").agg(F.sum(size).alias("__size"))
-    offsets = running_offsets(sums, "__bucket", "__size").drop("__size")
+    offsets = running_offsets(sums, "__bucket", "__size", buckets).drop("__size")
+    if buckets <= BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
     return (
         keyed.withColumn("__local", F.coalesce(F.sum(size).over(before), F.lit(0)))
-        .join(F.broadcast(offsets), "__bucket")  # at most MAX_BUCKETS rows of two numbers
+        .join(offsets, "__bucket")
         .withColumn(start, F.col("offset") + F.col("__local"))
         .drop("__bucket", "__local", "offset")
     )
 
 
-def _range_bucket(df: DataFrame, order_by: list[str], rows: int, bucket_rows: int) -> Column:
-    """Bucket number by order key, from cut points in a small keyed sample.
-
-    Cut points decide only how evenly work spreads; any cut points give the same
-    numbering. The sample is about SAMPLES_PER_BUCKET rows of key columns a bucket.
-    """
-    buckets = min(RANGE_BUCKETS, math.ceil(rows / bucket_rows))
-    if buckets <= 1:
-        return F.lit(0)
-    keys = df.select(*order_by)
-    share = min(1.0, buckets * SAMPLES_PER_BUCKET / rows)
-    slots = 1 << 30
-    drawn = F.pmod(F.xxhash64(*order_by), F.lit(slots)) < F.lit(max(1, int(share * slots)))
-    sample = keys.where(drawn).dropna().orderBy(*order_by).collect()
-    cuts = sorted({tuple(sample[len(sample) * b // buckets]) for b in range(1, buckets)}) if sample else []
-    if not cuts:
-        return F.lit(0)
-    types = [df.schema[c].dataType for c in order_by]
-
-    def before(cut: tuple) -> str:
-        """SQL for "the row's key sorts before this cut" (nulls sort first)."""
-        test = ""
-        for name, value, dtype in reversed(list(zip(order_by, cut, types))):
-            ref, literal = quoted(name), sql_literal(value, dtype)
-            later = f" OR ({ref} = {literal} AND ({test}))" if test else ""
-            test = f"{ref} IS NULL OR {ref} < {literal}{later}"
-        return test
-
-    def search(lo: int, hi: int) -> str:
-        """Binary search over cuts[lo:hi] as nested CASE, which Spark compiles."""
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"CASE WHEN {before(cuts[mid])} THEN {search(lo, mid)} ELSE {search(mid + 1, hi)} END"
-
-    return F.expr(search(0, len(cuts)))
-
-
 def numbered(df: DataFrame, order_by: list[str], record_path: str = "") -> Collection:
-    """``with_record_index`` written to the checkpoint folder once, with its row count.
-
-    Numbering costs a sort of the table, so later jobs should read it, not repeat it.
-    """
-    staged = stage(with_record_index(df, order_by))
-    return Collection(staged, record_path)
+    """``with_record_index`` as a collection."""
+    return Collection(with_record_index(df, order_by), record_path)
 
 
 def with_record_index(
-    df: DataFrame, order_by: list[str], bucket_rows: int = MIN_BUCKET_ROWS
+    df: DataFrame, order_by: list[str], bucket_rows: int | None = None, check: bool = True
 ) -> DataFrame:
-    """Number rows 0..n-1 by a unique order key, without a one-partition sort."""
+    """Number rows 0..n-1 by a unique order key (nulls first), without a one-partition sort.
+
+    The table is sorted into ranges of about ``bucket_rows`` rows, as many as it takes, and
+    staged once: ranges come from a sample, so they must not be drawn again. A row's place
+    in its range is known where it is written, and only range sizes are added up. Keys
+    that are not unique are an error, for their rows have no order; ``check=False`` saves
+    the shuffle of keys that this takes.
+    """
     if not order_by:
         raise PatinaError("an order key is required; a DataFrame has no row order of its own")
-    rows = df.count()
-    bucket = _range_bucket(df, order_by, rows, bucket_width(rows, bucket_rows))
-    return number_within(df, bucket, order_by, INDEX)
+    buckets = bucket_count(df.count(), bucket_rows)
+    keys = [F.col(quoted(c)).asc_nulls_first() for c in order_by]
+    place = F.monotonically_increasing_id()  # range in the upper bits, place in the range in the lower 33
+    ranged = df.repartitionByRange(buckets, *keys) if buckets > 1 else df.repartition(1)
+    staged = stage(ranged.sortWithinPartitions(*keys).withColumn("__place", place))
+    if check and staged.groupBy(*[quoted(c) for c in order_by]).count().where("count > 1").limit(1).count():
+        raise PatinaError(f"the order key {order_by} is not unique")
+    bucket = F.shiftrightunsigned("__place", 33)
+    local = F.col("__place").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = staged.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__size"))
+    offsets = running_offsets(sizes, "__bucket", "__size", buckets).drop("__size")
+    if buckets <= BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
+    return (
+        staged.withColumn("__bucket", bucket)
+        .join(offsets, "__bucket")
+        .withColumn(INDEX, F.col("offset") + local)
+        .drop("__bucket", "__place", "offset")
+    )
 
 
 def file_index(df: DataFrame) -> DataFrame:
@@ -168,7 +187,8 @@ def file_index(df: DataFrame) -> DataFrame:
     if files <= 1:
         return located.withColumn(INDEX, F.col("__row")).drop("__file", "__row")
     # The running sum needs path order, so it goes through one partition: one row a file.
-    offsets = running_offsets(sizes, "__file", "__size").drop("__size")
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__file", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("offset"))
     if files <= BROADCAST_FILES:
         offsets = F.broadcast(offsets)
     return (
@@ -194,7 +214,7 @@ def stride_sample(df: DataFrame, k: int, condition: Column | None = None, rows:
     kept = df if condition is None else df.where(condition)
     if rows is None:
         rows = (df.agg(F.max(INDEX)).head()[0] or 0) + 1
-    bucket = index_bucket(bucket_width(rows))
+    bucket = index_bucket()
     counts = kept.groupBy(bucket.alias("__bucket")).agg(F.count(F.lit(1)).alias("__size"))
     totals = counts.agg(F.sum("__size")).head()[0]
     if not totals:
@@ -203,7 +223,7 @@ def stride_sample(df: DataFrame, k: int, condition: Column | None = None, rows:
     first = F.expr(f"(offset * {k}L + {n - 1}L) div {n}L")
     last = F.expr(f"((offset + __size) * {k}L + {n - 1}L) div {n}L - 1L")
     wanted = (
-        running_offsets(counts, "__bucket", "__size")
+        running_offsets(counts, "__bucket", "__size", bucket_count(rows))
         .withColumn("__first", first)
         .withColumn("__last", last)
         .where(F.col("__first") <= F.col("__last"))
@@ -229,18 +249,15 @@ def previous_present(values: list[str], bucket: str = "__bucket") -> list[Column
     return [F.last(v, ignorenulls=True).over(window) for v in values]
 
 
-def bucket_edges(df: DataFrame, values: list[str], bucket: str = "__bucket") -> DataFrame:
+def bucket_edges(df: DataFrame, values: list[str], buckets: int, bucket: str = "__bucket") -> DataFrame:
     """One row per bucket: each column's first non-null value, and the last one before it."""
     aggs = []
     for v in values:
         at = F.when(F.col(v).isNotNull(), F.col(INDEX))
         aggs.append(F.min_by(v, at).alias(f"{v}_first"))
-        aggs.append(F.max_by(v, at).alias(f"{v}_last"))
+        aggs.append(F.max_by(v, at).alias(v))
     edges = df.groupBy(bucket).agg(*aggs)
-    earlier = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    return edges.select(
-        *[F.col(f"{v}_first").alias(v) for v in values],
-        *[F.last(f"{v}_last", ignorenulls=True).over(earlier).alias(f"{v}_prev") for v in values],
-    )
-
-
+    earlier = last_before(edges.select(bucket, *values), bucket, values, buckets)
+    earlier = earlier.select(bucket, *[F.col(v).alias(f"{v}_prev") for v in values])
+    firsts = edges.select(bucket, *[F.col(f"{v}_first").alias(v) for v in values])
+    return firsts.join(earlier, bucket).drop(bucket)

@@ -9,7 +9,9 @@ is one row of it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,8 @@ SPLIT_INTERLEAVED = 0.8
 SPLIT_GROUPED = 0.1
 STEP_SHARE = 0.9
 MONOTONE_SHARE = 0.98
-SKETCH_CUTS = 512  # a power of two
+SLICES = 1024  # parts that a round cuts a range of numbers into
+RANGE_ROWS = 100_000  # rows of a range that one task sorts
 
 
 def _paths(coll: Collection, paths: Sequence[str] | None) -> list[str]:
@@ -110,33 +113,47 @@ def temporal_range(coll: Collection, paths: Sequence[str] | None = None) -> Data
 # A pair is a present value (cur) and the present value before it in row order (prev).
 # Text keys decide equality, as canonical texts are unique per value of one type.
 _PAIRS = {
-    "adjacent_equal": "cur = prev",
-    "inc": "CASE WHEN is_text THEN cur > prev ELSE num > prev_num END",
-    "dec": "CASE WHEN is_text THEN cur < prev ELSE num < prev_num END",
-    "eq": "CASE WHEN is_text THEN cur = prev ELSE num = prev_num END",
-    "s_inc": "CASE WHEN is_int THEN whole > prev_whole ELSE suffix > prev_suffix END",
-    "s_dec": "CASE WHEN is_int THEN whole < prev_whole ELSE suffix < prev_suffix END",
-    "s_eq": "CASE WHEN is_int THEN whole = prev_whole ELSE suffix = prev_suffix END",
-    "s_plus": "CASE WHEN is_int THEN whole - prev_whole = 1 ELSE suffix.digits = {next_of_prev} END",
-    "s_minus": "CASE WHEN is_int THEN whole - prev_whole = -1 ELSE prev_suffix.digits = {next_of_cur} END",
+    "adjacent_equal": "cur.text = prev.text",
+    "inc": "CASE WHEN is_text THEN cur.text > prev.text ELSE cur.num > prev.num END",
+    "dec": "CASE WHEN is_text THEN cur.text < prev.text ELSE cur.num < prev.num END",
+    "eq": "CASE WHEN is_text THEN cur.text = prev.text ELSE cur.num = prev.num END",
+    "s_inc": "CASE WHEN is_int THEN cur.whole > prev.whole ELSE cur.suffix > prev.suffix END",
+    "s_dec": "CASE WHEN is_int THEN cur.whole < prev.whole ELSE cur.suffix < prev.suffix END",
+    "s_eq": "CASE WHEN is_int THEN cur.whole = prev.whole ELSE cur.suffix = prev.suffix END",
+    "s_plus": "CASE WHEN is_int THEN cur.whole - prev.whole = 1 ELSE cur.suffix.digits = prev.next END",
+    "s_minus": "CASE WHEN is_int THEN cur.whole - prev.whole = -1 ELSE prev.suffix.digits = cur.next END",
 }
+_DIGITS = r"regexp_extract({text}, r'([0-9]+)\n?\z', 1)"
+_SUFFIX = "struct<size:int,digits:string>"
 
 
-def _whole(text: str) -> str:
-    return f"CASE WHEN is_int THEN try_cast({text} AS DECIMAL(38,0)) END"
+def _known(df: DataFrame, names: Sequence[str], dtypes: Sequence[T.DataType]) -> DataFrame:
+    """Each column as a struct of all that its order statistics compare, worked out once a value.
 
-
-def _suffix(text: str) -> str:
-    """Digits that a text ends in, of any length, without leading zeros.
-
-    Length before digits: such structs compare as the numbers do.
+    Text, number, whole number, the digits that a text ends in (of any length and without
+    leading zeros, after their count, so that such structs compare as numbers do) and the
+    digits of the next integer. Steps are columns of their own, so none is spelled out twice.
     """
-    digits = rf"regexp_extract({text}, r'([0-9]+)\n?\z', 1)"
-    bare = f"CASE WHEN ltrim('0', {digits}) = '' THEN '0' ELSE ltrim('0', {digits}) END"
-    return (
-        f"CASE WHEN is_text AND {digits} <> '' THEN"
-        f" named_struct('size', length({bare}), 'digits', {bare}) END"
-    )
+    text, digits, kept, made = {}, {}, {}, {}
+    for n, t in zip(names, dtypes, strict=True):
+        tag = V.type_tag(t)
+        text[f"{n}_t"] = V.as_text(F.col(n), t)
+        if tag == "string":
+            digits[f"{n}_d"] = F.expr(_DIGITS.format(text=f"{n}_t"))
+            bare = f"CASE WHEN {n}_d = '' THEN NULL WHEN ltrim('0', {n}_d) = '' THEN '0' ELSE ltrim('0', {n}_d) END"
+            kept[f"{n}_b"] = F.expr(bare)
+            suffix = f"CASE WHEN {n}_b IS NOT NULL THEN named_struct('size', length({n}_b), 'digits', {n}_b) END"
+            follows = _next(f"{n}_b")
+        else:
+            suffix, follows = f"CAST(NULL AS {_SUFFIX})", "CAST(NULL AS STRING)"
+        number = f"CAST({n} AS DOUBLE)" if V.is_numeric(t) else "CAST(NULL AS DOUBLE)"
+        whole = f"CAST({n} AS DECIMAL(38,0))" if tag == "integer" else "CAST(NULL AS DECIMAL(38,0))"
+        made[n] = F.expr(
+            f"CASE WHEN {n} IS NOT NULL THEN named_struct('text', {n}_t, 'num', {number}, 'whole', {whole},"
+            f" 'suffix', {suffix}, 'next', {follows}) END"
+        )
+    stepped = df.withColumns(text).withColumns(digits).withColumns(kept).withColumns(made)
+    return stepped.select(*df.columns)
 
 
 def _next(digits: str) -> str:
@@ -159,8 +176,6 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool, walked: bool = T
     made = []
     for j, dtype in enumerate(dtypes):
         tag = V.type_tag(dtype)
-        pair = [V.as_text(F.col(f"v{j}"), dtype), V.as_text(F.col(f"v{j}_prev"), dtype)]
-        numbers = V.is_numeric(dtype)
         made.append(
             F.when(
                 F.col(f"v{j}").isNotNull(),
@@ -168,56 +183,60 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool, walked: bool = T
                     F.lit(j).alias("path_no"),
                     F.lit(tag == "string").alias("is_text"),
                     F.lit(tag == "integer").alias("is_int"),
-                    pair[0].alias("cur"),
-                    pair[1].alias("prev"),
-                    F.expr(f"CAST(v{j} AS DOUBLE)" if numbers else "CAST(NULL AS DOUBLE)").alias("num"),
-                    F.expr(f"CAST(v{j}_prev AS DOUBLE)" if numbers else "CAST(NULL AS DOUBLE)").alias(
-                        "prev_num"
-                    ),
+                    F.col(f"v{j}").alias("cur"),
+                    F.col(f"v{j}_prev").alias("prev"),
                 ),
             )
         )
     index = F.lit(None).cast("bigint") if edge else F.col(INDEX)
-    cells = df.select(index.alias("at"), F.explode(F.array(*made)).alias("c")).where("c IS NOT NULL")
-    cells = cells.select("at", "c.*").withColumns(
-        {
-            "suffix": F.expr(_suffix("cur")),
-            "prev_suffix": F.expr(_suffix("prev")),
-            "whole": F.expr(_whole("cur")),
-            "prev_whole": F.expr(_whole("prev")),
-        }
-    )
-    nexts = {"next_of_cur": _next("suffix.digits"), "next_of_prev": _next("prev_suffix.digits")}
+    cells = df.select(index.alias("at"), F.explode(F.array(*made)).alias("c")).where("c IS NOT NULL").select("at", "c.*")
+    return paired(cells, edge, walked)
+
+
+def paired(cells: DataFrame, edge: bool = False, walked: bool = True) -> DataFrame:
+    """Countable rows from cells: at, path_no (or path), is_text, is_int, cur and prev as ``_known`` makes them."""
     pairs = [
-        f"CASE WHEN {test.format(**nexts)} THEN 1 ELSE 0 END AS {name}" if walked else f"0 AS {name}"
-        for name, test in _PAIRS.items()
+        f"CASE WHEN {test} THEN 1 ELSE 0 END AS {name}" if walked else f"0 AS {name}" for name, test in _PAIRS.items()
     ]
-    runs = "CASE WHEN cur = prev THEN -1 ELSE 0 END" if edge else "CASE WHEN cur = prev THEN 0 ELSE 1 END"
+    runs = "CASE WHEN cur.text = prev.text THEN -1 ELSE 0 END" if edge else "CASE WHEN cur.text = prev.text THEN 0 ELSE 1 END"
+    long = f"length(cur.text) > {LONG_TEXT}"
     bits = F.lit(0)
     if not edge:
-        for k, hit in enumerate(V.pattern_flags(F.col("cur")).values()):
+        for k, hit in enumerate(V.pattern_flags(F.col("cur.text")).values()):
             bits = bits + F.when(hit, 1 << k).otherwise(0)
+    keys = [c for c in cells.columns if c not in ("at", "is_text", "is_int", "cur", "prev")]
     return cells.select(
-        "path_no",
-        F.expr(f"CASE WHEN length(cur) > {LONG_TEXT} THEN concat('sha256:', sha2(cur, 256)) ELSE cur END").alias(
-            "value"
-        ),
-        F.expr(f"length(cur) > {LONG_TEXT}").alias("is_long"),
-        F.when(F.expr(f"is_text AND length(cur) > {LONG_TEXT}"), V.parse_float(F.col("cur"), T.StringType())).alias(
-            "long_number"
-        ),
+        *keys,
+        F.expr(f"CASE WHEN {long} THEN concat('sha256:', sha2(cur.text, 256)) ELSE cur.text END").alias("value"),
+        F.expr(long).alias("is_long"),
+        F.when(F.expr(f"is_text AND {long}"), V.parse_float(F.col("cur.text"), T.StringType())).alias("long_number"),
         F.lit(0 if edge else 1).alias("n"),
         F.col("at").alias("first_index"),
         F.expr(runs).alias("runs"),
-        F.expr(f"CASE WHEN length(cur) > {LONG_TEXT} THEN length(cur) END").alias("length"),
-        F.when(F.expr(f"is_text AND length(cur) > {LONG_TEXT}"), bits).otherwise(0).alias("pattern_bits"),
-        F.expr(f"CASE WHEN (suffix IS NOT NULL OR whole IS NOT NULL) AND length(cur) > {LONG_TEXT} THEN 1 ELSE 0 END").alias(
+        F.expr(f"CASE WHEN {long} THEN length(cur.text) END").alias("length"),
+        F.when(F.expr(f"is_text AND {long}"), bits).otherwise(0).alias("pattern_bits"),
+        F.expr(f"CASE WHEN (cur.suffix IS NOT NULL OR cur.whole IS NOT NULL) AND {long} THEN 1 ELSE 0 END").alias(
             "long_suffix"
         ),
         *[F.expr(p) for p in pairs],
     )
 
 
+def by_value(long: DataFrame, *keys: str) -> DataFrame:
+    """Add up ``paired`` rows of equal values; the sums of parts add up too."""
+    # A short value that looks like a digest is not the long value of that digest.
+    return long.groupBy(*keys, "value", "is_long").agg(
+        F.expr("sum(n) AS n"),
+        F.expr("min(first_index) AS first_index"),
+        F.expr("sum(runs) AS runs"),
+        F.expr("max(length) AS length"),
+        F.expr("max(long_number) AS long_number"),
+        F.expr("max(pattern_bits) AS pattern_bits"),
+        F.expr("max(long_suffix) AS long_suffix"),
+        *[F.expr(f"sum({s}) AS {s}") for s in _PAIRS],
+    )
+
+
 def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: bool = True) -> DataFrame:
     """One row per (path, distinct present value).
 
@@ -225,6 +244,9 @@ def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: b
     long_number and the adjacent-pair counts. Texts over LONG_TEXT characters are represented
     by a digest; their length, number, patterns and trailing digits are taken before. ``ordered=False`` skips the walk in row
     order, which saves the one shuffle of whole rows when no order statistic is wanted.
+
+    The walk is over buckets of a fixed row budget. What one bucket adds is a sum over its
+    pairs; its first and last values meet those of its neighbours in levels (``order``).
     """
     chosen = _paths(coll, paths)
     dtypes = [type_at(coll.schema, p) for p in chosen]
@@ -233,29 +255,17 @@ def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: b
     for p, t, n in zip(chosen, dtypes, names):
         ref = sql_ref(coll.schema, p)
         picked.append(F.expr(f"nullif({ref}, '')" if V.is_text(t) else ref).alias(n))
-    rows = coll.df.select(INDEX, *picked)
+    rows = _known(coll.df.select(INDEX, *picked), names, dtypes)
     if ordered:
-        width = order.bucket_width(coll.count())
-        rows = rows.withColumn("__bucket", order.index_bucket(width))
+        rows = rows.withColumn("__bucket", order.index_bucket())
         earlier = order.previous_present(names)
         walked = rows.select("*", *[c.alias(f"{n}_prev") for c, n in zip(earlier, names)])
-        long = _cells(walked, dtypes, edge=False).unionByName(
-            _cells(order.bucket_edges(rows, names), dtypes, edge=True)
-        )
+        edges = order.bucket_edges(rows, names, order.bucket_count(coll.count()))
+        long = _cells(walked, dtypes, edge=False).unionByName(_cells(edges, dtypes, edge=True))
     else:
-        nulls = {f"{n}_prev": F.lit(None).cast(t) for n, t in zip(names, dtypes)}
+        nulls = {f"{n}_prev": F.lit(None).cast(rows.schema[n].dataType) for n in names}
         long = _cells(rows.withColumns(nulls), dtypes, edge=False, walked=False)
-    # A short value that looks like a digest is not the long value of that digest.
-    grouped = long.groupBy("path_no", "value", "is_long").agg(
-        F.expr("sum(n) AS n"),
-        F.expr("min(first_index) AS first_index"),
-        F.expr("sum(runs) AS runs"),
-        F.expr("max(length) AS length"),
-        F.expr("max(long_number) AS long_number"),
-        F.expr("max(pattern_bits) AS pattern_bits"),
-        F.expr("max(long_suffix) AS long_suffix"),
-        *[F.expr(f"sum({s}) AS {s}") for s in _PAIRS],
-    )
+    grouped = by_value(long, "path_no")
     path_names = ", ".join(sql_text(p) for p in chosen)
     tags = ", ".join(sql_text(V.type_tag(t)) for t in dtypes)
     return grouped.select(
@@ -265,14 +275,6 @@ def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: b
     )
 
 
-def _number_of() -> Column:
-    """Double behind a value-table row, where it parses as one."""
-    text = V.parse_float(F.col("value"), T.StringType())
-    return F.when(
-        F.col("type_tag").isin("integer", "number", "Decimal"), F.col("value").try_cast("double")
-    ).when(F.col("type_tag") == "string", F.when(F.col("length").isNull(), text).otherwise(F.col("long_number")))
-
-
 def pattern_counts(vt: DataFrame) -> DataFrame:
     """(path, pattern, n): recognised patterns that occur at all.
 
@@ -486,76 +488,132 @@ def restore_long_values(coll: Collection, picked: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- quantiles
 
 
-def numeric_distribution(vt: DataFrame) -> DataFrame:
+def numeric_cells(coll: Collection, paths: Sequence[str] | None = None) -> DataFrame:
+    """(path, present, num): the double behind each present value that reads as one, else null."""
+    made = []
+    for p in _paths(coll, paths):
+        dtype, col = type_at(coll.schema, p), get_path(coll.schema, p)
+        if V.is_text(dtype):
+            col = F.nullif(col, F.lit(""))
+        elif not (V.is_numeric(dtype) or isinstance(dtype, T.DecimalType)):
+            continue
+        made.append(F.struct(F.lit(p).alias("path"), col.isNotNull().alias("present"), V.parse_float(col, dtype).alias("num")))
+    if not made:
+        return coll.df.sparkSession.createDataFrame([], "path string, present boolean, num double")
+    return coll.df.select(F.explode(F.array(*made)).alias("c")).select("c.*").where("present")
+
+
+@dataclass
+class _Range:
+    """Numbers of one path from ``lo`` to ``hi``: how many come before them, and which ranks are wanted."""
+
+    path: str
+    lo: float
+    hi: float
+    offset: int
+    size: int
+    ranks: list[int]
+
+
+# Slices of a range, rising with the number: by value, and by magnitude where values bunch.
+_SLICES = {
+    "value": f"least({SLICES - 1}, CAST(floor((num / 2 - lo / 2) / (hi / 2 - lo / 2) * {SLICES}) AS INT))",
+    "magnitude": f"CASE WHEN num < 0 THEN {SLICES // 2 - 1} - CAST(floor((log2(-num) + 1075) / 2100 * {SLICES // 2 - 1}) AS INT)"
+    f" WHEN num = 0 THEN {SLICES // 2}"
+    f" ELSE {SLICES // 2 + 1} + CAST(floor((log2(num) + 1075) / 2100 * {SLICES // 2 - 1}) AS INT) END",
+}
+
+
+def numeric_distribution(coll: Collection, paths: Sequence[str] | None = None) -> DataFrame:
     """Exact min, linear-interpolated quantiles and max of numeric paths.
 
-    A path counts when every present value reads as a float. No task ever holds a
-    whole column: distinct values are cut into ranges by an approximate sketch, range
-    counts say where each wanted rank falls, and only those ranges are sorted.
+    A path counts when every present value reads as a float; see ``distribution``.
     """
-    num = vt.select("path", _number_of().alias("num"), "n")
-    cuts = ", ".join(f"{j}D/{SKETCH_CUTS}" for j in range(1, SKETCH_CUTS))
-    totals = (
-        num.groupBy("path")
-        .agg(
-            F.expr("sum(n) AS total"),
-            F.expr("sum(CASE WHEN num IS NOT NULL THEN n ELSE 0 END) AS parsed"),
-            F.expr(f"array_distinct(percentile_approx(num, array({cuts}), {4 * SKETCH_CUTS})) AS cuts"),
-        )
-        .where("parsed = total AND parsed > 0")
-        .select("path", "total", "cuts")
-    )
-    ranged = num.join(F.broadcast(totals), "path").withColumn("rng", F.lit(0))  # one row a path
-    step = SKETCH_CUTS // 2
-    while step:  # binary search: how many cuts are at most the number
-        ranged = ranged.withColumn(
-            "rng", F.expr(f"rng + CASE WHEN get(cuts, rng + {step - 1}) <= num THEN {step} ELSE 0 END")
-        )
-        step //= 2
-    ranged = ranged.select("path", "total", "num", "n", "rng")
-    sizes = ranged.groupBy("path", "rng").agg(F.expr("sum(n) AS size"), F.expr("first(total) AS total"))
-    asked = ", ".join(
-        f"struct('{name}' AS name, (total - 1) * {p}D AS pos)" for name, p in QUANTILES.items()
-    )
-    # Both neighbours of a quantile, as zero-based ranks; keep the ranges that hold one.
-    ranks = (
-        f"flatten(transform(array({asked}), q -> array("
-        "struct(q.name AS name, q.pos AS pos, 0 AS side, CAST(floor(q.pos) AS BIGINT) AS at),"
-        "struct(q.name AS name, q.pos AS pos, 1 AS side, least(CAST(floor(q.pos) AS BIGINT) + 1, total - 1) AS at))))"
-    )
-    needed = (
-        order.running_offsets(sizes, "rng", "size", ["path"])
-        .selectExpr("path", "rng", "offset", "size", f"{ranks} AS ranks")
-        .selectExpr(
-            "path", "rng", "offset", "filter(ranks, r -> r.at >= offset AND r.at < offset + size) AS ranks"
-        )
-        .where("size(ranks) > 0")
-    )
-    upto = (
-        Window.partitionBy("path", "rng")
-        .orderBy("num")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = (
-        ranged.join(F.broadcast(needed), ["path", "rng"])  # at most two ranges a quantile
-        .groupBy("path", "rng", "num", "total", "offset", "ranks")
-        .agg(F.expr("sum(n) AS n"))
-        .withColumn("stop", F.col("offset") + F.sum("n").over(upto))
-        .selectExpr("path", "total", "num", "filter(ranks, r -> r.at >= stop - n AND r.at < stop) AS ranks")
-        .selectExpr("path", "total", "num", "inline(ranks)")
-    )
-    ends = found.groupBy("path", "total", "name", "pos").agg(
-        F.expr("max(CASE WHEN side = 0 THEN num END) AS low"),
-        F.expr("max(CASE WHEN side = 1 THEN num END) AS high"),
-    )
-    value = "low * (1 - (pos - floor(pos))) + high * (pos - floor(pos))"
-    return ends.groupBy("path", F.col("total").alias("n")).agg(
-        # The ends are values themselves: interpolating an infinite one would give NaN.
-        *[
-            F.expr(f"max(CASE WHEN name = '{q}' THEN {'low' if p in (0.0, 1.0) else value} END) AS {q}")
-            for q, p in QUANTILES.items()
-        ]
-    )
+    return distribution(numeric_cells(coll, paths))
+
+
+def distribution(cells: DataFrame) -> DataFrame:
+    """Exact quantiles of ``cells`` (path, num), for paths whose every cell has a number.
+
+    Numbers stay doubles and no task ever holds a column. Each round counts the slices of
+    those ranges that hold a wanted rank and keeps only the slices that do, until what is
+    left of a range is at most ``RANGE_ROWS`` rows, which one task sorts. Ranges that
+    hardly shrink are cut by magnitude next time. The driver holds the ranges of at most
+    14 ranks a path. Infinite numbers and NaN lie at the ends and are only counted.
+    """
+    finite = "abs(num) < double('inf')"
+    totals = cells.groupBy("path").agg(
+        F.expr("count(1) AS n"),
+        F.expr("count(num) AS parsed"),
+        F.expr("count_if(num = double('-inf')) AS below"),
+        F.expr("count_if(num = double('inf')) AS above"),
+        F.expr(f"count_if({finite}) AS inside"),
+        F.expr(f"min(CASE WHEN {finite} THEN num END) AS lo"),
+        F.expr(f"max(CASE WHEN {finite} THEN num END) AS hi"),
+    )
+    found: dict[str, dict[int, float]] = {}
+    total: dict[str, int] = {}
+    ranges: list[_Range] = []
+    for r in totals.where("n = parsed").collect():
+        total[r.path] = r.n
+        places = {int(math.floor((r.n - 1) * p)) for p in QUANTILES.values()}
+        ranks = sorted({min(k + step, r.n - 1) for k in places for step in (0, 1)})
+        ends = {k: -math.inf for k in ranks if k < r.below}
+        ends |= {k: math.inf if k < r.below + r.inside + r.above else math.nan for k in ranks if k >= r.below + r.inside}
+        found[r.path] = ends
+        if r.inside:
+            ranges.append(_Range(r.path, r.lo, r.hi, r.below, r.inside, [k for k in ranks if k not in ends]))
+    by, last = "value", math.inf
+    while ranges := _unsettled(ranges, found):
+        size = max(r.size for r in ranges)
+        by = ("magnitude" if by == "value" else "value") if size > last / 4 else by
+        last = size
+        ranges = _refined(cells, ranges, by, found)
+    rows = []
+    for path, at in sorted(found.items()):
+        n, values = total[path], []
+        for p in QUANTILES.values():
+            place = (n - 1) * p
+            k, share = int(math.floor(place)), place - math.floor(place)
+            low, high = at[k], at[min(k + 1, n - 1)]
+            # The ends are values themselves: interpolating an infinite one would give NaN.
+            values.append(low if p in (0.0, 1.0) else low * (1 - share) + high * share)
+        rows.append((path, n, *values))
+    schema = "path string, n bigint, " + ", ".join(f"{q} double" for q in QUANTILES)
+    return cells.sparkSession.createDataFrame(rows, schema)
+
+
+def _unsettled(ranges: list[_Range], found: dict[str, dict[int, float]]) -> list[_Range]:
+    """Ranges that still hold several numbers and a wanted rank; the others' ranks are noted."""
+    for r in ranges:
+        if r.lo == r.hi:
+            found[r.path] |= dict.fromkeys(r.ranks, r.lo)
+    return [r for r in ranges if r.lo < r.hi and r.ranks]
+
+
+def _refined(cells: DataFrame, ranges: list[_Range], by: str, found: dict[str, dict[int, float]]) -> list[_Range]:
+    """One round: note the ranks that lie in small ranges, and cut the others."""
+    fields = "no int, path string, lo double, hi double, offset bigint, small boolean, ranks array<bigint>"
+    # Halves of neighbouring tiny numbers may be equal: such a range is small whatever it holds.
+    small = [r.size <= RANGE_ROWS or r.lo / 2 == r.hi / 2 for r in ranges]
+    rows = [(k, r.path, r.lo, r.hi, r.offset, s, r.ranks) for k, (r, s) in enumerate(zip(ranges, small, strict=True))]
+    wanted = F.broadcast(cells.sparkSession.createDataFrame(rows, fields))  # at most 14 a path
+    inside = cells.join(wanted, "path").where("num BETWEEN lo AND hi")
+    part = F.expr(f"CASE WHEN small THEN -1 ELSE {_SLICES[by]} END").alias("part")
+    counted = (
+        inside.select("no", "num", "small", part)
+        .groupBy("no", "part", F.when(F.col("small"), F.col("num")).alias("value"))
+        .agg(F.expr("count(1) AS size"), F.expr("min(num) AS lo"), F.expr("max(num) AS hi"))
+    )
+    upto = Window.partitionBy("no").orderBy("part", "value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    places = (
+        counted.withColumn("stop", F.sum("size").over(upto))
+        .join(wanted.select("no", "offset", "ranks"), "no")
+        .selectExpr("no", "size", "lo", "hi", "offset + stop - size AS start", "ranks")
+        .selectExpr("*", "filter(ranks, k -> k >= start AND k < start + size) AS held")
+        .where("size(held) > 0")
+    )
+    return [_Range(ranges[r.no].path, r.lo, r.hi, r.start, r.size, list(r.held)) for r in places.collect()]
 
 
 # ---------------------------------------------------------------- repetition
@@ -599,7 +657,7 @@ def profile_fields(
             "recognized_patterns"
         )
     )
-    nums = numeric_distribution(vt)
+    nums = numeric_distribution(coll, chosen)
     nums = nums.select("path", F.struct(*[c for c in nums.columns if c not in ("path", "n")]).alias("numeric_distribution"))
     times = temporal_range(coll, chosen)
     times = times.select("path", F.struct("min", "max").alias("temporal_lexical_range"))

@@ -25,8 +25,8 @@ LOOKUP_SALT = 32
 def stratum_ordinals(coll: Collection, stratum: Column) -> DataFrame:
     """Add ``stratum`` (a struct), ``ordinal`` (zero-based in the stratum) and ``stratum_size``."""
     keyed = coll.df.withColumn("stratum", F.struct(stratum.alias("key")))
-    bucket = order.index_bucket(order.bucket_width(coll.count()))
-    return order.number_within(keyed, bucket, [INDEX], "ordinal", by=["stratum"], total="stratum_size")
+    buckets = order.bucket_count(coll.count())
+    return order.number_within(keyed, order.index_bucket(), buckets, [INDEX], "ordinal", by=["stratum"], total="stratum_size")
 
 
 def salted_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:

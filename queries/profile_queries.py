@@ -90,8 +90,7 @@ def quantile_sql(tab: str, col: str) -> str:
 @query("profile_numeric", union([quantile_sql("lineitem", c) for c in NUMERIC_COLUMNS]))
 def profile_numeric(spark, sf_dir):
     c = table(spark, sf_dir, "lineitem")
-    vt = P.value_table(c, ["/" + n for n in NUMERIC_COLUMNS], ordered=False)
-    return P.numeric_distribution(vt.persist())  # read three times
+    return P.numeric_distribution(c, ["/" + n for n in NUMERIC_COLUMNS])
 
 
 # ---------------------------------------------------------------- patterns and ranges

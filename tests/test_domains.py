@@ -167,7 +167,7 @@ def test_nested_patches_change_one_leaf(spark):
 def test_donors_are_distinct_uniform_and_of_the_same_stratum(spark, monkeypatch):
     from patina.operators import order
 
-    monkeypatch.setattr(order, "bucket_width", lambda rows, min_rows=64: 64)
+    monkeypatch.setattr(order, "BUCKET_ROWS", 64)
     # One stratum holds most rows; another has nulls in its key.
     rows = [(j, None if j % 10 == 0 else ("hot" if j % 5 else f"s{j % 7}")) for j in range(1500)]
     c = Collection(spark.createDataFrame(rows, "record_index bigint, k string"))

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import math
+import random
 import re
 
 import pytest
@@ -10,14 +11,16 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from patina import Collection
+from patina.errors import PatinaError
 from patina.operators import cells, order
 from patina.operators import profile as P
 
 
 @pytest.fixture(autouse=True)
 def small_buckets(monkeypatch):
-    """Seven rows a bucket, so every walk crosses bucket edges."""
-    monkeypatch.setattr(order, "bucket_width", lambda rows, min_rows=7: 7)
+    """Seven rows a bucket and three buckets a group, so every walk crosses edges on several levels."""
+    monkeypatch.setattr(order, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(order, "FAN", 3)
 
 
 def table(spark, values, dtype="string", parts=3):
@@ -118,19 +121,19 @@ def quantile(ordered, p):
 @pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [7.5] * 30 + [1.25, 900.0], [((j * 7919) % 1009) / 8 for j in range(5000)]])
 def test_quantiles_are_exact(spark, values):
     c = table(spark, values, "double")
-    got = P.numeric_distribution(P.value_table(c, ordered=False)).head()
+    got = P.numeric_distribution(c).head()
     for name, p in P.QUANTILES.items():
         assert got[name] == quantile(sorted(values), p), name
 
 
 def test_numeric_text_follows_float_literals(spark):
     good = ["1", " 2.5 ", "-3e2", "1_0", ".5", "6."]
-    got = P.numeric_distribution(P.value_table(table(spark, good), ordered=False)).head()
+    got = P.numeric_distribution(table(spark, good)).head()
     assert (got["min"], got["max"], got["n"]) == (-300.0, 10.0, 6)
     for bad in ("1d", "2f", "0x10", "1__0", "", "abc", "1,5"):
-        rows = P.numeric_distribution(P.value_table(table(spark, [*good, bad]), ordered=False)).collect()
+        rows = P.numeric_distribution(table(spark, [*good, bad])).collect()
         assert len(rows) == (1 if bad == "" else 0), bad
-    flags = P.numeric_distribution(P.value_table(table(spark, [True, False], "boolean"), ordered=False))
+    flags = P.numeric_distribution(table(spark, [True, False], "boolean"))
     assert flags.collect() == []
 
 
@@ -200,7 +203,7 @@ def test_stride_sample_positions(spark, k):
 
 def test_nan_and_infinity_do_not_break_quantiles(spark):
     c = table(spark, [1.0, math.inf, 2.0], "double")
-    got = P.numeric_distribution(P.value_table(c, ordered=False)).head()
+    got = P.numeric_distribution(c).head()
     assert got["max"] == math.inf and got["min"] == 1.0
 
 
@@ -230,7 +233,7 @@ def test_long_texts_keep_their_numbers_and_stay_apart(spark):
     rows = [(0, "1.5", long), (1, long, fake), (2, "3", "x")]
     coll = Collection(spark.createDataFrame(rows, "record_index bigint, n string, t string"))
     vt = P.value_table(coll, ["/n", "/t"], ordered=False).cache()
-    assert {r["path"]: (r["min"], r["max"]) for r in P.numeric_distribution(vt).collect()} == {"/n": (1.5, 3.0)}
+    assert {r["path"]: (r["min"], r["max"]) for r in P.numeric_distribution(coll, ["/n", "/t"]).collect()} == {"/n": (1.5, 3.0)}
     assert vt.where("path = '/t'").count() == 3
 
 
@@ -251,3 +254,47 @@ def test_objects_are_walked_to_the_bottom(spark):
     coll = Collection(df.select("record_index", F.parse_json("j").alias("record")))
     paths = cells.variant_leaf_paths(coll)
     assert paths[1] == "/top" and paths[0].endswith("/leaf") and paths[0].count("/") == 16
+
+
+def test_quantiles_of_bunched_numbers(spark, monkeypatch):
+    """Refined by value and by magnitude down to ranges of a few rows."""
+    monkeypatch.setattr(P, "RANGE_ROWS", 3)
+    pick = random.Random(4)
+    huge = [pick.choice([1, -1]) * 10 ** pick.uniform(-300, 300) for _ in range(400)] + [0.0, 5e-324, 1e-323, 1.7e308, -1.7e308]
+    same = [7.25] * 300 + [7.250000000000001] * 5 + [-1e300, 1e300]
+    ends = [-math.inf] * 60 + [1.0, 2.0, 3.0] + [math.inf] * 50
+    for values in (huge, same, ends, [3.5], [1.0, 2.0]):
+        got = P.numeric_distribution(table(spark, values, "double")).head()
+        ranked, n = sorted(values), len(values)
+        for name, p in P.QUANTILES.items():
+            place = (n - 1) * p
+            k, share = int(place), place - int(place)
+            low, high = ranked[k], ranked[min(k + 1, n - 1)]
+            assert got[name] == (low if p in (0.0, 1.0) else low * (1 - share) + high * share) or math.isnan(got[name])
+
+
+def test_order_statistics_of_many_small_buckets(spark, monkeypatch):
+    """10^5 buckets of one row, combined in levels, give the statistics of one bucket."""
+    n = 100_000
+    df = spark.range(n).select(
+        F.col("id").alias("record_index"),
+        F.when(F.col("id") % 3 == 0, F.concat(F.lit("v"), (F.col("id") % 7).cast("string"))).alias("a"),
+        F.col("id").alias("b"),
+        F.when(F.col("id") % 9999 == 5, F.lit(1.5)).alias("c"),
+    )
+    monkeypatch.setattr(order, "BUCKET_ROWS", n)
+    want = {r["path"]: r for r in P.order_profile(P.value_table(Collection(df))).collect()}
+    monkeypatch.setattr(order, "BUCKET_ROWS", 1)
+    monkeypatch.setattr(order, "FAN", 50)
+    got = {r["path"]: r for r in P.order_profile(P.value_table(Collection(df))).collect()}
+    assert got == want and got["/b"]["sequence_class"] == "sequential_ascending"
+    sizes = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("size"))
+    offsets = {r.k: r.offset for r in order.running_offsets(sizes, "k", "size", 1000).collect()}
+    assert offsets == {k: sum(i % 5 for i in range(k)) for k in range(1000)}
+
+
+def test_an_order_key_must_be_unique(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, t string")
+    with pytest.raises(PatinaError, match="not unique"):
+        order.with_record_index(df, ["k"])
+    assert [r.record_index for r in order.with_record_index(df, ["k", "t"]).orderBy("k", "t").collect()] == [0, 1, 2]
