@@ -12,6 +12,7 @@ from patina.errors import PatinaError
 from patina.functions.pointers import leaf_paths
 
 INDEX = "record_index"
+RECORD = "record"  # the column of VARIANT records
 
 
 @dataclass
@@ -42,6 +43,12 @@ class Collection:
     def schema(self) -> T.StructType:
         return T.StructType([f for f in self.df.schema.fields if f.name != INDEX])
 
+    @property
+    def is_variant(self) -> bool:
+        """Whether each record is one VARIANT, so that keys may be missing and types differ."""
+        fields = self.schema.fields
+        return len(fields) == 1 and fields[0].name == RECORD and isinstance(fields[0].dataType, T.VariantType)
+
     @property
     def paths(self) -> list[str]:
         return leaf_paths(self.schema)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patina.collection import INDEX, Collection
+from patina.collection import INDEX, RECORD, Collection
 from patina.functions import values as V
+from patina.functions import variants as X
 from patina.functions.pointers import get_path, has_path, sql_ref, sql_text, type_at
 
 CELL_SCHEMA = (
@@ -36,78 +38,82 @@ def to_cells(coll: Collection, paths: Sequence[str] | None = None) -> DataFrame:
     return cells.select(F.lit(coll.record_path).alias("record_path"), INDEX, "c.*")
 
 
-def _variant_tag(schema_text: Column) -> Column:
-    return (
-        F.when(schema_text == "VOID", "null")
-        .when(schema_text == "BOOLEAN", "boolean")
-        .when(schema_text == "BIGINT", "integer")
-        .when(schema_text.startswith("DECIMAL") | (schema_text == "DOUBLE") | (schema_text == "FLOAT"), "number")
-        .when(schema_text == "STRING", "string")
-        .when(schema_text.startswith("ARRAY<"), "array")
-        .otherwise("object")
-    )
-
+def _variant_places(coll: Collection, column: str, arrays: bool) -> DataFrame:
+    """(record_index, path, v, kind) of every place in VARIANT records, level by level.
 
-def variant_cells(coll: Collection, column: str = "record", structural: bool = False) -> DataFrame:
-    """Cells of VARIANT records: explicit nulls appear, missing keys do not.
-
-    Each level is one lateral explode; objects are opened, arrays are leaves and so
-    are empty objects. ``structural=True`` lists every key on the way down and also
-    enters arrays (as ``/*``), without values.
+    One aggregate finds how deep objects are nested. Arrays are entered (as ``/*``) only on
+    request; types that arrays mix hide what is in them, so then levels go on until one is empty.
     """
     spark = coll.df.sparkSession
-    level = coll.df.select(INDEX, F.col(column).alias("v"), F.lit("").alias("path"))
+    level = coll.df.select(INDEX, F.lit("").alias("path"), F.col(column).alias("v"), X.shape(F.col(column)).alias("kind"))
+    levels = itertools.count() if arrays else range(coll.df.agg(F.max(X.depth(F.col(column)))).head()[0] or 0)
+    token = F.replace(F.replace("key", F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
     found: list[DataFrame] = []
-    for depth in itertools.count():
-        kind = F.schema_of_variant("v")
-        opened = kind.startswith("OBJECT<") & (kind != "OBJECT<>")
-        if structural:
-            opened = opened | kind.startswith("ARRAY<")
-        if depth == 0:
-            opened = F.lit(True)
-        else:
-            keep = level if structural else level.where(~opened)
-            found.append(keep.withColumn("kind", kind))
-            level = level.where(opened)
-        if depth > 0 and level.isEmpty():
+    for _ in levels:
+        opened = F.col("kind").startswith("OBJECT<")
+        open_rows = level.where(opened | F.col("kind").startswith("ARRAY<") if arrays else opened)
+        if arrays and open_rows.isEmpty():
             break
-        opened_rows = level.withColumnRenamed("v", "__parent")
-        down = opened_rows.lateralJoin(spark.tvf.variant_explode(F.col("__parent").outer())).select(
-            INDEX, F.col("value").alias("v"), "key", "path"
-        )
-        token = F.replace(F.replace("key", F.lit("~"), F.lit("~0")), F.lit("/"), F.lit("~1"))
+        inside = open_rows.withColumnRenamed("v", "__parent")
+        down = inside.lateralJoin(spark.tvf.variant_explode(F.col("__parent").outer())).where("value IS NOT NULL")
         level = down.select(
             INDEX,
-            "v",
             F.concat("path", F.lit("/"), F.when(F.col("key").isNull(), F.lit("*")).otherwise(token)).alias("path"),
+            F.col("value").alias("v"),
+            X.shape(F.col("value")).alias("kind"),
         )
-    cells = found[0]
-    for f in found[1:]:
-        cells = cells.unionByName(f)
+        found.append(level)
+    if not found:
+        return level.where(F.lit(False))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def variant_nodes(coll: Collection, column: str = RECORD) -> DataFrame:
+    """(record_index, path, tag, text, num, json, leaf) of every place in VARIANT records.
+
+    Explicit nulls have a row, missing keys have none. Objects are places too; a leaf is
+    anything but an object with keys, and arrays are not entered.
+    """
+    places = _variant_places(coll, column, arrays=False)
+    tag = X.tag(F.col("kind"))
+    text = X.scalar_text(F.col("v"), tag)
+    return places.select(
+        INDEX,
+        "path",
+        tag.alias("tag"),
+        text.alias("text"),
+        X.number(text, tag).alias("num"),
+        F.to_json("v").alias("json"),
+        (~F.col("kind").startswith("OBJECT<") | (F.col("kind") == "OBJECT<>")).alias("leaf"),
+    )
+
+
+def variant_cells(coll: Collection, column: str = RECORD, structural: bool = False) -> DataFrame:
+    """Cells of VARIANT records: explicit nulls appear, missing keys do not.
+
+    Objects are opened, arrays are leaves and so are empty objects. ``structural=True``
+    lists every key on the way down and also enters arrays (as ``/*``), without values.
+    """
     if structural:
-        return cells.where(~F.col("path").endswith("/*")).select(INDEX, "path").distinct()
-    text = F.to_json("v")
-    tag = _variant_tag(F.col("kind"))
-    scalar = F.when(tag == "string", F.variant_get("v", "$", "string")).when(tag != "null", text)
-    return cells.select(
+        places = _variant_places(coll, column, arrays=True)
+        return places.where(~F.col("path").endswith("/*")).select(INDEX, "path").distinct()
+    return variant_nodes(coll, column).where("leaf").select(
         F.lit(coll.record_path).alias("record_path"),
         INDEX,
         "path",
-        tag.alias("physical_type"),
-        F.concat(tag, F.lit(":"), text).alias("value_key"),
-        scalar.alias("value_str"),
-        F.when(tag.isin("integer", "number"), text.try_cast("double"))
-        .when(tag == "string", V.parse_float(scalar, V.T.StringType()))
-        .alias("value_num"),
+        F.col("tag").alias("physical_type"),
+        F.concat("tag", F.lit(":"), "json").alias("value_key"),
+        F.col("text").alias("value_str"),
+        F.col("num").alias("value_num"),
     )
 
 
-def variant_leaf_paths(coll: Collection, column: str = "record") -> list[str]:
+def variant_leaf_paths(coll: Collection, column: str = RECORD) -> list[str]:
     """Sorted union of leaf paths over VARIANT records."""
     return sorted(r[0] for r in variant_cells(coll, column).select("path").distinct().collect())
 
 
-def variant_structures(coll: Collection, column: str = "record") -> DataFrame:
+def variant_structures(coll: Collection, column: str = RECORD) -> DataFrame:
     """(record_index, structure): the sorted field-name paths of each VARIANT record."""
     names = variant_cells(coll, column, structural=True)
     return names.groupBy(INDEX).agg(F.sort_array(F.collect_set("path")).alias("structure"))
@@ -150,7 +156,7 @@ def changed_paths(clean: Collection, dirty: Collection) -> DataFrame:
     return pairs.where(F.size("paths") > 0)
 
 
-def variant_changed_paths(clean: Collection, dirty: Collection, column: str = "record") -> DataFrame:
+def variant_changed_paths(clean: Collection, dirty: Collection, column: str = RECORD) -> DataFrame:
     """``changed_paths`` for VARIANT records; a key on one side only is a change."""
     a = variant_cells(clean, column).select(INDEX, "path", F.col("value_key").alias("ka"), F.col("value_num").alias("na"), F.col("physical_type").alias("ta"))
     b = variant_cells(dirty, column).select(INDEX, "path", F.col("value_key").alias("kb"), F.col("value_num").alias("nb"), F.col("physical_type").alias("tb"))

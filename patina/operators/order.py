@@ -57,25 +57,27 @@ def running_offsets(counts: DataFrame, bucket: str, size: str, buckets: int, by:
     return within.join(ups, [*keys, up]).select(*counts.columns, (F.col("offset") + F.col("__ahead")).alias("offset"))
 
 
-def last_before(edges: DataFrame, bucket: str, names: list[str], buckets: int) -> DataFrame:
-    """``bucket`` and, for each of ``names``, its last non-null value in earlier buckets.
+def last_before(edges: DataFrame, bucket: str, names: list[str], buckets: int, by: list[str] | None = None) -> DataFrame:
+    """``by``, ``bucket`` and, for each of ``names``, its last non-null value in earlier buckets.
 
-    Takes one row per bucket and works in levels as ``running_offsets`` does.
+    Takes one row per bucket (of a ``by`` group) and works in levels as ``running_offsets`` does.
     """
+    keys = by or []
 
     def before(*parts: str) -> list[Column]:
         window = Window.partitionBy(*parts).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
         return [F.last(n, ignorenulls=True).over(window).alias(n) for n in names]
 
     if buckets <= FAN:
-        return edges.select(bucket, *before())
+        return edges.select(*keys, bucket, *before(*keys))
     up = bucket + "_up"
     level = edges.withColumn(up, F.floor(F.col(bucket) / F.lit(FAN)).cast("bigint"))
     lasts = [F.max_by(n, F.when(F.col(n).isNotNull(), F.col(bucket))).alias(n) for n in names]
-    ups = last_before(level.groupBy(up).agg(*lasts), up, names, bucket_count(buckets, FAN))
-    within = level.select(up, bucket, *before(up)).alias("w")
-    joined = within.join(ups.alias("u"), up)
-    return joined.select(F.col(f"w.{bucket}"), *[F.coalesce(F.col(f"w.{n}"), F.col(f"u.{n}")).alias(n) for n in names])
+    ups = last_before(level.groupBy(*keys, up).agg(*lasts), up, names, bucket_count(buckets, FAN), by)
+    within = level.select(*keys, up, bucket, *before(*keys, up)).alias("w")
+    joined = within.join(ups.alias("u"), [*keys, up])
+    both = [F.coalesce(F.col(f"w.{n}"), F.col(f"u.{n}")).alias(n) for n in names]
+    return joined.select(*[F.col(f"w.{k}") for k in [*keys, bucket]], *both)
 
 
 def number_within(

@@ -10,7 +10,7 @@ is one row of it.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +21,8 @@ from patina.collection import INDEX, Collection
 from patina.functions import values as V
 from patina.functions.pointers import get_path, sql_ref, sql_text, type_at
 from patina.operators import order
+from patina.operators.cells import variant_nodes
+from patina.operators.stage import stage
 
 QUANTILES = {"min": 0.0, "p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95, "max": 1.0}
 LONG_TEXT = 256  # longer values are grouped by their SHA-256 instead of themselves
@@ -123,6 +125,7 @@ _PAIRS = {
     "s_plus": "CASE WHEN is_int THEN cur.whole - prev.whole = 1 ELSE cur.suffix.digits = prev.next END",
     "s_minus": "CASE WHEN is_int THEN cur.whole - prev.whole = -1 ELSE prev.suffix.digits = cur.next END",
 }
+_SAME_KIND = "cur.text = prev.text AND cur.kind = prev.kind"
 _DIGITS = r"regexp_extract({text}, r'([0-9]+)\n?\z', 1)"
 _SUFFIX = "struct<size:int,digits:string>"
 
@@ -193,12 +196,13 @@ def _cells(df: DataFrame, dtypes: list[T.DataType], edge: bool, walked: bool = T
     return paired(cells, edge, walked)
 
 
-def paired(cells: DataFrame, edge: bool = False, walked: bool = True) -> DataFrame:
+def paired(cells: DataFrame, edge: bool = False, walked: bool = True, same: str = _PAIRS["adjacent_equal"]) -> DataFrame:
     """Countable rows from cells: at, path_no (or path), is_text, is_int, cur and prev as ``_known`` makes them."""
     pairs = [
-        f"CASE WHEN {test} THEN 1 ELSE 0 END AS {name}" if walked else f"0 AS {name}" for name, test in _PAIRS.items()
+        f"CASE WHEN {test} THEN 1 ELSE 0 END AS {name}" if walked else f"0 AS {name}"
+        for name, test in {**_PAIRS, "adjacent_equal": same}.items()
     ]
-    runs = "CASE WHEN cur.text = prev.text THEN -1 ELSE 0 END" if edge else "CASE WHEN cur.text = prev.text THEN 0 ELSE 1 END"
+    runs = f"CASE WHEN {same} THEN -1 ELSE 0 END" if edge else f"CASE WHEN {same} THEN 0 ELSE 1 END"
     long = f"length(cur.text) > {LONG_TEXT}"
     bits = F.lit(0)
     if not edge:
@@ -305,7 +309,9 @@ def order_profile(vt: DataFrame) -> DataFrame:
         F.col("long_suffix") == 1
     )
     parses = (F.col("type_tag") == "integer") | ((F.col("type_tag") == "string") & digits)
-    sums = vt.groupBy("path", "type_tag").agg(
+    sums = vt.groupBy("path").agg(
+        F.min("type_tag").alias("low_tag"),
+        F.max("type_tag").alias("high_tag"),
         F.sum("n").alias("non_null_count"),
         F.count(F.lit(1)).alias("distinct_count"),
         F.count_if(F.col("n") > 1).alias("duplicate_value_count"),
@@ -315,7 +321,8 @@ def order_profile(vt: DataFrame) -> DataFrame:
         *[F.expr(f"sum({s}) AS {s}") for s in _PAIRS],
     )
     pairs = "(CASE WHEN non_null_count > 1 THEN non_null_count - 1 END)"
-    ordered = "type_tag IN ('string', 'integer', 'number')"
+    # Values order where all are text or all are numbers.
+    ordered = "(low_tag = 'string' AND high_tag = 'string' OR low_tag IN ('integer', 'number') AND high_tag IN ('integer', 'number'))"
     suffixed = "suffix_n = non_null_count"
     base = sums.selectExpr(
         "path",
@@ -382,10 +389,10 @@ def _sequence_class() -> Column:
     )
 
 
-def with_empty_profiles(profile: DataFrame, paths: Sequence[str]) -> DataFrame:
+def with_empty_profiles(profile: DataFrame, paths: Sequence[str] | DataFrame) -> DataFrame:
     """Add the row that a path without any present value gets."""
     spark = profile.sparkSession
-    every = spark.createDataFrame([(p,) for p in paths], "path string")
+    every = paths if isinstance(paths, DataFrame) else spark.createDataFrame([(p,) for p in paths], "path string")
     joined = every.join(profile, "path", "left")
     defaults = {
         "non_null_count": F.lit(0).cast("bigint"),
@@ -456,33 +463,26 @@ def sample_values(vt: DataFrame, k: int = 5) -> DataFrame:
 
 
 def restore_long_values(coll: Collection, picked: DataFrame) -> DataFrame:
-    """Put the full text back where a picked value was grouped by its digest.
-
-    ``picked`` is a ranked list (a few rows a path), so the rows it points at are few.
-    """
+    """Put the full text back where a picked value was grouped by its digest."""
     paths = [p for p in coll.paths if V.type_tag(type_at(coll.schema, p)) in ("string", "array", "object", "bytes")]
     if not paths:
         return picked
-    wanted = picked.where(F.col("value").startswith("sha256:")).select(
-        F.col("path").alias("__path"), F.col("first_index").alias("__at")
-    )
     full = F.coalesce(
-        *[
-            F.when(F.col("__path") == p, V.as_text(get_path(coll.schema, p), type_at(coll.schema, p)))
-            for p in paths
-        ]
-    )
-    texts = coll.df.join(wanted, F.col(INDEX) == F.col("__at")).select("__path", "__at", full.alias("__full"))
-    long = F.length("__full") > LONG_TEXT
-    return (
-        picked.join(
-            texts,
-            (F.col("path") == F.col("__path")) & (F.col("first_index") == F.col("__at")),
-            "left",
-        )
-        .withColumn("value", F.when(long, F.col("__full")).otherwise(F.col("value")))
-        .drop("__path", "__at", "__full")
+        *[F.when(F.col("path") == p, V.as_text(get_path(coll.schema, p), type_at(coll.schema, p))) for p in paths]
     )
+    return _restored(picked, coll.df, [INDEX], full)
+
+
+def _restored(picked: DataFrame, texts: DataFrame, keys: Sequence[str], full: Column) -> DataFrame:
+    """``picked`` with long values looked up in ``texts`` by their first index and, of its columns, ``keys``.
+
+    ``picked`` is a ranked list, so what is asked for is a few rows a path and is sent to the texts.
+    """
+    asked = picked.where(F.col("value").startswith("sha256:")).select("path", F.col("first_index").alias(INDEX))
+    found = texts.join(F.broadcast(asked), list(keys)).select("path", F.col(INDEX).alias("first_index"), full.alias("__full"))
+    found = found.where(F.length("__full") > LONG_TEXT)
+    back = picked.join(F.broadcast(found), ["path", "first_index"], "left")
+    return back.withColumn("value", F.coalesce("__full", "value")).select(*picked.columns)
 
 
 # ---------------------------------------------------------------- quantiles
@@ -635,21 +635,36 @@ def record_repetition(coll: Collection) -> DataFrame:
 def profile_fields(
     coll: Collection, paths: Sequence[str] | None = None, sample_limit: int = 5
 ) -> DataFrame:
-    """The full field profile, one row per path.
-
-    The value table is reused by five aggregates, so it is persisted; call
-    ``unpersist`` through ``spark.catalog.clearCache`` when the report is written.
-    """
+    """The full field profile, one row per path, of typed or VARIANT records."""
+    if coll.is_variant:
+        return profile_variants(coll, sample_limit)
     chosen = _paths(coll, paths)
-    vt = value_table(coll, chosen).persist()
-    counts = field_counts(coll, chosen)
+    vt = stage(value_table(coll, chosen))  # read by five aggregates
+    return _whole_profile(
+        field_counts(coll, chosen),
+        vt,
+        numeric_distribution(coll, chosen),
+        temporal_range(coll, chosen),
+        lambda picked: restore_long_values(coll, picked),
+        sample_limit,
+    )
+
+
+def _whole_profile(
+    counts: DataFrame,
+    vt: DataFrame,
+    nums: DataFrame,
+    times: DataFrame,
+    restore: Callable[[DataFrame], DataFrame],
+    sample_limit: int,
+) -> DataFrame:
     shape = order_profile(vt)
     rep_cols = [c for c in shape.columns if c != "path"]
-    rep = with_empty_profiles(shape, chosen).select("path", F.struct(*rep_cols).alias("representation"))
-    tops = restore_long_values(coll, top_values(vt)).groupBy("path").agg(
+    rep = with_empty_profiles(shape, counts.select("path")).select("path", F.struct(*rep_cols).alias("representation"))
+    tops = restore(top_values(vt)).groupBy("path").agg(
         F.sort_array(F.collect_list(F.struct("rank", "value", "count", "ratio"))).alias("most_frequent")
     )
-    samples = restore_long_values(coll, sample_values(vt, sample_limit)).groupBy("path").agg(
+    samples = restore(sample_values(vt, sample_limit)).groupBy("path").agg(
         F.sort_array(F.collect_list(F.struct("rank", "value"))).alias("s")
     ).select("path", F.transform("s", lambda x: x.value).alias("sample_values"))
     pats = pattern_counts(vt).groupBy("path").agg(
@@ -657,18 +672,112 @@ def profile_fields(
             "recognized_patterns"
         )
     )
-    nums = numeric_distribution(coll, chosen)
     nums = nums.select("path", F.struct(*[c for c in nums.columns if c not in ("path", "n")]).alias("numeric_distribution"))
-    times = temporal_range(coll, chosen)
     times = times.select("path", F.struct("min", "max").alias("temporal_lexical_range"))
     out = counts
     for part in (rep, tops, samples, pats, nums, times):
-        out = out.join(F.broadcast(part), "path", "left")  # every part has a row per path
+        out = out.join(part, "path", "left")  # a row per path each
     return out.withColumn(
         "non_null_unique_count", F.col("representation.distinct_count")
     ).withColumn("sample_values", F.coalesce("sample_values", F.array().cast("array<string>")))
 
 
+# ---------------------------------------------------------------- VARIANT records
+
+
+def variant_counts(nodes: DataFrame, records: int) -> DataFrame:
+    """``field_counts`` of VARIANT records, one row for each path that is a leaf somewhere.
+
+    ``missing_key_count`` counts records without the place, ``physical_types`` explicit nulls
+    too; an object is a value of a path that is a leaf in other records.
+    """
+    text = F.when(F.col("tag") == "string", F.nullif(F.col("text"), F.lit("")))
+    gap = (F.col("tag") == "null") | ((F.col("tag") == "string") & (F.col("text") == ""))
+    by_type = nodes.groupBy("path", "tag").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(gap).alias("gaps"),
+        F.count_if(F.col("leaf")).alias("leaves"),
+        F.min(F.length(text)).alias("min_length"),
+        F.max(F.length(text)).alias("max_length"),
+    )
+    types = F.map_from_entries(F.sort_array(F.collect_list(F.struct("tag", "n"))))
+    only = F.when(F.count(F.when(F.col("tag") != "null", 1)) == 1, F.max(F.when(F.col("tag") != "null", F.col("tag"))))
+    return (
+        by_type.groupBy("path")
+        .agg(
+            F.sum("leaves").alias("leaves"),
+            only.alias("type_tag"),
+            F.lit(records).cast("bigint").alias("record_count"),
+            types.alias("physical_types"),
+            (F.lit(records) - F.sum("n")).cast("bigint").alias("missing_key_count"),
+            F.sum("gaps").alias("null_or_empty_count"),
+            (F.sum("n") - F.sum("gaps")).alias("present_count"),
+            F.min("min_length").alias("min_length"),
+            F.max("max_length").alias("max_length"),
+        )
+        .where("leaves > 0")
+        .drop("leaves")
+    )
+
+
+def variant_value_table(nodes: DataFrame, records: int) -> DataFrame:
+    """The ordered value table of present VARIANT values: see ``value_table``.
+
+    Values of different types differ. Cells are walked by path and bucket of records; where a path
+    mixes whole numbers and texts, steps between the two count neither as rise nor as fall.
+    """
+    is_text, is_int = F.col("tag") == "string", F.col("tag") == "integer"
+    some = nodes.where((F.col("tag") != "null") & ~(is_text & (F.col("text") == "")))
+    digits = F.when(is_text, F.nullif(F.regexp_extract("text", r"([0-9]+)\n?\z", 1), F.lit("")))
+    bare = F.expr("CASE WHEN d IS NOT NULL AND ltrim('0', d) = '' THEN '0' ELSE ltrim('0', d) END")
+    known = F.expr(
+        "named_struct('text', text, 'kind', tag, 'num', CASE WHEN tag IN ('integer', 'number') THEN num END,"
+        " 'whole', CASE WHEN tag = 'integer' THEN try_cast(text AS DECIMAL(38,0)) END,"
+        f" 'suffix', CASE WHEN b IS NOT NULL THEN named_struct('size', length(b), 'digits', b) END, 'next', {_next('b')})"
+    )
+    rows = some.withColumn("d", digits).withColumn("b", bare).select(
+        "path", INDEX, F.col("tag").alias("type_tag"), is_text.alias("is_text"), is_int.alias("is_int"), known.alias("cur")
+    )
+    rows = rows.withColumn("__bucket", order.index_bucket())
+    before = F.lag("cur").over(Window.partitionBy("path", "__bucket").orderBy(INDEX))
+    keys = ["path", "type_tag", "is_text", "is_int"]
+    walked = rows.select(F.col(INDEX).alias("at"), *keys, "cur", before.alias("prev"))
+    first = F.min_by(F.struct(*keys[1:], "cur"), INDEX).alias("first")
+    edges = rows.groupBy("path", "__bucket").agg(first, F.max_by("cur", INDEX).alias("prev"))
+    lasts = order.last_before(edges.select("path", "__bucket", "prev"), "__bucket", ["prev"], order.bucket_count(records), ["path"])
+    meets = edges.select("path", "__bucket", "first.*").join(lasts, ["path", "__bucket"])
+    meets = meets.select(F.lit(None).cast("bigint").alias("at"), *keys, "cur", "prev")
+    long = paired(walked, same=_SAME_KIND).unionByName(paired(meets, edge=True, same=_SAME_KIND))
+    return by_value(long, "path", "type_tag").drop("is_long")
+
+
+def profile_variants(coll: Collection, sample_limit: int = 5) -> DataFrame:
+    """The field profile of VARIANT records; missing keys are told from nulls."""
+    nodes = stage(variant_nodes(coll))
+    records = coll.count()
+    counts = stage(variant_counts(nodes, records))
+    held = nodes.join(counts.select("path"), "path", "left_semi")
+    vt = stage(variant_value_table(held, records))
+    present = held.where((F.col("tag") != "null") & ~((F.col("tag") == "string") & (F.col("text") == "")))
+    text = F.when(F.col("tag") == "string", V.trimmed(F.col("text")))
+    date, stamp = V.matches(text, "iso_date"), V.matches(text, "iso_datetime")
+    times = present.where("tag = 'string'").groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(date).alias("dates"),
+        F.count_if(stamp).alias("stamps"),
+        F.min(F.when(date | stamp, text)).alias("min"),
+        F.max(F.when(date | stamp, text)).alias("max"),
+    )
+    return _whole_profile(
+        counts,
+        vt,
+        distribution(present.select("path", "num")),
+        times.where("n = dates OR n = stamps").select("path", "min", "max"),
+        lambda picked: _restored(picked, held, ["path", INDEX], F.col("text")),
+        sample_limit,
+    )
+
+
 def profile_collections(collections: Sequence[Collection], sample_limit: int = 5) -> DataFrame:
     """Field profiles of several collections, keyed by ``record_path``."""
     parts = [
