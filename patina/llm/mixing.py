@@ -124,10 +124,11 @@ def mix(
     key: str = "doc_id",
     curricula: Sequence[Knots] = CURRICULA,
     most: int = 3,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
     """Decide how often and when each document is trained on.
 
-    Returns the rows of ``docs`` with size (its words), source_size, target (words its
+    Returns the columns ``keep`` of ``docs`` (all by default) with size (its words), source_size, target (words its
     source is to give), taken (words of all its copies) and positions (training time of
     each copy, rising). Columns of ``docs`` with these names are replaced. A source's
     taken words miss its target by at most half of one document. No copy is a part of a
@@ -138,7 +139,7 @@ def mix(
     size, so reruns agree; repeated rows are documents of their own. Rows that share one
     key are laid end to end by one task, which may spill. An empty table gives no rows.
     """
-    kept = [c for c in docs.columns if c not in RESULT]
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in RESULT]
     order = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
     rows = docs.select(
         F.struct(*kept).alias("row"),

@@ -89,7 +89,7 @@ FROM times
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Range-sorted by the first training position; positions are in millionths of the training time."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    mixed = mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "positions")
+    mixed = mixing.mix(docs, keep=["doc_id"])
     millionths = F.transform("positions", lambda p: F.floor(p * 1_000_000).cast("string"))
     return mixing.document_order(mixed).withColumn("positions", F.array_join(millionths, ","))
 
