@@ -77,6 +77,22 @@ def structural_paths(schema: T.StructType) -> list[str]:
     return sorted({p for p, _ in _walk(schema, "", True)})
 
 
+def places_pattern(schema: T.StructType) -> str:
+    """A regular expression for the pointers of all places that records of a schema can have."""
+
+    def below(dtype: T.DataType) -> str:
+        if isinstance(dtype, T.StructType) and dtype.fields:
+            names = "|".join(f"\\Q{escape(f.name)}\\E{below(f.dataType)}" for f in dtype.fields)
+            return f"(?:/(?:{names}))?"
+        if isinstance(dtype, T.ArrayType):
+            return f"(?:/[0-9]+{below(dtype.elementType)})?"
+        if isinstance(dtype, T.MapType):
+            return f"(?:/[^/]+{below(dtype.valueType)})?"
+        return ""
+
+    return rf"\A{below(schema)}\z"
+
+
 def _child(dtype: T.DataType, token: str, pointer: str) -> tuple[T.DataType, str | int]:
     if isinstance(dtype, T.StructType):
         for f in dtype.fields:

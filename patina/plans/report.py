@@ -305,14 +305,11 @@ def validate_collections(
         if c.generated:
             check_generated(report, c, source[path], clean[path], dirty[path])
         else:
-            kept = compare.content_equal(source[path], clean[path]) and compare.content_equal(
-                clean[path], dirty[path]
-            )
-            report.say(
-                f"explicit_preservation:{path}",
-                kept,
-                {"handling": c.handling, "reason": c.reason, "content_identical": kept},
-            )
+            one = compare.content_equal(source[path], clean[path]).select(F.col("equal").alias("clean_equal"))
+            two = compare.content_equal(clean[path], dirty[path]).select(F.col("equal").alias("dirty_equal"))
+            said = F.lit(json.dumps({"handling": c.handling, "reason": c.reason}, ensure_ascii=False)).alias("declared")
+            kept = one.crossJoin(F.broadcast(two)).select(said, "*")
+            report.add(f"explicit_preservation:{path}", kept, F.col("clean_equal") & F.col("dirty_equal"))
     total = sum(clean[c.record_path].count() for c in made)
     stated = spec.get("generation", {}).get("record_count")
     report.say("generated_record_count_total", stated == total, {"declared": stated, "actual": total})

@@ -432,8 +432,8 @@ def expected_before(spark, sf_dir):
 
 @query(
     "table_digest",
-    """SELECT count(*) AS record_count, CAST(sum(('0x' || substr(sha256('{"n_name":"' || n_name || '","n_nationkey":'
-  || n_nationkey || ',"n_regionkey":' || n_regionkey || '}'), 1, 15))::BIGINT::HUGEINT) AS VARCHAR) AS digest FROM nation""",
+    """SELECT count(*) AS record_count, CAST(sum(('0x' || substr(sha256(n_nationkey || ':' || sha256('{"n_name":"' || n_name || '","n_nationkey":'
+  || n_nationkey || ',"n_regionkey":' || n_regionkey || '}')), 1, 15))::BIGINT::HUGEINT) AS VARCHAR) AS digest FROM nation""",
 )
 def table_digest(spark, sf_dir):
     return corrupt.table_digest(table(spark, sf_dir, "nation"))

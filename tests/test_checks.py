@@ -186,9 +186,13 @@ def test_overlap_counts_rows_but_distinct_identifiers(spark):
 
 def test_content_equality_minds_order_and_length(spark):
     a = table(spark, [("a",), ("b",)], "k string")
-    assert compare.content_equal(a, a)
-    assert not compare.content_equal(a, table(spark, [("b",), ("a",)], "k string"))
-    assert not compare.content_equal(a, table(spark, [("a",), ("b",), ("c",)], "k string"))
+    def equal(b):
+        return compare.content_equal(a, b).head()["equal"]
+
+    assert equal(a)
+    assert not equal(table(spark, [("b",), ("a",)], "k string"))
+    assert not equal(table(spark, [("a",), ("b",), ("c",)], "k string"))
+    assert not equal(table(spark, [("a",), ("b",)], "other string"))
 
 
 def test_changed_paths_report_whole_arrays_and_lost_keys(spark):
