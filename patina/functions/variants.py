@@ -73,8 +73,10 @@ def number(text: Column, kind: Column) -> Column:
 
 
 def names(schema_text: Column) -> Column:
-    """``shape`` without types of scalars: which keys a value has, at any depth."""
-    return F.regexp_replace(schema_text, r"(?<=: |<|^)(?!OBJECT<|ARRAY<)[A-Z]+(\([0-9,]+\))?", "")
+    """``shape`` without scalars and without arrays and objects that hold no keys: which keys a value has, at any depth."""
+    bare = F.regexp_replace(schema_text, r"(?<=: |ARRAY<|^)(?!OBJECT<|ARRAY<)[A-Z]+(\([0-9,]+\))?", "")
+    levels = F.sequence(F.lit(0), F.regexp_count(bare, F.lit("<")))
+    return F.reduce(levels, bare, lambda text, _: F.regexp_replace(text, "(OBJECT|ARRAY)<>", ""))
 
 
 def depth(value: Column) -> Column:

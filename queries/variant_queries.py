@@ -124,9 +124,7 @@ def _draw(tag: str) -> str:
     return f"('0x' || substr(md5('{SEED}:{tag}:events:' || i), 1, 12))::BIGINT"
 
 
-@query(
-    "variant_corruption",
-    f"""WITH keyed AS (SELECT event_id AS i, event_id % 6 AS m, md5('{SEED}:select:events:' || event_id) AS h, * FROM events),
+PLANNED_CTE = f"""keyed AS (SELECT event_id AS i, event_id % 6 AS m, md5('{SEED}:select:events:' || event_id) AS h, * FROM events),
 ranked AS (SELECT *, row_number() OVER (ORDER BY h, i) AS rk FROM keyed WHERE m <> 5),
 typed AS (SELECT *, {_draw("field")} AS fd, m IN (0, 3) AND {_draw("type")} / {SPAN}.0::DOUBLE * 3.0::DOUBLE > 1 AS format
   FROM ranked WHERE rk <= (SELECT CAST(floor(count(*) * {RATE}) AS BIGINT) FROM events)),
@@ -134,17 +132,27 @@ planned AS (SELECT *, CASE WHEN format THEN '/geo/cell' WHEN m IN (0, 1) THEN CA
   WHEN m = 2 THEN '/n' ELSE '/kind' END AS path FROM typed),
 old AS (SELECT *, CASE WHEN path = '/geo/cell' THEN CASE m WHEN 0 THEN CAST(i % 9 AS VARCHAR) ELSE '"c' || i % 4 || '"' END
   WHEN path = '/n' THEN CASE m WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN 'null' ELSE '"' || user_id || '"' END
-  ELSE CASE m WHEN 1 THEN '""' WHEN 3 THEN 'null' ELSE '"' || event_type || '"' END END AS clean_value FROM planned)
-SELECT 'dirty-' || lpad(CAST(row_number() OVER (ORDER BY i) AS VARCHAR), 6, '0') AS patch_id, i AS record_index,
+  ELSE CASE m WHEN 1 THEN '""' WHEN 3 THEN 'null' ELSE '"' || event_type || '"' END END AS clean_value,
+  'dirty-' || lpad(CAST(row_number() OVER (ORDER BY i) AS VARCHAR), 6, '0') AS patch_id FROM planned)"""
+
+
+def planned(spark, sf_dir) -> tuple:
+    clean = records(spark, sf_dir)
+    plan = corrupt.corruption_plan([clean], ERRORS, RATE, SEED, {"events": ["/geo/on"]})
+    return clean, plan, corrupt.derive_patches(plan, clean, RECIPES, {})
+
+
+@query(
+    "variant_corruption",
+    f"""WITH {PLANNED_CTE}
+SELECT patch_id, i AS record_index,
   CASE WHEN format THEN 'format_violation' ELSE 'missing_value' END AS error_type, path, clean_value,
   CASE WHEN format THEN '[' || clean_value || ']' ELSE '"(blank)"' END AS dirty_value, path AS changed FROM old""",
 )
 def variant_corruption(spark, sf_dir) -> DataFrame:
     """Plan, patch and manifest of records that have different keys, beside what a comparison of the tables finds."""
-    clean = records(spark, sf_dir)
-    plan = corrupt.corruption_plan([clean], ERRORS, RATE, SEED, {"events": ["/geo/on"]})
+    clean, plan, patches = planned(spark, sf_dir)
     fields = plan.fields("events")
-    patches = corrupt.derive_patches(plan, clean, RECIPES, {})
     dirty = corrupt.apply_patches(clean, patches, fields, plan.maybe)
     manifest = corrupt.build_manifest(clean, patches, fields, plan.maybe)
     found = cells.variant_changed_paths(clean, dirty).select("record_index", F.concat_ws(",", "paths").alias("changed"))
@@ -158,3 +166,30 @@ def variant_corruption(spark, sf_dir) -> DataFrame:
         change["dirty_value"].alias("dirty_value"),
         "changed",
     )
+
+
+@query(
+    "variant_violations",
+    f"""WITH {PLANNED_CTE}
+SELECT patch_id, CASE i % 4 WHEN 1 THEN 'renamed_nested_field' WHEN 2 THEN 'value_type' ELSE 'no_change' END AS rule FROM old WHERE i % 4 <> 0
+UNION ALL SELECT patch_id, 'ineligible_path' FROM old WHERE i % 4 = 0 AND path <> '/geo/cell'
+UNION ALL SELECT patch_id, 'unknown_path' FROM old WHERE i % 4 = 0 AND path <> '/geo/cell' AND m NOT IN (0, 3)
+UNION ALL SELECT NULL, 'stale_plan'""",
+)
+def variant_violations(spark, sf_dir) -> DataFrame:
+    """Patches that add keys, aren't JSON, change nothing or go to a place the record lacks, for a table that has changed."""
+    clean, plan, patches = planned(spark, sf_dir)
+    plan.digests = {"events": "of an earlier table"}
+    way = F.col("record_index") % 4
+    before = corrupt.build_manifest(clean, patches, plan.fields("events"), plan.maybe).select(
+        "patch_id", F.get("changes", F.lit(0))["clean_value"].alias("__old")
+    )
+
+    def bent(change):
+        value = (
+            F.when(way == 1, '{"new key":1}').when(way == 2, "{not JSON").when(way == 3, F.col("__old")).otherwise(change["value"])
+        )
+        return F.struct(F.when(way == 0, "/geo/cell").otherwise(change["path"]).alias("path"), value.alias("value"))
+
+    changed = patches.join(before, "patch_id").withColumn("changes", F.transform("changes", bent)).drop("__old")
+    return corrupt.patch_violations(plan, changed, [clean])
