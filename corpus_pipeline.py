@@ -19,24 +19,37 @@ from patina.session import configure
 BROADCAST_IDS = 1_000_000
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Each row as one column beside its text, so that no operator's columns replace its own."""
+    return docs.select(F.struct(*docs.columns).alias("row"), "text")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score is below one half; the model never sees the held-out fold."""
+    """Documents whose toxicity score is below one half; the model never sees the held-out fold.
+
+    Null and empty texts have the score of a text without any feature; repeated rows all
+    stay or all go. Columns of ``docs`` stay as they are, whatever their names; an empty
+    table gives no rows.
+    """
     configure(spark)
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn_from=learning_fold)
-    scored = toxicity.score(docs, model, keep=[*docs.columns])
-    return scored.where(F.col("predicted") == 0).select(*docs.columns)
+    scored = toxicity.score(whole_rows(docs), model, keep=["row"])
+    return scored.where(F.col("predicted") == 0).select("row.*")
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines on more than a tenth of their source's documents.
 
-    ``n_chars`` follows the text.
+    ``n_chars`` follows the text. Null texts stay null, a null source is a source of its
+    own, and repeated rows are documents of their own. Other columns stay as they are,
+    whatever their names; an empty table gives no rows.
     """
     configure(spark)
-    cleaned = linededup.drop_boilerplate(docs)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text", "source")
+    cleaned = linededup.drop_boilerplate(rows)
     length = F.coalesce(F.length("text"), F.lit(0)).cast("bigint")
-    changed = F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", changed).select(*docs.columns)
+    row = F.when(F.col("n_dropped") > 0, F.col("row").withField("text", F.col("text")).withField("n_chars", length))
+    return cleaned.select(row.otherwise(F.col("row")).alias("row")).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,14 +72,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of ten consecutive words of a benchmark item occurs."""
+    """Documents in which no window of ten consecutive words of a benchmark item occurs.
+
+    Null and empty texts hold none and stay, repeated rows too. Columns of ``docs`` stay as
+    they are, whatever their names; an empty table or benchmark gives all rows back.
+    """
     configure(spark)
-    found = decontaminate.find_passages(docs, read(spark, sf_dir, "benchmark"))
-    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+    found = decontaminate.find_passages(whole_rows(docs), read(spark, sf_dir, "benchmark"), keep=["row"])
+    return found.where(F.col("n_hit") == 0).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training order of all copies the mix takes: the columns of documents, epoch, position."""
+    """Training order of all copies the mix takes: the columns of documents, epoch, position.
+
+    Texts without words have no copies; repeated rows are documents of their own. Columns
+    named as those that mixing adds (size, source_size, target, taken, positions, epoch,
+    position) are replaced. An empty table gives no rows.
+    """
     configure(spark)
     return mixing.training_order(mixing.mix(docs))
 

@@ -233,8 +233,10 @@ def near_duplicates(
     Null vectors, zero vectors and vectors with null or non-finite components link with
     nothing; neither do vectors of different dimensions. Rows with a null key link with
     nothing: their n_links is 0, their component null, and they are kept. Equal vectors are
-    compared once, however many rows share them. Other columns are not read. An empty
-    table gives no rows.
+    compared once, however many rows share them. Rows that share a key are one point of the
+    graph. Unlike vectors whose least key is the same one each report the links of all of
+    them, so keys should be unique where n_links matters. Other columns are not read. An empty table
+    gives no rows.
     """
     ship(vectors.sparkSession)
     radius = float(np.sqrt(2 - 2 * cosine)) + SLACK

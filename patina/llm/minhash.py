@@ -180,6 +180,32 @@ def spanning_pairs(agree: np.ndarray, least: int) -> list[tuple[int, int]]:
     return edges
 
 
+def visitor_pairs(agree: np.ndarray, part: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """(row, visitor) for every part of the home rows and every visitor that agrees with it in ``least`` registers.
+
+    ``agree`` has a row for each home row and a column for each visitor, ``part`` the
+    number of each home row's part; the row given is the closest of its part.
+    """
+    order = np.argsort(part, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) != 0]))
+    best = np.maximum.reduceat(agree[order], starts, axis=0)
+    pairs = []
+    for k in np.flatnonzero((best >= least).any(axis=1)):
+        rows = order[starts[k] : starts[k + 1] if k + 1 < len(starts) else None]
+        visitors = np.flatnonzero(best[k] >= least)
+        closest = agree[np.ix_(rows, visitors)].argmax(axis=0)
+        pairs.extend(zip(rows[closest].tolist(), visitors.tolist(), strict=True))
+    return pairs
+
+
+def parts_of(n: int, edges: list[tuple[int, int]]) -> np.ndarray:
+    """The number of each row's tree in a forest; an edge leads from a row placed before."""
+    part = np.arange(n)
+    for before, now in edges:
+        part[now] = part[before]
+    return part
+
+
 def _pairs_schema(kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
 
@@ -189,21 +215,21 @@ def candidate_pairs(places: DataFrame, least: int, kind: T.DataType) -> DataFram
 
     They are not all such pairs, but enough to tie together all rows of a bucket that such
     pairs connect: a spanning forest of each chunk, and for each visitor its closest row
-    of every chunk it visits.
+    in every tree of that forest that it agrees with.
     """
     keys = ["bucket", "block_i", "block_s"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        home = ids = None
+        home = ids = part = None
         for what, table in block_events(batches, [*keys, "side"]):
             new, names = _registers(table), table.column("v").to_pylist()
             if what == "home":
                 home, ids = new, names
-                own = table.column("own")[0].as_py()
-                found = [(ids[i], ids[j]) for i, j in spanning_pairs(_agreements(home, home), least)] if own else []
+                forest = spanning_pairs(_agreements(home, home), least)
+                part = parts_of(len(ids), forest)
+                found = [(ids[i], ids[j]) for i, j in forest] if table.column("own")[0].as_py() else []
             else:
-                agree = _agreements(home, new)
-                found = [(ids[i], names[j]) for j, i in enumerate(agree.argmax(axis=0)) if agree[i, j] >= least]
+                found = [(ids[i], names[j]) for i, j in visitor_pairs(_agreements(home, new), part, least)]
             for start in range(0, len(found), 10_000):
                 yield _pair_batch(found[start : start + 10_000], table.schema.field("v").type)
 

@@ -82,3 +82,10 @@ def test_tables_without_links(spark):
     bad = spark.createDataFrame([(1, None, "x"), (2, [0.0], "x"), (None, [1.0], "x")], SCHEMA)
     assert {tuple(r) for r in embeddings.near_duplicates(bad).collect()} == {(1, 0, 1, True), (2, 0, 2, True), (None, 0, None, True)}
     assert blocks.HOME == embeddings.HOME
+
+
+def test_unlike_vectors_under_one_key_share_their_links(spark):
+    rows = [(1, [1.0, 0.0], "x"), (1, [0.0, 1.0], "x"), (2, [1.0, 0.01], "x"), (3, [0.01, 1.0], "x"), (4, [-1.0, 0.0], "x")]
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    got = sorted(tuple(r) for r in found)
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]

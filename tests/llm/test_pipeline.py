@@ -131,3 +131,16 @@ def test_run_registers(spark):
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if re.match(r"op\d+_", n))
     assert numbers == list(range(1, 14))
     assert read(spark, SF, "documents").where(F.col("doc_id").isNull()).count() == 0
+
+
+def test_stages_keep_columns_of_clashing_names_and_take_empty_tables(spark):
+    docs = read(spark, SF, "documents").limit(30)
+    clash = {"score": "a", "predicted": "b", "n_hit": "c", "n_words": "d", "spans": "e", "n_lines": "f", "n_dropped": "g", "row": "h", "kept": "i", "component": "j"}
+    wide = docs.withColumns({k: F.concat(F.lit(v), F.col("doc_id").cast("string")) for k, v in clash.items()})
+    for name, stage in pipeline.STAGES[:-1]:
+        found = stage(spark, stored(wide), SF)
+        assert found.columns == wide.columns, name
+        rows = found.collect()
+        assert rows and all(r[k] == f"{v}{r.doc_id}" for r in rows for k, v in clash.items()), name
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, stored(docs.limit(0)), SF).count() == 0, name

@@ -85,3 +85,32 @@ def test_query_on_the_given_tables(spark):
     assert found.count() == read(spark, sf, "documents").count()
     joined = found.where("held_out").join(read(spark, sf, "labels"), "doc_id").collect()
     assert joined and np.mean([r.predicted == r.toxic for r in joined]) >= 0.95
+
+
+def test_fit_against_finite_differences():
+    """A dense fit with numeric gradients of the corrected risk takes the same steps, on both sides of the correction."""
+    draw = np.random.default_rng(3)
+    x = draw.random((40, 3)) < 0.5
+    for positive, unlabelled, prior in ((x[:15], x, 0.3), (x[:30] * 0 + 1, x * 0, 0.8)):
+        positive, unlabelled = positive.astype(float), unlabelled.astype(float)
+
+        def terms(v, p=positive, u=unlabelled, prior=prior):
+            zp, zu = p @ v[:-1] + v[-1], u @ v[:-1] + v[-1]
+            loss = lambda z: float(np.mean(np.log1p(np.exp(z))))
+            return prior * loss(-zp), loss(zu) - prior * loss(zp)
+
+        def risk(v, sign):
+            plus, minus = terms(v)
+            return (plus + minus if sign else -minus) + 0.5 * 1e-4 * float(v[:-1] @ v[:-1])
+
+        v = np.append(np.zeros(3), np.log(prior / (1 - prior)))
+        m1, m2, sides = np.zeros(4), np.zeros(4), []
+        for step in range(1, 61):
+            sides.append(terms(v)[1] >= 0)
+            grad = np.array([(risk(v + e, sides[-1]) - risk(v - e, sides[-1])) / 2e-6 for e in np.eye(4) * 1e-6])
+            m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
+            v = v - 0.05 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
+            if not sides[-1]:
+                break  # a few rounding errors decide the side from here on
+        w, b = toxicity.nn_pu_fit(positive, unlabelled, prior, steps=len(sides))
+        assert np.allclose(np.append(w, b), v, atol=2e-3) and sides[-1] == (prior == 0.3)
