@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from patina.collection import INDEX, Collection
 from patina.functions import values as V
 from patina.functions.pointers import get_path, sql_text, type_at
+from patina.operators import order
 
 EVIDENCE_LIMIT = 25
 
@@ -43,6 +44,31 @@ def first_failures(found: DataFrame, limit: int = EVIDENCE_LIMIT) -> DataFrame:
     return found.withColumn("rank", rank).where(F.col("rank") <= limit)
 
 
+def first_broken(
+    broken: DataFrame, rows: int, limit: int = EVIDENCE_LIMIT, by: Sequence[str] = (), also: Sequence[str] = ()
+) -> DataFrame:
+    """How many rows ``broken`` has (per ``by`` group), and its ``limit`` smallest record indices with columns ``also``.
+
+    Counts and examples come from one job. Both add up: a bucket of records gives its own, and
+    neighbouring buckets are combined in levels, so no task holds more than one bucket's
+    failures or ``limit`` examples of ``order.FAN`` buckets. Gives violations and first, an
+    array of structs; without ``by`` exactly one row.
+    """
+
+    def combined(frame: DataFrame, keys: Sequence[str | Column], n: Column, first: Column) -> DataFrame:
+        return frame.groupBy(*keys).agg(n.alias("violations"), F.slice(F.sort_array(first), 1, limit).alias("first"))
+
+    example = F.struct(INDEX, *also)
+    level = combined(broken, [*by, order.index_bucket().alias("__bucket")], F.count(F.lit(1)), F.collect_list(example))
+    buckets = order.bucket_count(rows)
+    merged = F.sum("violations"), F.flatten(F.collect_list("first"))
+    while buckets > order.FAN:
+        level = combined(level, [*by, F.floor(F.col("__bucket") / order.FAN).alias("__bucket")], *merged)
+        buckets = order.bucket_count(buckets, order.FAN)
+    last = combined(level, by, *merged)
+    return last if by else last.withColumn("violations", F.coalesce("violations", F.lit(0)))
+
+
 def failing_records(df: DataFrame, rules: Mapping[str, Column], keys: Sequence[str] = (INDEX,)) -> DataFrame:
     """Keys of rows that break any rule."""
     ok = F.lit(True)

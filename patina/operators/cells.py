@@ -139,9 +139,12 @@ def changed_path_array(clean: Collection, dirty: Collection, a: str = "a", b: st
     ]
     tests = []
     for p in shared:
-        t = type_at(clean.schema, p)
+        t, u = type_at(clean.schema, p), type_at(dirty.schema, p)
         x, y = get_path(clean.schema, p, a), get_path(dirty.schema, p, b)
-        if isinstance(t, V.T.MapType):
+        if t != u and not (V.is_numeric(t) and V.is_numeric(u)):
+            # Other types are never cast to compare them: type-tagged texts differ unless both are null.
+            tests.append(F.when(~V.value_key(x, t).eqNullSafe(V.value_key(y, u)), F.lit(p)))
+        elif isinstance(t, V.T.MapType):
             tests.append(F.when(~V.same(x, y, t), F.lit(p)))
         else:
             sa, sb = sql_ref(clean.schema, p, a), sql_ref(dirty.schema, p, b)

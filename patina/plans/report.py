@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from patina.collection import Collection
 from patina.functions.pointers import structural_paths
-from patina.operators import compare, validate
+from patina.operators import audit, compare, validate
 from patina.operators.corrupt import table_digest
 from patina.operators.stage import stage
 from patina.plans import spec as S
@@ -58,6 +58,18 @@ class Report:
         total = F.count(F.lit(1)) if count is None else F.coalesce(F.sum(count), F.lit(0))
         self.add(name, broken.agg(total.alias("violations")), F.col("violations") == 0)
 
+    def add_broken(self, name: str, broken: DataFrame, rows: int, also: list[str], repeated: DataFrame | None = None) -> None:
+        """Passes when ``broken`` (record_index and ``also``) has no rows; shows how many it has and the first of them.
+
+        ``repeated`` adds failures that belong to no single record.
+        """
+        one = audit.first_broken(broken, rows, also=also)
+        extra = F.lit(0)
+        if repeated is not None:
+            sums = repeated.agg(F.coalesce(F.sum("failed"), F.lit(0)).alias("repeated_values"))
+            one, extra = one.crossJoin(F.broadcast(sums)), F.col("repeated_values")
+        self.add(name, one, F.col("violations") + extra == 0)
+
     def checks(self) -> DataFrame:
         out = self.spark.createDataFrame(self.decided, CHECKS_SCHEMA)
         for part in self.lazy:
@@ -120,17 +132,19 @@ def check_generated(
     if not isinstance(fields, list) or any(not isinstance(f, dict) or "path" not in f for f in fields):
         report.say("declared_field_types", False, "generation.fields must be an array of declarations")
     else:
-        report.add_none(
+        report.add_broken(
             f"declared_clean_field_constraints{tail}",
-            validate.field_constraints(clean, fields),
-            F.col("failed"),
+            validate.field_violations(clean, fields),
+            clean.count(),
+            ["path", "rule"],
+            validate.unique_constraints(clean, fields),
         )
     rules = generation.get("machine_rules") or []
     if not isinstance(rules, list):
         report.say(f"declared_clean_machine_rules{tail}", False, "machine_rules must be an array")
     else:
-        report.add_none(
-            f"declared_clean_machine_rules{tail}", validate.machine_rules(clean, rules), F.col("failed")
+        report.add_broken(
+            f"declared_clean_machine_rules{tail}", validate.rule_violations(clean, rules), clean.count(), ["rule"]
         )
     missing, direct = S.representation_problems(generation)
     report.say(f"representation_profile_declared{tail}", not missing, {"missing": missing})
@@ -188,7 +202,7 @@ def check_accounting(
         broken = broken.unionByName(
             validate.manifest_evidence(manifest, clean[c.record_path], dirty[c.record_path], c.protected)
         )
-    report.add_none("manifest_change_evidence", broken)
+    report.add_broken("manifest_change_evidence", broken, max((c.count() for c in tables), default=0), ["path", "rule"])
     if header is not None:
         check_header(report, header, made, clean, dirty, manifest, total)
 

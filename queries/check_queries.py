@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from patina import Collection
 from patina.functions import values as V
 from patina.operators import audit, compare, corrupt, validate
+from patina.plans import evidence as E
 from patina.plans import report as R
+from patina.plans import spec as S
 from queries import corrupt_queries as C
 from queries.base import query, read, table
 from queries.profile_queries import CLASSES_SQL, order_sql, union
@@ -631,6 +633,56 @@ changed AS (SELECT o_orderkey, (o.o_orderpriority <> d.o_orderpriority)::INT + (
 SELECT name, CASE WHEN ok THEN 'passed' ELSE 'failed' END AS status, 'error' AS severity FROM ({rows})"""
 
 
+EVIDENCE_RULES = {
+    "price": "o_totalprice BETWEEN 1500 AND 450000",
+    "status": "o_orderstatus <> 'P'",
+    "key": "o_orderkey >= 0",
+}
+UNBROKEN = "o_totalprice >= 0 AND o_orderstatus <> '' AND o_orderpriority <> '' AND o_orderpriority NOT LIKE '% '"
+
+
+def evidence_sql() -> str:
+    def row(section: str, name: str, figure: str, value: str, table: str = "orders", examples: str = "''") -> str:
+        return f"SELECT '{section}' AS section, '{name}' AS name, '{figure}' AS figure, CAST({value} AS DOUBLE) AS value, {examples} AS examples FROM {table}"
+
+    rows = []
+    for name, test in EVIDENCE_RULES.items():
+        first = f"(SELECT coalesce(string_agg(k, ',' ORDER BY k), '') FROM (SELECT o_orderkey AS k FROM orders WHERE NOT ({test}) ORDER BY k LIMIT 25))"
+        rows += [row("clean_rules", name, "checked", "count(*)", examples=first)]
+        rows += [row("clean_rules", name, "failed", f"count(*) FILTER (WHERE NOT ({test}))", examples=first)]
+    for side, table in (("source", "earlier"), ("clean", "orders")):
+        mean = "round(CAST(sum(CAST(o_totalprice AS DECIMAL(28,6))) AS DOUBLE) / count(*), 3)"
+        for figure, value in (("min", "min(o_totalprice)"), ("max", "max(o_totalprice)"), ("mean", mean)):
+            rows.append(row("numeric", f"/o_totalprice {side}", figure, value, table))
+    rows += [
+        row("patches", "efficacy", "patches", "count(*)", "plan"),
+        row("patches", "efficacy", "passed", f"count(*) FILTER (WHERE NOT ({UNBROKEN}))", "(SELECT d.* FROM plan JOIN dirty d ON d.o_orderkey = record_index)"),
+        row("untargeted", "records", "compared", "(SELECT count(*) FROM orders) - count(*)", "plan"),
+        row("untargeted", "records", "changed", "count(*) FILTER (WHERE p.record_index IS NULL)", "changed LEFT JOIN plan p ON p.record_index = changed.o_orderkey"),
+        row("novelty", "aligned records", "changed_value_ratio", "avg(changed)", "moved"),
+        row("novelty", "aligned records", "high_similarity_record_ratio", "avg(CAST(changed <= 0.1 AS INT))", "moved"),
+        row("overlap", "rows", "overlap_count", "count(*)", "(SELECT * FROM earlier INTERSECT SELECT * FROM orders)"),
+        row("validation", "checks", "errors", "count(*) FILTER (WHERE status = 'failed')", "report"),
+        row("validation", "checks", "warnings", "count(*) FILTER (WHERE status = 'warning')", "report"),
+    ]
+    ctes, last = report_sql().rsplit("\nSELECT name, CASE WHEN ok", 1)
+    return f"{ctes},\nreport AS (SELECT name, CASE WHEN ok{last})\n" + union(rows)
+
+
+@query("evidence_report", evidence_sql())
+def evidence_report(spark, sf_dir):
+    """All evidence about the corrupted orders and the earlier version that they come from."""
+    world = checked_world(spark, sf_dir)
+    source, clean, dirty, spec, manifest, _ = world
+    contract = S.novelty_contract(spec["generation"]["collections"][0]["novelty"])
+    rules = {name: F.expr(test) for name, test in EVIDENCE_RULES.items()}
+    report = E.evidence_report(
+        source["orders"], clean["orders"], dirty["orders"], manifest, rules, ["/o_totalprice"], F.expr(UNBROKEN), contract,
+        R.validate_collections(*world),
+    )
+    return report.withColumn("examples", F.array_join("examples", ","))
+
+
 @query("validation_report", report_sql())
 def validation_report(spark, sf_dir):
     """The whole report, header and preserved tables included."""

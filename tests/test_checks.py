@@ -1,5 +1,6 @@
 """Single checks, equality kinds, sampling guarantees, catalogue and headers."""
 
+import json
 from collections import Counter
 
 import pytest
@@ -11,7 +12,8 @@ from patina import Collection
 from patina.errors import PatinaError
 from patina.functions import pointers as ptr
 from patina.functions import values as V
-from patina.operators import catalog, cells, compare, corrupt, headers, validate
+from patina.operators import audit, catalog, cells, compare, corrupt, headers, order, validate
+from patina.plans import report as R
 
 
 def table(spark, rows, schema, **meta):
@@ -314,3 +316,29 @@ def test_foreign_patches_are_refused_where_they_are_applied(spark):
     dirty = corrupt.apply_patches(clean, patches, ["/a"], F.col("record_index") < 4)
     assert sorted(r.a for r in dirty.df.collect()) == [0, 1, 2, 4, 5, 6, 7, 7, 8, 9]
     assert corrupt.build_manifest(clean, patches, ["/a"]).count() == 1
+
+
+def test_evidence_shows_the_first_violations_and_counts_all(spark, monkeypatch):
+    monkeypatch.setattr(order, "BUCKET_ROWS", 10)
+    monkeypatch.setattr(order, "FAN", 3)
+    coll = table(spark, [(k if k % 2 else -k,) for k in range(200)], "n int")
+    broken = validate.field_violations(coll, [{"path": "/n", "minimum": 0}])
+    row = audit.first_broken(broken, 200, also=["path", "rule"]).head()
+    bad = [k for k in range(2, 200, 2)]
+    assert row["violations"] == len(bad) and [e["record_index"] for e in row["first"]] == bad[:25]
+    by_rule = audit.first_broken(broken, 200, 3, by=["rule"]).collect()
+    assert [(r["rule"], r["violations"], [e["record_index"] for e in r["first"]]) for r in by_rule] == [("minimum", len(bad), bad[:3])]
+    none = audit.first_broken(validate.field_violations(coll, []), 200).head()
+    assert none["violations"] == 0 and none["first"] == []
+    report = R.Report(spark)
+    report.add_broken("x", broken, 200, ["path", "rule"])
+    seen = report.checks().head()
+    assert seen["status"] == "failed" and json.loads(seen["evidence"])["violations"] == len(bad)
+    assert len(json.loads(seen["evidence"])["first"]) == 25
+
+
+def test_a_changed_type_is_a_change_and_no_error(spark):
+    a = table(spark, [(1, 2), (None, 3)], "n int, m int")
+    b = table(spark, [("N/A", 2.0), (None, 3.5)], "n string, m double")
+    got = {r["record_index"]: r["paths"] for r in cells.changed_paths(a, b).collect()}
+    assert got == {0: ["/n"], 1: ["/m"]}
