@@ -11,14 +11,14 @@ SCANNED_ROWS = 50
 TEXT_SHARE = 0.9
 
 
-def detect_header_rows(grid: DataFrame) -> DataFrame:
+def detect_header_rows(grid: DataFrame, scanned: int = SCANNED_ROWS) -> DataFrame:
     """(file, header_row) from ``grid(file, row_no, cells, is_text)``, rows numbered from 1.
 
-    Among the first 50 rows: the first non-empty row, unless a later row is the densest
+    Among the first ``scanned`` rows: the first non-empty row, unless a later row is the densest
     one that is nearly all unique text and at least twice as dense. Reduced per task
     with min_by and max_by, so a grid's rows are never gathered.
     """
-    near = grid.where(F.col("row_no") <= SCANNED_ROWS)
+    near = grid.where(F.col("row_no") <= scanned)
     rows = near.select(
         "file",
         "row_no",

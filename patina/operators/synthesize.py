@@ -64,16 +64,22 @@ def donor_draws(
 def attach_donors(
     drawn: DataFrame, pool: DataFrame, tags: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
-    """Fetch the drawn rows of ``pool`` (it has stratum, ordinal) as structs ``donor_<tag>``."""
-    out = drawn
-    for tag in tags:
-        donors = pool.select(
-            "stratum",
-            F.col("ordinal").alias(f"draw_{tag}"),
-            F.struct(*[F.col(f"`{c}`") for c in columns]).alias(f"donor_{tag}"),
-        )
-        out = out.join(donors, ["stratum", f"draw_{tag}"], "left")
-    return out.drop("stratum", "ordinal", "stratum_size", *[f"draw_{t}" for t in tags])
+    """Fetch the drawn rows of ``pool`` (it has stratum, ordinal) as structs ``donor_<tag>``.
+
+    Requests of all tags are one narrow table of keys that meets the donors' columns once; what
+    they find goes back to the rows by index. Whole rows take part in that last join alone.
+    """
+    requests = drawn.select(
+        INDEX,
+        "stratum",
+        F.explode(F.array(*[F.struct(F.lit(t).alias("tag"), F.col(f"draw_{t}").alias("ordinal")) for t in tags])).alias("r"),
+    ).select(INDEX, "stratum", "r.*")
+    donors = pool.select("stratum", "ordinal", F.struct(*[F.col(f"`{c}`") for c in columns]).alias("donor"))
+    found = requests.join(donors, ["stratum", "ordinal"])
+    one = lambda t: F.first(F.when(F.col("tag") == t, F.col("donor")), ignorenulls=True)
+    back = found.groupBy(INDEX).agg(*[one(t).alias(f"donor_{t}") for t in tags])
+    rows = drawn.drop("stratum", "ordinal", "stratum_size", *[f"draw_{t}" for t in tags])
+    return rows.join(back, INDEX, "left")
 
 
 def stratum_donor(

@@ -205,6 +205,49 @@ def trip_audit(spark, sf_dir):
     return audit.audit(clean.df, rules)
 
 
+CRC_SQL = """xor(4294967295, list_reduce(list_transform(string_split(event_type, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda v, k: xor(v >> 1, (v & 1) * 3988292384)), 4294967295))"""
+
+TRIPS_SQL = f"""t AS MATERIALIZED (SELECT event_id AS i, kinds % 3 + 1 AS rate, kinds % 2 + 1 AS kind, user_id % 2 + 1 AS vendor, ts AS pickup,
+    CAST(trunc(abs(value) * 60 + 1) AS BIGINT) AS stay, CAST(nullif(user_id % 6, 0) AS DOUBLE) AS riders,
+    round(abs(value) / 7 + 0.1, 2) AS distance, round(abs(value) + 3, 2) AS fare, round(abs(value) / 9, 2) AS tip,
+    event_id % 2 + 1 AS payment, CASE WHEN user_id % 3 = 0 THEN 2.75 END AS surcharge
+  FROM (SELECT *, {CRC_SQL} AS kinds FROM events)),
+pool AS MATERIALIZED (SELECT *, rate || '/' || kind || '/' AS stratum, stratum || (row_number() OVER (PARTITION BY rate, kind ORDER BY i) - 1) AS spot,
+  count(*) OVER (PARTITION BY rate, kind) AS n FROM t),
+drawn AS MATERIALIZED (SELECT *, stratum || ({hexdraw("a")} % n) AS da, stratum || ({hexdraw("b")} % n) AS db,
+  stratum || ({hexdraw("riders")} % n) AS dr, stratum || ({hexdraw("tip")} % n) AS dt,
+  0.25::DOUBLE + 0.5::DOUBLE * {unit("weight")} AS w, {hexdraw("second")} % 60 AS sec FROM pool),
+mixed AS (SELECT d.i, d.payment, d.surcharge, date_trunc('minute', d.pickup) + to_seconds(d.sec) AS pickup, r.riders,
+    round(w * a.distance + (1.0::DOUBLE - w) * b.distance, 2) AS distance, round(w * a.fare + (1.0::DOUBLE - w) * b.fare, 2) AS fare,
+    CAST(greatest(1, round_even(w * a.stay + (1.0::DOUBLE - w) * b.stay, 0)) AS BIGINT) AS stay, p.tip / greatest(p.fare, 1.0::DOUBLE) AS share
+  FROM drawn d JOIN pool a ON a.spot = d.da JOIN pool b ON b.spot = d.db JOIN pool r ON r.spot = d.dr JOIN pool p ON p.spot = d.dt),
+tipped AS (SELECT *, CASE WHEN payment = 1 THEN least(round(fare * share, 2), (SELECT max(tip) FROM t)) ELSE 0 END AS paid FROM mixed)"""
+
+
+@query(
+    "recombined_trips",
+    f"""WITH {TRIPS_SQL} SELECT i AS record_index, strftime(pickup, '%Y-%m-%d %H:%M:%S') AS pickup, stay AS seconds, riders AS passenger_count,
+  CAST(round(distance * 100) AS BIGINT) AS distance, CAST(round(fare * 100) AS BIGINT) AS fare, CAST(round(paid * 100) AS BIGINT) AS tip,
+  CAST(round((fare + 0.5 + 0.5 + paid + 1.0 + coalesce(surcharge, 0)) * 100) AS BIGINT) AS total FROM tipped""",
+)
+def recombined_trips(spark, sf_dir):
+    """Every recombined value of the taxi recipe: times, riders, and amounts in cents."""
+    clean = trips.recombine_trips(trip_table(spark, sf_dir), SEED).df
+    cents = lambda c: F.round(F.col(c) * 100, 0).cast("bigint")
+    seconds = F.unix_micros(F.col(trips.DROPOFF).cast("timestamp")) - F.unix_micros(F.col(trips.PICKUP).cast("timestamp"))
+    return clean.select(
+        "record_index",
+        F.date_format(trips.PICKUP, "yyyy-MM-dd HH:mm:ss").alias("pickup"),
+        (seconds / 1_000_000).cast("bigint").alias("seconds"),
+        "passenger_count",
+        cents("trip_distance").alias("distance"),
+        cents("fare_amount").alias("fare"),
+        cents("tip_amount").alias("tip"),
+        cents("total_amount").alias("total"),
+    )
+
+
 def day_table(spark, sf_dir) -> Collection:
     """Orders read as daily climate rows (all text), in the climate schema."""
     orders = table(spark, sf_dir, "orders")
@@ -251,6 +294,34 @@ def climate_audit(spark, sf_dir):
     return audit.audit(clean.df, climate.day_rules()).unionByName(moved)
 
 
+# Python's 0.8 - 0.2 is not 0.6; texts are rounded half up on their shortest decimal form.
+DAYS_SQL = f"""d AS MATERIALIZED (SELECT i, month(day) || '/' || gap || '/' || (snow > 0) || '/' AS stratum, low, snow, rain, depth,
+    CASE WHEN NOT gap THEN CAST(printf('%.1f', cold + 6) AS DOUBLE) END AS high
+  FROM (SELECT *, CASE WHEN status = 'F' THEN rain ELSE 0 END AS snow, CASE WHEN status = 'F' THEN '4' ELSE '' END AS depth
+    FROM (SELECT o_orderkey AS i, o_orderdate AS day, o_orderstatus AS status, o_custkey % 50 = 0 AS gap, o_totalprice / 12000 - 18 AS cold,
+      CAST(printf('%.1f', cold) AS DOUBLE) AS low, round(o_custkey % 40 / 3, 1) AS rain FROM orders))),
+pool AS MATERIALIZED (SELECT *, stratum || (row_number() OVER (PARTITION BY stratum ORDER BY i) - 1) AS spot, count(*) OVER (PARTITION BY stratum) AS n FROM d),
+drawn AS MATERIALIZED (SELECT i, stratum || ({hexdraw("a")} % n) AS da, stratum || ({hexdraw("b")} % n) AS db,
+  0.2::DOUBLE + {0.8 - 0.2!r}::DOUBLE * {unit("weight")} AS w FROM pool),
+mixed AS (SELECT d.i, a.depth, {", ".join(f"CAST(printf('%.1f', w * a.{c} + (1.0::DOUBLE - w) * b.{c}) AS DOUBLE) AS {c}" for c in ("high", "low", "rain", "snow"))}
+  FROM drawn d JOIN pool a ON a.spot = d.da JOIN pool b ON b.spot = d.db),
+means AS (SELECT *, CAST(round(CAST(CAST((high + low) / 2 AS VARCHAR) AS DECIMAL(38, 18)), 1) AS DOUBLE) AS mean FROM mixed)"""
+TENTHS = {"high": climate.MAX, "low": climate.MIN, "mean": climate.MEAN, "heat": climate.HEAT, "cool": climate.COOL, "rain": climate.RAIN, "snow": climate.SNOW}
+
+
+@query(
+    "recombined_days",
+    f"""WITH {DAYS_SQL} SELECT i AS record_index, depth, {", ".join(f"CAST(round({x} * 10) AS BIGINT) AS {n}" for n, x in {
+        **{n: n for n in TENTHS}, "heat": "CASE WHEN mean IS NOT NULL THEN greatest(18 - mean, 0) END", "cool": "CASE WHEN mean IS NOT NULL THEN greatest(mean - 18, 0) END"
+    }.items())} FROM means""",
+)
+def recombined_days(spark, sf_dir):
+    """Every recombined value of the climate recipe, in tenths."""
+    clean = climate.recombine_days(day_table(spark, sf_dir), SEED).df
+    tenths = [F.round(climate.number(c) * 10, 0).cast("bigint").alias(n) for n, c in TENTHS.items()]
+    return clean.select("record_index", F.col(f"`{climate.DEPTH}`").alias("depth"), *tenths)
+
+
 def airport_table(spark, sf_dir) -> Collection:
     """Orders read as nested airport-month statistics, one record an order."""
     orders = table(spark, sf_dir, "orders")
