@@ -8,20 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patina.llm import decontaminate, linededup, minhash, mixing, toxicity
 from patina.llm.queries import learning_fold, read
-from patina.llm.shared import broadcast_below, stored
+from patina.llm.shared import broadcast_below, free_name, stored
 from patina.session import configure
 
 BROADCAST_IDS = 1_000_000
 
 
-def whole_rows(docs: DataFrame) -> DataFrame:
-    """Each row as one column beside its text, so that no operator's columns replace its own."""
-    return docs.select(F.struct(*docs.columns).alias("row"), "text")
+def set_aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with those columns renamed that an operator's own ``names`` would replace, and how to get all back."""
+    taken = {n.lower() for n in names}
+    other = {c: free_name(docs, f"kept_{c}") for c in docs.columns if c.lower() in taken}
+    back = [F.col(other.get(c, c)).alias(c) for c in docs.columns]
+    return docs.withColumnsRenamed(other), back
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +36,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     configure(spark)
     model = toxicity.train(docs, read(spark, sf_dir, "labels"), learn_from=learning_fold)
-    scored = toxicity.score(whole_rows(docs), model, keep=["row"])
-    return scored.where(F.col("predicted") == 0).select("row.*")
+    rows, back = set_aside(docs, toxicity.RESULT)
+    return toxicity.score(rows, model).where(F.col("predicted") == 0).select(*back)
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +48,11 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     whatever their names; an empty table gives no rows.
     """
     configure(spark)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text", "source")
+    rows, back = set_aside(docs, linededup.RESULT)
     cleaned = linededup.drop_boilerplate(rows)
     length = F.coalesce(F.length("text"), F.lit(0)).cast("bigint")
-    row = F.when(F.col("n_dropped") > 0, F.col("row").withField("text", F.col("text")).withField("n_chars", length))
-    return cleaned.select(row.otherwise(F.col("row")).alias("row")).select("row.*")
+    changed = F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", changed).select(*back)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -78,8 +81,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     they are, whatever their names; an empty table or benchmark gives all rows back.
     """
     configure(spark)
-    found = decontaminate.find_passages(whole_rows(docs), read(spark, sf_dir, "benchmark"), keep=["row"])
-    return found.where(F.col("n_hit") == 0).select("row.*")
+    rows, back = set_aside(docs, decontaminate.RESULT)
+    found = decontaminate.find_passages(rows, read(spark, sf_dir, "benchmark"))
+    return found.where(F.col("n_hit") == 0).select(*back)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -125,19 +125,3 @@ def test_remaining_links_find_what_the_forest_missed(monkeypatch):
 
 def test_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
-
-
-def test_a_visitor_meets_every_tree_it_agrees_with():
-    """Rows 0 and 1 are tied to each other, row 2 to neither; visitor 0 agrees with 1 and 2, visitor 1 with none."""
-    agree = np.array([[3, 0], [9, 1], [7, 2]], np.uint8)
-    part = minhash.parts_of(3, [(0, 1)])
-    assert part.tolist() == [0, 0, 2]
-    assert sorted(minhash.visitor_pairs(agree, part, 5)) == [(1, 0), (2, 0)]
-    draw = np.random.default_rng(1)
-    for _ in range(30):
-        agree = draw.integers(0, 10, (12, 7)).astype(np.uint8)
-        part = draw.integers(0, 4, 12)
-        got = minhash.visitor_pairs(agree, part, 7)
-        want = {(p, j) for i, p in enumerate(part) for j in range(7) if agree[i, j] >= 7}
-        assert {(part[i], j) for i, j in got} == want and len(got) == len(want)
-        assert all(agree[i, j] == agree[part == part[i], j].max() for i, j in got)
