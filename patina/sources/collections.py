@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,10 +81,12 @@ def select_collection(df: DataFrame, record_path: str | None = None) -> Collecti
     """Records of one collection; ``record_index`` is the position in its array.
 
     A table of several containers must have its own ``record_index``: records are then
-    numbered container after container.
+    numbered container after container; without one they would share numbers, which is refused.
     Without a path: the collection with most records, the shallowest if they tie. A
     container without any array of objects is itself the single record.
     """
+    if INDEX not in df.columns and df.limit(2).count() > 1:
+        raise PatinaError(f"a table of several containers needs a {INDEX}")
     if record_path is None:
         found = discover_collections(df).collect()  # one row per collection
         best = max(found, key=lambda r: (r[1], -r[0].count("/"))) if found else None
@@ -107,36 +111,56 @@ def select_collection(df: DataFrame, record_path: str | None = None) -> Collecti
 
 
 def explode_documents(docs: DataFrame, record_path: str | None, variant: bool) -> Collection:
-    """Turn whole JSON documents (column ``value``) into one collection."""
-    parsed = docs.select(F.parse_json("value").alias("v"))
-    kinds = {r[0] for r in parsed.select(F.schema_of_variant("v").startswith("ARRAY<")).distinct().collect()}
-    if kinds == {True} and record_path in (None, ""):
+    """Turn whole JSON documents (columns ``file`` and ``value``) into one collection.
+
+    Records are numbered document after document, in the order of ``file``.
+    """
+    parsed = docs.select("file", F.parse_json("value").alias("v"))
+    roots = parsed.select(F.schema_of_variant("v").startswith("ARRAY<").alias("array")).distinct().collect()
+    if len(roots) > 1:
+        raise PatinaError("some documents are arrays, others are not")
+    if roots and roots[0]["array"] and record_path in (None, ""):
         rows = _exploded(parsed, F.col("v"))
         if variant:
             return Collection(rows, "", {"format": "json"})
         schema = rows.agg(F.schema_of_variant_agg("record")).head()[0]
         if not schema.startswith("OBJECT<"):
             raise PatinaError("the root array does not hold objects")
-        typed = _typed(rows, schema)
-        return Collection(typed, "", {"format": "json"})
-    schema = parsed.agg(F.schema_of_variant_agg("v")).head()[0]
-    whole = _typed(parsed.select(F.col("v").alias("record"), F.lit(0).cast("bigint").alias(INDEX)), schema)
+        return Collection(_typed(rows, schema), "", {"format": "json"})
     if variant:
         tokens = split(record_path or "")
         at = "$" + "".join(f'["{t}"]' for t in tokens)
         return Collection(_exploded(parsed, F.variant_get("v", at, "variant")), record_path or "", {"format": "json"})
-    return select_collection(whole.drop(INDEX), record_path)
+    schema = parsed.agg(F.schema_of_variant_agg("v")).head()[0]
+    places = order.with_record_index(parsed.select("file"), ["file"])
+    placed = parsed.join(places, "file").select(F.col("v").alias("record"), INDEX)
+    return select_collection(_typed(placed, schema), record_path)
 
 
 def _exploded(docs: DataFrame, array: Column) -> DataFrame:
-    """Items of a VARIANT array with their positions."""
-    held = docs.select(array.alias("__items"))
+    """Items of a VARIANT array in each document, numbered document after document."""
+    held = docs.select("file", array.alias("__items"))
+    sizes = held.select("file", F.coalesce(F.size(F.col("__items").cast("array<variant>")), F.lit(0)).alias("__size"))
+    placed = order.with_record_index(sizes, ["file"])
+    starts = order.with_running_start(placed, "__size", "__start", placed.count()).select("file", "__start")
     items = docs.sparkSession.tvf.variant_explode(F.col("__items").outer())
-    return held.lateralJoin(items).select(F.col("value").alias("record"), F.col("pos").cast("bigint").alias(INDEX))
+    found = held.join(starts, "file").lateralJoin(items)
+    return found.select(F.col("value").alias("record"), (F.col("__start") + F.col("pos")).cast("bigint").alias(INDEX))
+
+
+def struct_type(variant_schema: str) -> str:
+    """DDL of the struct type for a schema that Spark gave for VARIANT values. Names are never read as types."""
+
+    def word(found: re.Match) -> str:
+        text, colon = found.group(1), found.group(2)
+        if colon:
+            return (text if text.startswith("`") else f"`{text}`") + colon
+        return {"OBJECT": "STRUCT", "VOID": "STRING"}.get(text, text)
+
+    return re.sub(r"(`(?:[^`]|``)*`|\w+)(:?)", word, variant_schema)
 
 
 def _typed(rows: DataFrame, variant_schema: str) -> DataFrame:
     """Cast VARIANT records to the one struct type all of them fit."""
-    ddl = variant_schema.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")
-    text = rows.select(F.from_json(F.to_json("record"), ddl).alias("r"), INDEX)
+    text = rows.select(F.from_json(F.to_json("record"), F.lit(struct_type(variant_schema))).alias("r"), INDEX)
     return text.select("r.*", INDEX)

@@ -1,53 +1,40 @@
 """Readers that give every table a dense ``record_index``.
 
-Parquet keeps Spark's own row positions. Text formats have no row position Spark
-exposes, so their readers either take an order key, or keep the position that
-exploding a whole document yields.
+Parquet keeps Spark's own row positions. Lines of text are numbered from the places of
+their splits (``sources.lines``), records of JSON documents by document and place in it.
+An order key may be named instead.
 """
 
 from __future__ import annotations
 
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patina.collection import INDEX, Collection
+from patina.collection import INDEX, RECORD, Collection
 from patina.errors import PatinaError
 from patina.functions.pointers import quoted
 from patina.operators import order
+from patina.sources import lines as L
 from patina.sources.collections import explode_documents
 
-CORRUPT = "__corrupt"
 PROBE = "\x01patina\x01"  # a cell that no file holds
+READ_WHOLE = 1 << 30  # files of more bytes are hashed in blocks
+HASH_BLOCK = 8 << 20
 
 
-def _number(df: DataFrame, order_by: list[str] | None) -> DataFrame:
-    if not order_by:
-        raise PatinaError("this format has no row position; name a unique order_by key")
-    return order.with_record_index(df, order_by)
-
-
-def header_names(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
-    """Header of a delimited file, as written. Spark renames duplicates, so ask first."""
-    line = spark.read.text(path).limit(1).collect()
-    if not line:
-        raise PatinaError(f"{path}: no header row")
-    text = line[0][0].lstrip("﻿")
+def header_names(spark: SparkSession, text: str, sep: str = ",") -> list[str | None]:
+    """Cells of a header row, as written; Spark's own reader would rename duplicates."""
     schema = F.schema_of_csv(F.lit(text), {"sep": sep, "escape": '"'})
-    names_type = spark.range(1).select(schema).head()[0]
-    parsed = spark.range(1).select(
-        F.from_csv(F.lit(text), _strings_of(names_type), {"sep": sep, "escape": '"'}).alias("r")
-    )
+    ddl = spark.range(1).select(schema).head()[0]
+    width = ddl.count(": ")
+    cells = ", ".join(f"c{j} STRING" for j in range(width))
+    parsed = spark.range(1).select(F.from_csv(F.lit(text), F.lit(cells), {"sep": sep, "escape": '"'}).alias("r"))
     return list(parsed.select("r.*").head())
 
 
-def _strings_of(ddl: str) -> str:
-    width = len(T._parse_datatype_string(ddl).fields) if hasattr(T, "_parse_datatype_string") else ddl.count(":")
-    return ", ".join(f"c{j} STRING" for j in range(width))
-
-
 def check_header(names: list[str | None]) -> None:
     if any(n is None or n == "" for n in names):
         raise PatinaError("a header cell is empty")
@@ -58,23 +45,29 @@ def check_header(names: list[str | None]) -> None:
         seen.add(n)
 
 
-def _count_long_rows(spark: SparkSession, path: str, names: list[str], options: dict) -> int:
-    """Rows with more cells than the header.
+def _one_header(rows: DataFrame, place: str, text: str, path: str) -> str:
+    """The header text that all files share; ``place`` orders the rows of a file."""
+    first = rows.groupBy("file").agg(F.min_by(text, place).alias("header"))
+    found = first.groupBy("header").agg(F.min("file").alias("file")).orderBy("file").limit(2).collect()
+    if not found:
+        raise PatinaError(f"{path}: no header row")
+    if len(found) > 1:
+        raise PatinaError(f"headers differ: {found[0]['file']} and {found[1]['file']}")
+    return found[0]["header"]
+
 
-    Spark marks rows of another width. A cell put behind such a row is seen within the
-    header's width only where the row is the shorter one.
-    """
-    cells = [f"c{j}" for j in range(len(names))]
-    strings = T.StructType([T.StructField(c, T.StringType()) for c in [*cells, CORRUPT]])
-    marked = {**options, "columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
-    rows = spark.read.schema(strings).options(**marked, header=True, enforceSchema=True).csv(path)
-    # Spark refuses to read the mark alone, so another column is looked at too
-    odd = rows.where(F.col(CORRUPT).isNotNull() & (F.coalesce(F.col(cells[0]), F.lit("")) != F.lit(PROBE)))
-    longer = F.concat(CORRUPT, F.lit(options["sep"] + PROBE))
-    ddl = ", ".join(f"{c} STRING" for c in cells)
-    again = F.from_csv(longer, F.lit(ddl), {k: str(options[k]) for k in ("sep", "escape")})
-    seen = odd.select(again.alias("r")).select(F.array(*[F.col(f"r.{c}") for c in cells]).alias("cells"))
-    return seen.where(~F.coalesce(F.array_contains("cells", PROBE), F.lit(False))).count()
+def _cells(record: Column, width: int, sep: str) -> Column:
+    """Struct of ``width`` cells and one more. The probe stands behind the last cell."""
+    ddl = ", ".join(f"c{j} STRING" for j in range(width + 1))
+    return F.from_csv(F.concat(record, F.lit(sep + PROBE)), F.lit(ddl), {"sep": sep, "escape": '"'})
+
+
+def _count_long(records: DataFrame, width: int, sep: str) -> int:
+    """Records with more cells than the header. Only those with enough separators are parsed."""
+    seps = F.length("record") - F.length(F.replace("record", F.lit(sep), F.lit("")))
+    suspects = records.where(seps >= width * len(sep)).select(_cells(F.col("record"), width, sep).alias("r"))
+    probes = [F.coalesce(F.col(f"r.c{j}") == PROBE, F.lit(False)) for j in range(width + 1)]
+    return suspects.where(~F.exists(F.array(*probes), lambda hit: hit)).count()
 
 
 def read_delimited(
@@ -86,28 +79,36 @@ def read_delimited(
 ) -> Collection:
     """CSV or TSV with a header. Every cell is text; an absent cell is ``""``.
 
-    A row with more cells than the header is an error, looked for in a pass of its own.
+    Rows keep the order of the file, files of a folder follow in path order; ``order_by``
+    numbers by a unique key instead. Blank rows are passed over, line breaks inside quotes kept. All
+    files must share one header. A row with more cells than that is an error, and so is a quoted
+    cell without an end. Files are split between tasks also where cells hold line breaks.
     """
-    names = header_names(spark, path, sep)
+    lines = L.text_lines(spark, path, encoding)
+    bare = F.regexp_replace("line", r"\r\z", "")
+    if L.has_open_lines(lines, sep):
+        joined = L.join_lines(lines, sep).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
+        records = joined.where("record <> ''")
+        header = _one_header(records, "record_no", "record", path)
+        numbered = L.number_records(records)
+    else:
+        records = lines.select("file", "block", bare.alias("record")).where("record <> ''")
+        place = F.struct("block", F.monotonically_increasing_id().alias("seq")).alias("place")
+        header = _one_header(records.select("file", place, "record"), "place", "record", path)
+        numbered = L.number_lines(records, header=True)
+    names = header_names(spark, header, sep)
     check_header(names)
-    options = {"sep": sep, "escape": '"', "multiLine": True, "encoding": encoding}
-    long_rows = _count_long_rows(spark, path, names, options)
+    long_rows = _count_long(numbered, len(names), sep)
     if long_rows:
         raise PatinaError(f"{path}: {long_rows} rows have more cells than the header")
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("sep", sep)
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("encoding", encoding)
-        .option("enforceSchema", True)
-        .csv(path)
-    )
-    df = df.select(*[F.coalesce(F.col(quoted(n)), F.lit("")).alias(n) for n in names])
+    cells = numbered.select(INDEX, _cells(F.col("record"), len(names), sep).alias("r"))
+    held = [F.col(f"r.c{j}") for j in range(len(names))]
+    kept = [F.when(c == PROBE, "").otherwise(F.coalesce(c, F.lit(""))).alias(n) for c, n in zip(held, names)]
+    df = cells.select(*kept, INDEX)
+    if order_by:
+        df = order.with_record_index(df.drop(INDEX), order_by)
     kind = "tsv" if sep == "\t" else "csv"
-    return Collection(_number(df, order_by), "", {"format": kind, "delimiter": sep, "columns": names})
+    return Collection(df, "", {"format": kind, "delimiter": sep, "columns": names, "source": path})
 
 
 def read_jsonl(
@@ -115,17 +116,30 @@ def read_jsonl(
     path: str,
     order_by: list[str] | None = None,
     schema: T.StructType | None = None,
+    variant: bool = False,
 ) -> Collection:
-    """One JSON object per non-blank line; a line that is not an object is an error."""
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    bad = lines.where(
-        F.try_parse_json("value").isNull() | ~F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT<"), F.lit(False))
-    ).count()
+    """One JSON object per non-blank line; a line that is not an object is an error.
+
+    Rows keep the order of the file, files of a folder follow in path order; ``order_by``
+    numbers by a unique key instead. ``variant=True`` keeps each record as a VARIANT column
+    ``record``, so that types may differ and a missing key is no null; else without a
+    ``schema`` one type is inferred per column.
+    """
+    lines = L.text_lines(spark, path).where(F.trim(F.col("line"), F.lit(" \t\r")) != "")
+    parsed = F.try_parse_json("line")
+    kind = F.schema_of_variant(parsed)
+    bad = lines.where(~F.coalesce(kind.startswith("OBJECT<"), F.lit(False))).count()
     if bad:
         raise PatinaError(f"{path}: {bad} lines are not JSON objects")
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.json(path)
-    return Collection(_number(df, order_by), "", {"format": "jsonl"})
+    numbered = L.number_lines(lines)
+    if variant:
+        df = numbered.select(F.parse_json("line").alias(RECORD), INDEX)
+    else:
+        wanted = schema if schema is not None else spark.read.json(path).schema
+        df = numbered.select(F.from_json("line", wanted).alias("r"), INDEX).select("r.*", INDEX)
+    if order_by:
+        df = order.with_record_index(df.drop(INDEX), order_by)
+    return Collection(df, "", {"format": "jsonl", "source": path})
 
 
 def read_json(
@@ -133,8 +147,8 @@ def read_json(
 ) -> Collection:
     """JSON documents, one file each, and one collection selected from them.
 
-    The position inside the document is the record index, so order survives. A
-    document is one value and must fit a task; write large tables as JSON Lines.
+    Records are numbered document after document (in path order), in the order of their
+    array. A document is one value and must fit a task; write large tables as JSON Lines.
     ``variant=True`` keeps each record as a VARIANT column ``record``, which tells a
     missing key from a null and allows types to differ between records.
     """
@@ -192,15 +206,46 @@ def _sniff(spark: SparkSession, path: str) -> str:
     raise PatinaError(f"unknown format: {path}")
 
 
-def file_digests(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, filename, bytes, sha256) of every file, hashed where it is read."""
+def file_digests(
+    spark: SparkSession, paths: str | list[str], read_whole: int = READ_WHOLE, block: int = HASH_BLOCK
+) -> DataFrame:
+    """(path, filename, bytes, sha256) of every file, hashed where it is read.
+
+    Files of up to ``read_whole`` bytes are read by Spark as one value. Larger ones (the
+    listing alone tells) are one task each, which feeds the hash ``block`` bytes at a time.
+    Spark's file scans pass over files of no bytes, so those have no row.
+    """
     files = spark.read.format("binaryFile").load(paths)
-    return files.select(
-        "path",
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"),
-        F.col("length").alias("bytes"),
-        F.sha2("content", 256).alias("sha256"),
-    )
+    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("filename")
+    small = files.where(F.col("length") <= read_whole)
+    digests = small.select("path", name, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > read_whole).select("path", "length")
+    count = large.count()
+    if not count:
+        return digests
+
+    def hashed(batches):
+        import hashlib
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                path = row["path"]
+                if path.startswith("file:"):
+                    system, inside = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+                else:
+                    system, inside = fs.FileSystem.from_uri(path)
+                digest = hashlib.sha256()
+                with system.open_input_stream(inside) as stream:
+                    while held := stream.read(block):
+                        digest.update(held)
+                yield pa.RecordBatch.from_pydict(
+                    {"path": [path], "bytes": [row["length"]], "sha256": [digest.hexdigest()]}
+                )
+
+    streamed = large.repartition(count, "path").mapInArrow(hashed, "path string, bytes bigint, sha256 string")
+    return digests.unionByName(streamed.select("path", name, "bytes", "sha256"))
 
 
 def snapshot_audit(files: DataFrame, expected: DataFrame) -> DataFrame:

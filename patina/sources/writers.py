@@ -12,7 +12,8 @@ from patina.functions.pointers import quoted
 
 def _guard(coll: Collection, path: str) -> None:
     target = path.rstrip("/").removeprefix("file:")
-    for source in coll.df.inputFiles():
+    # Staged tables no longer know their files, so readers note the path.
+    for source in [*coll.df.inputFiles(), *filter(None, [coll.meta.get("source")])]:
         plain = source.removeprefix("file://").removeprefix("file:")
         if plain == target or plain.startswith(target + "/"):
             raise PatinaError(f"refusing to overwrite the input {path}")

@@ -61,7 +61,7 @@ SELECT CASE WHEN long > lines THEN '/extra/long' ELSE '/lines' END AS record_pat
 )
 def largest_collection(spark, sf_dir):
     """Without a path, the collection with most records is selected."""
-    got = C.select_collection(container(spark, sf_dir))
+    got = C.select_collection(container(spark, sf_dir).withColumn("record_index", F.col("doc_id")))
     return got.df.agg(F.lit(got.record_path).alias("record_path"), F.count(F.lit(1)).alias("records"))
 
 

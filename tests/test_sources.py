@@ -1,6 +1,11 @@
 """Readers and writers, on files written by the tests."""
 
+import csv
 import hashlib
+import io
+import itertools
+import json
+import random
 
 import pytest
 from pyspark.sql import Row
@@ -8,7 +13,9 @@ from pyspark.sql import functions as F
 
 from patina import Collection
 from patina.errors import PatinaError
+from patina.operators import order
 from patina.sources import collections as C
+from patina.sources import lines as L
 from patina.sources import readers as R
 from patina.sources import writers as W
 from queries import QUERIES, io_queries
@@ -65,6 +72,155 @@ def test_release_catalogue_has_bytes_and_digests(spark, tmp_path):
         assert (r.period, r.station, r.province, r["columns"]) == (None, "", "", [f"{name}_key"])
 
 
+@pytest.fixture
+def small_splits(spark):
+    """Splits of a few dozen bytes, so that small files are read by many tasks."""
+    settings = {"spark.sql.files.maxPartitionBytes": "96", "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def delimited_file(rng, rows, quoted, end):
+    """Rows of three cells as CSV text; cells hold what ``quoted`` allows."""
+    words = ["a", "", "bb c", 'x "y', '5" z', "7", " d ", "é"]
+    hard = ["q,r", 'say ""hi""', "l1\nl2", "\n\n", 'o,""\n,""', "\r\nw", "", ",", '""']
+    out = []
+    for _ in range(rows):
+        cells = [f'"{rng.choice(hard)}"' if quoted and rng.random() < 0.3 else rng.choice(words) for _ in range(3)]
+        out.append(",".join(cells) + end)
+        if rng.random() < 0.1:
+            out.append(end)  # a blank row
+    return "".join(out)
+
+
+@pytest.mark.parametrize(("quoted", "end"), [(False, "\n"), (False, "\r\n"), (True, "\n"), (True, "\r\n")])
+def test_delimited_rows_keep_the_order_of_many_files_and_splits(spark, tmp_path, small_splits, quoted, end):
+    rng = random.Random(f"{quoted}{end}")
+    want = []
+    for k in range(5):
+        text = f"a,b,c{end}" + delimited_file(rng, (0, 1, 12, 3, 20)[k], quoted, end)
+        if k == 3:
+            text = "\ufeff" + text.rstrip("\r\n")
+        (tmp_path / f"part-{k}.csv").write_bytes(text.encode())
+        rows = csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline=""))
+        want += [tuple(r) for r in list(rows)[1:] if r]
+    c = R.read_delimited(spark, str(tmp_path))
+    got = c.df.orderBy("record_index").collect()
+    assert [r.record_index for r in got] == list(range(len(want)))
+    assert [(r.a, r.b, r.c) for r in got] == want
+    assert L.has_open_lines(L.text_lines(spark, str(tmp_path)), ",") == quoted
+
+
+def test_quoted_breaks_across_buckets_and_levels(spark, tmp_path, small_splits, monkeypatch):
+    monkeypatch.setattr(order, "BUCKET_ROWS", 4)
+    monkeypatch.setattr(order, "FAN", 3)
+    rng = random.Random(5)
+    text = "a,b,c\n" + delimited_file(rng, 20, True, "\n") + '"' + "z\n" * 30 + '",1,2\n'
+    (tmp_path / "one.csv").write_text(text)
+    want = [tuple(r) for r in csv.reader(io.StringIO(text, newline="")) if r][1:]
+    got = R.read_delimited(spark, str(tmp_path)).df.orderBy("record_index").collect()
+    assert [(r.record_index, r.a, r.b, r.c) for r in got] == [(k, *r) for k, r in enumerate(want)]
+
+
+def test_quote_ends_against_a_state_machine(spark):
+    def ends(line, inside):
+        start = not inside
+        k = 0
+        while k < len(line):
+            ch = line[k]
+            if inside and ch == '"' and line[k + 1 : k + 2] == '"':
+                k += 1
+            elif inside and ch == '"':
+                inside = False
+            elif not inside and ch == '"' and start:
+                inside, start = True, False
+                k += 1
+                continue
+            start = not inside and ch == ";"
+            k += 1
+        return inside
+
+    texts = ["".join(t) for n in range(6) for t in itertools.product('";x', repeat=n)]
+    df = spark.createDataFrame([(t,) for t in texts], "line string")
+    outside, inside = L.quote_ends(F.col("line"), ";")
+    for t, o, i in df.select("line", outside, inside).collect():
+        assert (o, i) == (ends(t, False), ends(t, True)), t
+
+
+def test_folders_with_unlike_headers_or_endless_quotes_are_refused(spark, tmp_path):
+    for name, texts, message in (
+        ("swapped", ["a,b\n1,2\n", "b,a\n1,2\n"], "headers differ"),
+        ("endless", ["a,b\n1,2\n", 'a,b\n1,"2\n3,4\n'], "never ends"),
+        ("empty", ["", "\n"], "no header"),
+    ):
+        (tmp_path / name).mkdir()
+        for k, text in enumerate(texts):
+            (tmp_path / name / f"{k}.csv").write_text(text)
+        with pytest.raises(PatinaError, match=message):
+            R.read_delimited(spark, str(tmp_path / name))
+    (tmp_path / "bare").mkdir()
+    for k in range(2):
+        (tmp_path / "bare" / f"{k}.csv").write_text("a,b\n")
+    assert R.read_delimited(spark, str(tmp_path / "bare")).df.collect() == []
+
+
+def test_other_encodings(spark, tmp_path):
+    for encoding in ("UTF-8", "ISO-8859-1", "UTF-16"):
+        p = tmp_path / f"{encoding}.csv"
+        p.write_bytes('n,é\n1,"ü\nö"\n\n2,ß\n'.encode(encoding))
+        c = R.read_delimited(spark, str(p), encoding=encoding)
+        assert [tuple(r) for r in c.df.orderBy("record_index").collect()] == [("1", "ü\nö", 0), ("2", "ß", 1)]
+
+
+def test_jsonl_keeps_file_order_types_and_missing_keys(spark, tmp_path, small_splits):
+    rng, want = random.Random(3), []
+    for k in range(4):
+        rows = [rng.choice(['{"a": 1}', '{"a": "x", "b": [1]}', "{}", '{"a": null}', '{"a": 1.5}']) for _ in range((9, 0, 1, 14)[k])]
+        (tmp_path / f"{k}.jsonl").write_text("\n \n".join(rows))
+        want += [json.dumps(json.loads(r), separators=(",", ":")) for r in rows]
+    c = R.read_jsonl(spark, str(tmp_path), variant=True)
+    assert c.is_variant
+    got = c.df.orderBy("record_index").select("record_index", F.to_json("record")).collect()
+    assert [tuple(r) for r in got] == list(enumerate(want))
+    typed = R.read_jsonl(spark, str(tmp_path))
+    assert typed.count() == len(want) and typed.data_columns == ["a", "b"]
+
+
+def test_json_documents_follow_each_other(spark, tmp_path):
+    roots, boxes = tmp_path / "roots", tmp_path / "boxes"
+    roots.mkdir(), boxes.mkdir()
+    for k, n in enumerate((2, 0, 3, 1)):
+        items = [{"k": 10 * k + j, "VOID": {"OBJECT": None}} for j in range(n)]
+        (roots / f"{k}.json").write_text(json.dumps(items))
+        (boxes / f"{k}.json").write_text(json.dumps({"meta": k, "rows": items}))
+    want = [(0, 0), (1, 1), (2, 20), (3, 21), (4, 22), (5, 30)]
+    for path, at in ((roots, None), (boxes, "/rows")):
+        for variant in (False, True):
+            c = R.read_json(spark, str(path), at, variant)
+            k = F.variant_get("record", "$.k", "int") if variant else F.col("k")
+            assert [tuple(r) for r in c.df.select("record_index", k).orderBy("record_index").collect()] == want
+    assert R.read_json(spark, str(roots)).paths == ["/VOID/OBJECT", "/k"]
+    with pytest.raises(PatinaError, match="several containers"):
+        C.select_collection(spark.createDataFrame([Row(xs=[Row(a=1)]), Row(xs=[Row(a=2)])]))
+    (roots / "z.json").write_text("{}")
+    with pytest.raises(PatinaError, match="arrays"):
+        R.read_json(spark, str(roots))
+
+
+def test_large_files_are_hashed_in_blocks(spark, tmp_path):
+    for name, size in (("s p.bin", 1), ("b.bin", 999), ("c.bin", 1000), ("d.bin", 1001), ("e.bin", 70_000)):
+        (tmp_path / name).write_bytes(random.Random(name).randbytes(size))
+    got = {r.filename: r for r in R.file_digests(spark, str(tmp_path), read_whole=1000, block=64).collect()}
+    assert len(got) == 5
+    for name, r in got.items():
+        held = (tmp_path / name).read_bytes()
+        assert (r.bytes, r.sha256) == (len(held), hashlib.sha256(held).hexdigest())
+
+
 def test_bad_headers_are_refused(spark, tmp_path):
     for name, text in {"dup": "a,a\n1,2\n", "gap": "a,,c\n1,2,3\n"}.items():
         p = tmp_path / f"{name}.csv"
