@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,3 +30,8 @@ def stage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, for files that later jobs read back."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4()}"

@@ -9,8 +9,9 @@ from patina import Collection
 from patina.functions import pointers as ptr
 from patina.functions import values as V
 from patina.operators import catalog, cells, headers
+from patina.operators.stage import shared_folder
 from patina.sources import collections as C
-from patina.sources import readers
+from patina.sources import readers, writers
 from queries.base import query, read, table
 from queries.profile_queries import union
 
@@ -65,6 +66,60 @@ def largest_collection(spark, sf_dir):
     return got.df.agg(F.lit(got.record_path).alias("record_path"), F.count(F.lit(1)).alias("records"))
 
 
+# ---------------------------------------------------------------- text files
+
+
+@query(
+    "csv_records",
+    """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS record_index, CAST(doc_id AS VARCHAR) AS doc_id, coalesce(lang, '') AS lang,
+  CAST(length(coalesce(text, '')) AS INTEGER) AS chars, sha256(coalesce(text, '')) AS text_sha256 FROM documents""",
+)
+def csv_records(spark, sf_dir):
+    """Whole documents, line breaks in their cells, written as CSV files and read back in file order."""
+    path = shared_folder(spark)
+    docs = table(spark, sf_dir, "documents")
+    names = ["doc_id", "text", "lang"]
+    writers.write_delimited(Collection(docs.df.select(*names, "record_index"), "", {"columns": names}), path)
+    back = readers.read_delimited(spark, path).df
+    return back.select(
+        "record_index", "doc_id", "lang", F.length("text").alias("chars"), F.sha2("text", 256).alias("text_sha256")
+    )
+
+
+@query(
+    "tsv_records",
+    """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS record_index, CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+  o_orderstatus, o_orderpriority FROM orders""",
+)
+def tsv_records(spark, sf_dir):
+    """A TSV folder without a unique key named: rows are numbered by files and splits."""
+    path = shared_folder(spark)
+    orders = table(spark, sf_dir, "orders")
+    names = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    writers.write_delimited(Collection(orders.df.select(*names, "record_index"), "", {"columns": names}), path, "\t")
+    return readers.read_delimited(spark, path, sep="\t").df
+
+
+@query(
+    "jsonl_records",
+    """SELECT row_number() OVER (ORDER BY event_id) - 1 AS record_index, event_id % 5 <> 3 AS has_a,
+  CASE event_id % 5 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'DECIMAL' WHEN 2 THEN 'VOID' WHEN 4 THEN 'OBJECT' END AS type_of_a,
+  CASE event_id % 5 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN user_id || '.5' WHEN 2 THEN 'null'
+    WHEN 4 THEN '{"b":"' || event_type || '","c":[1]}' END AS a FROM events""",
+)
+def jsonl_records(spark, sf_dir):
+    """Records of differing types and absent keys, written as JSON Lines and read back in file order."""
+    path = shared_folder(spark)
+    base = table(spark, sf_dir, "events").df.select("record_index", F.parse_json(F.expr(MIXED_SQL)).alias("record"))
+    writers.write_jsonl(Collection(base), path)
+    at = F.variant_get("record", "$.a", "variant")
+    back = readers.read_jsonl(spark, path, variant=True).df
+    kind = F.regexp_extract(F.schema_of_variant(at), "^[A-Z]+", 0)
+    return back.select(
+        "record_index", at.isNotNull().alias("has_a"), kind.alias("type_of_a"), F.to_json(at).alias("a")
+    )
+
+
 # ---------------------------------------------------------------- cells
 
 
