@@ -132,14 +132,15 @@ def _with_last(df: DataFrame, value: str, rows: int, name: str) -> DataFrame:
 def join_lines(lines: DataFrame, sep: str) -> DataFrame:
     """(file, record_no, record) of delimited text whose quoted cells may hold line breaks.
 
-    A file whose last quoted cell never ends is an error. Only lines of records that have
+    A file whose last quoted cell never ends is an error. States are found on narrow rows, texts
+    join them once. Only lines of records that have
     several are grouped, and a group is one record.
     """
     numbered = number_lines(lines)
     outside, inside = quote_ends(F.col("line"), sep)
     tops = numbered.groupBy("file").agg(F.min(INDEX).alias("__top"), F.max(INDEX).alias("__bottom"))
     rows = numbered.join(tops, "file").select(
-        "file", INDEX, "line", outside.cast("int").alias("__out"), inside.cast("int").alias("__in"),
+        "file", INDEX, outside.cast("int").alias("__out"), inside.cast("int").alias("__in"),
         (F.col(INDEX) == F.col("__top")).alias("__is_top"), (F.col(INDEX) == F.col("__bottom")).alias("__is_bottom"),
     )
     rows = stage(rows)
@@ -157,11 +158,12 @@ def join_lines(lines: DataFrame, sep: str) -> DataFrame:
     rows = rows.withColumn("__starts", (F.col("__before") == 0).cast("bigint"))
     rows = order.with_running_start(rows, "__starts", "__earlier", n)
     number = (F.col("__earlier") + F.col("__starts") - 1).alias("record_no")
-    rows = stage(rows.select("file", INDEX, number, "line", "__before", "__after", "__is_bottom"))
+    rows = stage(rows.select("file", INDEX, number, "__before", "__after", "__is_bottom"))
     endless = rows.where(F.col("__is_bottom") & (F.col("__after") == 1)).select("file").limit(1).collect()
     if endless:
         raise PatinaError(f"{endless[0][0]}: a quoted cell never ends")
     whole = (F.col("__before") == 0) & (F.col("__after") == 0)
+    rows = rows.drop("file").join(numbered.select("file", INDEX, "line"), INDEX)
     several = rows.where(~whole).groupBy("file", "record_no").agg(F.collect_list(F.struct(INDEX, "line")).alias("held"))
     joined = F.array_join(F.transform(F.sort_array("held"), lambda x: x["line"]), "\n")
     return rows.where(whole).select("file", "record_no", F.col("line").alias("record")).unionByName(
