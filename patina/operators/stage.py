@@ -35,3 +35,13 @@ def stage(df: DataFrame) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the shared checkpoint folder, for files that later jobs read back."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{uuid.uuid4()}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared checkpoint folder: compressed, and later readers take only the columns they need.
+
+    Unlike ``stage`` it keeps neither partitions nor the order of rows.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

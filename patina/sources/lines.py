@@ -14,13 +14,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patina.collection import INDEX
 from patina.errors import PatinaError
 from patina.operators import order
-from patina.operators.stage import stage
+from patina.operators.stage import stage, stored
 
 BROADCAST_SPLITS = 100_000  # places of this many splits stay under 30 MB
 LINE_ENCODINGS = ("UTF-8", "US-ASCII", "ISO-8859-1")  # fixed values: a line feed is the one byte 0A
@@ -130,11 +130,12 @@ def _with_last(df: DataFrame, value: str, rows: int, name: str) -> DataFrame:
 
 
 def join_lines(lines: DataFrame, sep: str) -> DataFrame:
-    """(file, record_no, record) of delimited text whose quoted cells may hold line breaks.
+    """(file, record_no, rank, header, record) of delimited text whose quoted cells may hold line breaks.
 
-    A file whose last quoted cell never ends is an error. States are found on narrow rows, texts
-    join them once. Only lines of records that have
-    several are grouped, and a group is one record.
+    ``record_no`` counts the records that are not blank, over all files; ``header`` marks the first of
+    each file, and ``rank`` is the place of the file, from 1. A file whose last quoted cell never ends is an
+    error. States and numbers are found on narrow rows, texts join them once and are stored once, for
+    several jobs read them. Only lines of records that have several are grouped, and a group is one record.
     """
     numbered = number_lines(lines)
     outside, inside = quote_ends(F.col("line"), sep)
@@ -142,6 +143,7 @@ def join_lines(lines: DataFrame, sep: str) -> DataFrame:
     rows = numbered.join(tops, "file").select(
         "file", INDEX, outside.cast("int").alias("__out"), inside.cast("int").alias("__in"),
         (F.col(INDEX) == F.col("__top")).alias("__is_top"), (F.col(INDEX) == F.col("__bottom")).alias("__is_bottom"),
+        F.col("line").isin("", "\r").alias("__blank"),
     )
     rows = stage(rows)
     n = rows.count()
@@ -155,26 +157,30 @@ def join_lines(lines: DataFrame, sep: str) -> DataFrame:
     state = F.col("__last").bitwiseXOR((F.col("__swaps") % 2).cast("int"))
     rows = rows.withColumn("__before", F.when(F.col("__is_top"), 0).otherwise(state))
     rows = rows.withColumn("__after", F.when(F.col("__before") == 0, F.col("__out")).otherwise(F.col("__in")))
+    # A blank line is a record of its own where it starts outside quotes, and part of one inside.
+    rows = rows.where((F.col("__before") == 1) | ~F.col("__blank"))
     rows = rows.withColumn("__starts", (F.col("__before") == 0).cast("bigint"))
-    rows = order.with_running_start(rows, "__starts", "__earlier", n)
-    number = (F.col("__earlier") + F.col("__starts") - 1).alias("record_no")
-    rows = stage(rows.select("file", INDEX, number, "__before", "__after", "__is_bottom"))
+    rows = stage(rows.select("file", INDEX, "__before", "__after", "__is_bottom", "__starts"))
     endless = rows.where(F.col("__is_bottom") & (F.col("__after") == 1)).select("file").limit(1).collect()
     if endless:
         raise PatinaError(f"{endless[0][0]}: a quoted cell never ends")
-    whole = (F.col("__before") == 0) & (F.col("__after") == 0)
-    rows = rows.drop("file").join(numbered.select("file", INDEX, "line"), INDEX)
-    several = rows.where(~whole).groupBy("file", "record_no").agg(F.collect_list(F.struct(INDEX, "line")).alias("held"))
+    rows = order.with_running_start(rows, "__starts", "__earlier", n)
+    number = (F.col("__earlier") + F.col("__starts") - 1).alias("record_no")
+    whole = ((F.col("__before") == 0) & (F.col("__after") == 0)).alias("__whole")
+    texts = rows.select(INDEX, number, whole).join(numbered.select("file", INDEX, "line"), INDEX)
+    several = texts.where("NOT __whole").groupBy("file", "record_no").agg(F.collect_list(F.struct(INDEX, "line")).alias("held"))
     joined = F.array_join(F.transform(F.sort_array("held"), lambda x: x["line"]), "\n")
-    return rows.where(whole).select("file", "record_no", F.col("line").alias("record")).unionByName(
+    records = texts.where("__whole").select("file", "record_no", F.col("line").alias("record")).unionByName(
         several.select("file", "record_no", joined.alias("record"))
     )
+    records = stored(records.select("file", "record_no", F.regexp_replace("record", r"\r\z", "").alias("record")))
+    firsts = records.groupBy("file").agg(F.min("record_no").alias("__first"))
+    # Ranks go through one partition: one row a file.
+    ranked = firsts.select("file", "__first", F.row_number().over(Window.orderBy("__first")).cast("bigint").alias("rank"))
+    placed = records.join(ranked, "file").withColumn("header", F.col("record_no") == F.col("__first"))
+    return placed.select("file", "record_no", "rank", "header", "record")
 
 
 def number_records(records: DataFrame) -> DataFrame:
-    """Add ``record_index`` to (file, record_no, record), without the first record of each file."""
-    tops = records.groupBy("file").agg(F.min("record_no").alias("__top"))
-    kept = records.join(tops, "file").where(F.col("record_no") > F.col("__top")).drop("__top")
-    most = kept.agg(F.max("record_no")).head()[0] or 0
-    bucket = order.index_bucket(F.col("record_no"))
-    return order.number_within(kept, bucket, order.bucket_count(most + 1), ["record_no"], INDEX).drop("record_no")
+    """(record_index, record) of ``join_lines``, without the first record of each file."""
+    return records.where("NOT header").select((F.col("record_no") - F.col("rank")).alias(INDEX), "record")

@@ -65,9 +65,14 @@ def _cells(record: Column, width: int, sep: str) -> Column:
 def _count_long(records: DataFrame, width: int, sep: str) -> int:
     """Records with more cells than the header. Only those with enough separators are parsed."""
     seps = F.length("record") - F.length(F.replace("record", F.lit(sep), F.lit("")))
-    suspects = records.where(seps >= width * len(sep)).select(_cells(F.col("record"), width, sep).alias("r"))
-    probes = [F.coalesce(F.col(f"r.c{j}") == PROBE, F.lit(False)) for j in range(width + 1)]
-    return suspects.where(~F.exists(F.array(*probes), lambda hit: hit)).count()
+
+    def unprobed(r: Column) -> Column:
+        probes = [F.coalesce(r[f"c{j}"] == PROBE, F.lit(False)) for j in range(width + 1)]
+        return ~F.exists(F.array(*probes), lambda hit: hit)
+
+    # A lambda's argument is worked out once; a filter over a column of cells would parse a record for each cell.
+    parsed = F.array(_cells(F.col("record"), width, sep))
+    return records.where((seps >= width * len(sep)) & F.exists(parsed, unprobed)).count()
 
 
 def read_delimited(
@@ -87,9 +92,8 @@ def read_delimited(
     lines = L.text_lines(spark, path, encoding)
     bare = F.regexp_replace("line", r"\r\z", "")
     if L.has_open_lines(lines, sep):
-        joined = L.join_lines(lines, sep).withColumn("record", F.regexp_replace("record", r"\r\z", ""))
-        records = joined.where("record <> ''")
-        header = _one_header(records, "record_no", "record", path)
+        records = L.join_lines(lines, sep)
+        header = _one_header(records.where("header"), "record_no", "record", path)
         numbered = L.number_records(records)
     else:
         records = lines.select("file", "block", bare.alias("record")).where("record <> ''")

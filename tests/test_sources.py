@@ -126,6 +126,14 @@ def test_quoted_breaks_across_buckets_and_levels(spark, tmp_path, small_splits,
     assert [(r.record_index, r.a, r.b, r.c) for r in got] == [(k, *r) for k, r in enumerate(want)]
 
 
+def test_records_of_several_lines_are_joined_once(spark, tmp_path):
+    (tmp_path / "one.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    c = R.read_delimited(spark, str(tmp_path))
+    plan = c.df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "record_no" in plan  # what later jobs read is stored
+    assert [tuple(r) for r in c.df.orderBy("record_index").collect()] == [("1", "x\ny", 0), ("2", "z", 1)]
+
+
 def test_quote_ends_against_a_state_machine(spark):
     def ends(line, inside):
         start = not inside
