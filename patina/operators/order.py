@@ -251,6 +251,22 @@ def previous_present(values: list[str], bucket: str = "__bucket") -> list[Column
     return [F.last(v, ignorenulls=True).over(window) for v in values]
 
 
+def edge_rows(df: DataFrame, values: list[str], buckets: int, bucket: str = "__bucket") -> DataFrame:
+    """The rows that ``bucket_edges`` looks at: those with a column's first or last non-null value in their bucket.
+
+    Their indices come from a hash table of a row a bucket, so no task sorts its rows to find them.
+    """
+    ends, hit = [], F.lit(False)
+    for v in values:
+        at = F.when(F.col(v).isNotNull(), F.col(INDEX))
+        ends += [F.min(at).alias(f"__{v}_lo"), F.max(at).alias(f"__{v}_hi")]
+        hit = hit | (F.col(INDEX) == F.col(f"__{v}_lo")) | (F.col(INDEX) == F.col(f"__{v}_hi"))
+    places = df.groupBy(bucket).agg(*ends)
+    if buckets * len(ends) <= BROADCAST_BUCKETS:
+        places = F.broadcast(places)
+    return df.join(places, bucket).where(hit).select(*df.columns)
+
+
 def bucket_edges(df: DataFrame, values: list[str], buckets: int, bucket: str = "__bucket") -> DataFrame:
     """One row per bucket: each column's first non-null value, and the last one before it."""
     aggs = []

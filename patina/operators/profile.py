@@ -122,8 +122,8 @@ _PAIRS = {
     "s_inc": "CASE WHEN is_int THEN cur.whole > prev.whole ELSE cur.suffix > prev.suffix END",
     "s_dec": "CASE WHEN is_int THEN cur.whole < prev.whole ELSE cur.suffix < prev.suffix END",
     "s_eq": "CASE WHEN is_int THEN cur.whole = prev.whole ELSE cur.suffix = prev.suffix END",
-    "s_plus": "CASE WHEN is_int THEN cur.whole - prev.whole = 1 ELSE cur.suffix.digits = prev.next END",
-    "s_minus": "CASE WHEN is_int THEN cur.whole - prev.whole = -1 ELSE prev.suffix.digits = cur.next END",
+    "s_plus": "CASE WHEN is_int THEN try_subtract(cur.whole, 1L) = prev.whole ELSE cur.suffix.digits = prev.next END",
+    "s_minus": "CASE WHEN is_int THEN try_subtract(prev.whole, 1L) = cur.whole ELSE prev.suffix.digits = cur.next END",
 }
 _SAME_KIND = "cur.text = prev.text AND cur.kind = prev.kind"
 _DIGITS = r"regexp_extract({text}, r'([0-9]+)\n?\z', 1)"
@@ -150,7 +150,7 @@ def _known(df: DataFrame, names: Sequence[str], dtypes: Sequence[T.DataType]) ->
         else:
             suffix, follows = f"CAST(NULL AS {_SUFFIX})", "CAST(NULL AS STRING)"
         number = f"CAST({n} AS DOUBLE)" if V.is_numeric(t) else "CAST(NULL AS DOUBLE)"
-        whole = f"CAST({n} AS DECIMAL(38,0))" if tag == "integer" else "CAST(NULL AS DECIMAL(38,0))"
+        whole = f"CAST({n} AS BIGINT)" if tag == "integer" else "CAST(NULL AS BIGINT)"
         made[n] = F.expr(
             f"CASE WHEN {n} IS NOT NULL THEN named_struct('text', {n}_t, 'num', {number}, 'whole', {whole},"
             f" 'suffix', {suffix}, 'next', {follows}) END"
@@ -259,15 +259,18 @@ def value_table(coll: Collection, paths: Sequence[str] | None = None, ordered: b
     for p, t, n in zip(chosen, dtypes, names):
         ref = sql_ref(coll.schema, p)
         picked.append(F.expr(f"nullif({ref}, '')" if V.is_text(t) else ref).alias(n))
-    rows = _known(coll.df.select(INDEX, *picked), names, dtypes)
+    raw, before = coll.df.select(INDEX, *picked), [f"{n}_prev" for n in names]
     if ordered:
-        rows = rows.withColumn("__bucket", order.index_bucket())
-        earlier = order.previous_present(names)
-        walked = rows.select("*", *[c.alias(f"{n}_prev") for c, n in zip(earlier, names)])
-        edges = order.bucket_edges(rows, names, order.bucket_count(coll.count()))
-        long = _cells(walked, dtypes, edge=False).unionByName(_cells(edges, dtypes, edge=True))
+        # Values are walked as they are; what they are compared by is worked out behind the shuffle.
+        raw = raw.withColumn("__bucket", order.index_bucket())
+        walked = raw.select(INDEX, *names, *[c.alias(p) for c, p in zip(order.previous_present(names), before)])
+        buckets = order.bucket_count(coll.count())
+        edges = order.bucket_edges(stage(order.edge_rows(raw, names, buckets)), names, buckets)
+        long, meets = (_known(df, names + before, dtypes * 2) for df in (walked, edges))
+        long = _cells(long, dtypes, edge=False).unionByName(_cells(meets, dtypes, edge=True))
     else:
-        nulls = {f"{n}_prev": F.lit(None).cast(rows.schema[n].dataType) for n in names}
+        rows = _known(raw, names, dtypes)
+        nulls = {p: F.lit(None).cast(rows.schema[n].dataType) for n, p in zip(names, before)}
         long = _cells(rows.withColumns(nulls), dtypes, edge=False, walked=False)
     grouped = by_value(long, "path_no")
     path_names = ", ".join(sql_text(p) for p in chosen)
@@ -309,9 +312,8 @@ def order_profile(vt: DataFrame) -> DataFrame:
         F.col("long_suffix") == 1
     )
     parses = (F.col("type_tag") == "integer") | ((F.col("type_tag") == "string") & digits)
-    sums = vt.groupBy("path").agg(
-        F.min("type_tag").alias("low_tag"),
-        F.max("type_tag").alias("high_tag"),
+    # First by type, whose sums need no sort, then the few rows of a path.
+    by_type = vt.groupBy("path", "type_tag").agg(
         F.sum("n").alias("non_null_count"),
         F.count(F.lit(1)).alias("distinct_count"),
         F.count_if(F.col("n") > 1).alias("duplicate_value_count"),
@@ -320,6 +322,11 @@ def order_profile(vt: DataFrame) -> DataFrame:
         F.sum(F.when(parses, F.col("n")).otherwise(0)).alias("suffix_n"),
         *[F.expr(f"sum({s}) AS {s}") for s in _PAIRS],
     )
+    sums = by_type.groupBy("path").agg(
+        F.min("type_tag").alias("low_tag"),
+        F.max("type_tag").alias("high_tag"),
+        *[F.sum(c).alias(c) for c in by_type.columns[2:]],
+    )
     pairs = "(CASE WHEN non_null_count > 1 THEN non_null_count - 1 END)"
     # Values order where all are text or all are numbers.
     ordered = "(low_tag = 'string' AND high_tag = 'string' OR low_tag IN ('integer', 'number') AND high_tag IN ('integer', 'number'))"
@@ -720,33 +727,45 @@ def variant_counts(nodes: DataFrame, records: int) -> DataFrame:
     )
 
 
+def _variant_known(cells: DataFrame) -> DataFrame:
+    """Cells as ``paired`` takes them: ``cur`` and ``prev`` (tag, text, num) become all that they are compared by."""
+    tag, made = F.col("cur.tag"), {}
+    for side in ("cur", "prev"):
+        digits = F.when(F.col(f"{side}.tag") == "string", F.nullif(F.regexp_extract(f"{side}.text", r"([0-9]+)\n?\z", 1), F.lit("")))
+        cells = cells.withColumn(f"{side}_d", digits)
+        bare = f"CASE WHEN {side}_d IS NOT NULL AND ltrim('0', {side}_d) = '' THEN '0' ELSE ltrim('0', {side}_d) END"
+        cells = cells.withColumn(f"{side}_b", F.expr(bare))
+        made[side] = F.expr(
+            f"named_struct('text', {side}.text, 'kind', {side}.tag, 'num', CASE WHEN {side}.tag IN ('integer', 'number') THEN {side}.num END,"
+            f" 'whole', CASE WHEN {side}.tag = 'integer' THEN try_cast({side}.text AS BIGINT) END, 'suffix',"
+            f" CASE WHEN {side}_b IS NOT NULL THEN named_struct('size', length({side}_b), 'digits', {side}_b) END, 'next', {_next(f'{side}_b')})"
+        ).alias(side)
+    kinds = tag.alias("type_tag"), (tag == "string").alias("is_text"), (tag == "integer").alias("is_int")
+    return cells.select("at", "path", *kinds, made["cur"], made["prev"])
+
+
 def variant_value_table(nodes: DataFrame, records: int) -> DataFrame:
     """The ordered value table of present VARIANT values: see ``value_table``.
 
     Values of different types differ. Cells are walked by path and bucket of records; where a path
     mixes whole numbers and texts, steps between the two count neither as rise nor as fall.
     """
-    is_text, is_int = F.col("tag") == "string", F.col("tag") == "integer"
-    some = nodes.where((F.col("tag") != "null") & ~(is_text & (F.col("text") == "")))
-    digits = F.when(is_text, F.nullif(F.regexp_extract("text", r"([0-9]+)\n?\z", 1), F.lit("")))
-    bare = F.expr("CASE WHEN d IS NOT NULL AND ltrim('0', d) = '' THEN '0' ELSE ltrim('0', d) END")
-    known = F.expr(
-        "named_struct('text', text, 'kind', tag, 'num', CASE WHEN tag IN ('integer', 'number') THEN num END,"
-        " 'whole', CASE WHEN tag = 'integer' THEN try_cast(text AS DECIMAL(38,0)) END,"
-        f" 'suffix', CASE WHEN b IS NOT NULL THEN named_struct('size', length(b), 'digits', b) END, 'next', {_next('b')})"
-    )
-    rows = some.withColumn("d", digits).withColumn("b", bare).select(
-        "path", INDEX, F.col("tag").alias("type_tag"), is_text.alias("is_text"), is_int.alias("is_int"), known.alias("cur")
-    )
-    rows = rows.withColumn("__bucket", order.index_bucket())
-    before = F.lag("cur").over(Window.partitionBy("path", "__bucket").orderBy(INDEX))
-    keys = ["path", "type_tag", "is_text", "is_int"]
-    walked = rows.select(F.col(INDEX).alias("at"), *keys, "cur", before.alias("prev"))
-    first = F.min_by(F.struct(*keys[1:], "cur"), INDEX).alias("first")
-    edges = rows.groupBy("path", "__bucket").agg(first, F.max_by("cur", INDEX).alias("prev"))
+    some = nodes.where((F.col("tag") != "null") & ~((F.col("tag") == "string") & (F.col("text") == "")))
+    rows = some.select("path", INDEX, "tag", "text", "num", order.index_bucket().alias("__bucket"))
+    value = F.struct("tag", "text", "num")
+    before = F.lag(value).over(Window.partitionBy("path", "__bucket").orderBy(INDEX))
+    walked = rows.select(F.col(INDEX).alias("at"), "path", value.alias("cur"), before.alias("prev"))
+    # Places of edges come from a hash table, so that no task sorts its cells to find them.
+    places = stage(rows.groupBy("path", "__bucket").agg(F.min(INDEX).alias("__lo"), F.max(INDEX).alias("__hi")))
+    if places.count() <= order.BROADCAST_BUCKETS // 2:
+        places = F.broadcast(places)
+    at_edge = (F.col(INDEX) == F.col("__lo")) | (F.col(INDEX) == F.col("__hi"))
+    ends = stage(rows.join(places, ["path", "__bucket"]).where(at_edge).select(*rows.columns))
+    edges = ends.groupBy("path", "__bucket").agg(F.min_by(value, INDEX).alias("first"), F.max_by(value, INDEX).alias("prev"))
     lasts = order.last_before(edges.select("path", "__bucket", "prev"), "__bucket", ["prev"], order.bucket_count(records), ["path"])
-    meets = edges.select("path", "__bucket", "first.*").join(lasts, ["path", "__bucket"])
-    meets = meets.select(F.lit(None).cast("bigint").alias("at"), *keys, "cur", "prev")
+    meets = edges.select("path", "__bucket", "first").join(lasts, ["path", "__bucket"])
+    meets = meets.select(F.lit(None).cast("bigint").alias("at"), "path", F.col("first").alias("cur"), "prev")
+    walked, meets = _variant_known(walked), _variant_known(meets)
     long = paired(walked, same=_SAME_KIND).unionByName(paired(meets, edge=True, same=_SAME_KIND))
     return by_value(long, "path", "type_tag").drop("is_long")
 
@@ -760,19 +779,21 @@ def profile_variants(coll: Collection, sample_limit: int = 5) -> DataFrame:
     vt = stage(variant_value_table(held, records))
     present = held.where((F.col("tag") != "null") & ~((F.col("tag") == "string") & (F.col("text") == "")))
     text = F.when(F.col("tag") == "string", V.trimmed(F.col("text")))
-    date, stamp = V.matches(text, "iso_date"), V.matches(text, "iso_datetime")
-    times = present.where("tag = 'string'").groupBy("path").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(date).alias("dates"),
-        F.count_if(stamp).alias("stamps"),
-        F.min(F.when(date | stamp, text)).alias("min"),
-        F.max(F.when(date | stamp, text)).alias("max"),
-    )
+    date, stamp = V.matches(F.col("text"), "iso_date"), V.matches(F.col("text"), "iso_datetime")
+    # Only paths of dates alone have a range, so others are not sorted for their least and greatest text.
+    texts = present.where("tag = 'string'").select("path", text.alias("text"))
+    shares = texts.groupBy("path").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(date).alias("dates"), F.count_if(stamp).alias("stamps")
+    )
+    dated = stage(shares.where("n = dates OR n = stamps").select("path"))
+    if dated.count() <= order.BROADCAST_FILES:
+        dated = F.broadcast(dated)
+    times = texts.join(dated, "path").groupBy("path").agg(F.min("text").alias("min"), F.max("text").alias("max"))
     return _whole_profile(
         counts,
         vt,
         distribution(present.select("path", "num")),
-        times.where("n = dates OR n = stamps").select("path", "min", "max"),
+        times,
         lambda picked: _restored(picked, held, ["path", INDEX], F.col("text")),
         sample_limit,
     )
