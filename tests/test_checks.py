@@ -1,5 +1,6 @@
 """Single checks, equality kinds, sampling guarantees, catalogue and headers."""
 
+import hashlib
 import json
 from collections import Counter
 
@@ -342,3 +343,35 @@ def test_a_changed_type_is_a_change_and_no_error(spark):
     b = table(spark, [("N/A", 2.0), (None, 3.5)], "n string, m double")
     got = {r["record_index"]: r["paths"] for r in cells.changed_paths(a, b).collect()}
     assert got == {0: ["/n"], 1: ["/m"]}
+
+
+def test_digests_of_records_are_worked_out_once(spark):
+    c = Collection(spark.createDataFrame([(0, "a", 1.0), (1, None, None)], "record_index long, s string, x double"))
+    digest = c.df.select(V.fingerprint(c.schema).alias("fp"))
+    assert not digest.schema["fp"].nullable
+    assert [r.fp for r in digest.orderBy("fp").collect()] == sorted(
+        hashlib.sha256(t.encode()).hexdigest() for t in ('{"s":"a","x":1.0}', '{"s":null,"x":null}')
+    )
+    for df in (compare.row_overlap(c, c), validate.dirty_keys([c], {"": c})):
+        # A filter for nulls would repeat the digest below the shuffle.
+        assert "isnotnull(sha2" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_plan_does_not_look_for_its_records_again(spark):
+    c = Collection(spark.range(400).selectExpr("id AS record_index", "id AS x"))
+    plan = corrupt.corruption_plan([c], [corrupt.ErrorType("range_violation", 1.0, ("/x",))], "0.05", 3)
+    assert "Range (" not in plan.targets._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.targets.select("record_index").distinct().count() == 20
+
+
+def test_edge_rows_are_the_first_and_last_values_of_buckets(spark):
+    rows = [(k, k // 10, None if k % 4 else k, "x" if 12 <= k < 18 else None) for k in range(35)]
+    df = spark.createDataFrame(rows, "record_index long, __bucket long, a long, b string")
+    got = order.edge_rows(df, ["a", "b"], 4)
+    want = set()
+    for j in (2, 3):
+        for b in range(4):
+            held = [r[0] for r in rows if r[1] == b and r[j] is not None]
+            want |= {min(held), max(held)} if held else set()
+    assert sorted(r.record_index for r in got.collect()) == sorted(want)
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
