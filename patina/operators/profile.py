@@ -34,6 +34,8 @@ STEP_SHARE = 0.9
 MONOTONE_SHARE = 0.98
 SLICES = 1024  # parts that a round cuts a range of numbers into
 RANGE_ROWS = 100_000  # rows of a range that one task sorts
+WALK_GROUPS = 8  # paths' buckets of records that one task walks
+WALK_TASKS = 64  # smaller tables are walked a bucket a task, up to this many
 
 
 def _paths(coll: Collection, paths: Sequence[str] | None) -> list[str]:
@@ -753,11 +755,14 @@ def variant_value_table(nodes: DataFrame, records: int) -> DataFrame:
     some = nodes.where((F.col("tag") != "null") & ~((F.col("tag") == "string") & (F.col("text") == "")))
     rows = some.select("path", INDEX, "tag", "text", "num", order.index_bucket().alias("__bucket"))
     value = F.struct("tag", "text", "num")
-    before = F.lag(value).over(Window.partitionBy("path", "__bucket").orderBy(INDEX))
-    walked = rows.select(F.col(INDEX).alias("at"), "path", value.alias("cur"), before.alias("prev"))
     # Places of edges come from a hash table, so that no task sorts its cells to find them.
     places = stage(rows.groupBy("path", "__bucket").agg(F.min(INDEX).alias("__lo"), F.max(INDEX).alias("__hi")))
-    if places.count() <= order.BROADCAST_BUCKETS // 2:
+    groups = places.count()
+    # As many tasks as it takes, so that what one sorts does not grow with the table.
+    tasks = max(min(groups, WALK_TASKS), math.ceil(groups / WALK_GROUPS), 1)
+    before = F.lag(value).over(Window.partitionBy("path", "__bucket").orderBy(INDEX))
+    walked = rows.repartition(tasks, "path", "__bucket").select(F.col(INDEX).alias("at"), "path", value.alias("cur"), before.alias("prev"))
+    if groups <= order.BROADCAST_BUCKETS // 2:
         places = F.broadcast(places)
     at_edge = (F.col(INDEX) == F.col("__lo")) | (F.col(INDEX) == F.col("__hi"))
     ends = stage(rows.join(places, ["path", "__bucket"]).where(at_edge).select(*rows.columns))
