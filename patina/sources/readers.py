@@ -17,12 +17,17 @@ from patina.collection import INDEX, RECORD, Collection
 from patina.errors import PatinaError
 from patina.functions.pointers import quoted
 from patina.operators import order
+from patina.operators.stage import stage
 from patina.sources import lines as L
 from patina.sources.collections import explode_documents
+from patina.sources.digests import part_hasher
 
 PROBE = "\x01patina\x01"  # a cell that no file holds
-READ_WHOLE = 1 << 30  # files of more bytes are hashed in blocks
+READ_WHOLE = 128 << 20  # files of more bytes are hashed in parts
+READ_WHOLE_AT_MOST = 1 << 30  # the same where only Spark can open files
+HASH_PART = 256 << 20  # bytes of a file that one task hashes
 HASH_BLOCK = 8 << 20
+STAGED_TURNS = 32  # parts of a file after which the states are stored, to keep plans short
 
 
 def header_names(spark: SparkSession, text: str, sep: str = ",") -> list[str | None]:
@@ -211,12 +216,17 @@ def _sniff(spark: SparkSession, path: str) -> str:
 
 
 def file_digests(
-    spark: SparkSession, paths: str | list[str], read_whole: int = READ_WHOLE, block: int = HASH_BLOCK
+    spark: SparkSession,
+    paths: str | list[str],
+    read_whole: int = READ_WHOLE,
+    block: int = HASH_BLOCK,
+    part: int = HASH_PART,
 ) -> DataFrame:
     """(path, filename, bytes, sha256) of every file, hashed where it is read.
 
     Files of up to ``read_whole`` bytes are read by Spark as one value. Larger ones (the
-    listing alone tells) are one task each, which feeds the hash ``block`` bytes at a time.
+    listing alone tells) are hashed ``part`` bytes a task, ``block`` bytes at a time: SHA-256 is one chain, so
+    the tasks of a file follow each other, and hand on its state. Files go side by side.
     Spark's file scans pass over files of no bytes, so those have no row.
     """
     files = spark.read.format("binaryFile").load(paths)
@@ -224,32 +234,59 @@ def file_digests(
     small = files.where(F.col("length") <= read_whole)
     digests = small.select("path", name, F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
     large = files.where(F.col("length") > read_whole).select("path", "length")
-    count = large.count()
-    if not count:
-        return digests
+    able, hash_part = part_hasher(block)
 
-    def hashed(batches):
-        import hashlib
+    def tried(batches):
         import pyarrow as pa
-        from pyarrow import fs
 
         for batch in batches:
             for row in batch.to_pylist():
-                path = row["path"]
-                if path.startswith("file:"):
-                    system, inside = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-                else:
-                    system, inside = fs.FileSystem.from_uri(path)
-                digest = hashlib.sha256()
-                with system.open_input_stream(inside) as stream:
-                    while held := stream.read(block):
-                        digest.update(held)
-                yield pa.RecordBatch.from_pydict(
-                    {"path": [path], "bytes": [row["length"]], "sha256": [digest.hexdigest()]}
-                )
-
-    streamed = large.repartition(count, "path").mapInArrow(hashed, "path string, bytes bigint, sha256 string")
-    return digests.unionByName(streamed.select("path", name, "bytes", "sha256"))
+                opens, resumes = able(row["path"])
+                yield pa.RecordBatch.from_pydict({"opens": [opens], "resumes": [resumes]})
+
+    found = large.limit(1).mapInArrow(tried, "opens boolean, resumes boolean").head()
+    if found is None:
+        return digests
+    if not found["opens"] and read_whole < READ_WHOLE_AT_MOST:  # a store that only Spark knows
+        return file_digests(spark, paths, READ_WHOLE_AT_MOST, block, part)
+    if not found["resumes"]:
+        part = large.agg(F.max("length")).head()[0]
+    streamed = _hashed_in_parts(large, part, hash_part)
+    return digests.unionByName(streamed.select("path", name, F.col("length").alias("bytes"), "sha256"))
+
+
+def _hashed_in_parts(large: DataFrame, part: int, hash_part) -> DataFrame:
+    """Add ``sha256`` to (path, length). Each turn is a shuffle, then a task for each file that has bytes left."""
+    parts = F.ceil(F.col("length") / F.lit(part)).cast("bigint")
+    sizes = {r["parts"]: r["count"] for r in large.groupBy(parts.alias("parts")).count().collect()}
+    turns, spread = max(sizes), order.bucket_count(max(sizes.values()))
+    # Files of most parts come first, so that in each turn the files with bytes left have the lowest numbers.
+    bucket = (F.lit(turns) - parts) * spread + F.pmod(F.xxhash64("path"), F.lit(spread))
+    files = order.number_within(large, bucket, turns * spread, ["path"], "lane")
+    hashed = files.select(
+        "path", "length", "lane", F.lit(None).cast("binary").alias("state"), F.lit(None).cast("string").alias("sha256")
+    )
+
+    def turn(at: int):
+        def advanced(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                rows = batch.to_pylist()
+                for row in rows:
+                    if row["sha256"] is None:
+                        stop = min(at + part, row["length"])
+                        row["state"], row["sha256"] = hash_part(row["path"], row["length"], at, stop, row["state"])
+                yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+
+        return advanced
+
+    for k in range(turns):
+        if k and k % STAGED_TURNS == 0:
+            hashed = stage(hashed)
+        left = sum(n for p, n in sizes.items() if p > k)
+        hashed = hashed.repartitionById(left, F.col("lane").cast("int")).mapInArrow(turn(k * part), hashed.schema)
+    return hashed.select("path", "length", "sha256")
 
 
 def snapshot_audit(files: DataFrame, expected: DataFrame) -> DataFrame:

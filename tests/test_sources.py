@@ -1,6 +1,7 @@
 """Readers and writers, on files written by the tests."""
 
 import csv
+import gzip
 import hashlib
 import io
 import itertools
@@ -8,6 +9,7 @@ import json
 import random
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from patina.sources import collections as C
 from patina.sources import lines as L
 from patina.sources import readers as R
 from patina.sources import writers as W
+from patina.sources.digests import part_hasher
 from queries import QUERIES, io_queries
 
 
@@ -229,6 +232,80 @@ def test_large_files_are_hashed_in_blocks(spark, tmp_path):
         assert (r.bytes, r.sha256) == (len(held), hashlib.sha256(held).hexdigest())
 
 
+def test_large_files_are_hashed_in_parts(spark, tmp_path, monkeypatch):
+    """No task reads more than one part of one file, whatever its length, and files end in different turns."""
+    sizes = {"a.bin": 1001, "b.bin": 2000, "c.bin": 2001, "d.bin": 6000, "e.bin": 6063, "f.bin": 9999, "g.bin": 9999, "h.bin": 999}
+    (tmp_path / "in").mkdir()
+    for name, size in sizes.items():
+        (tmp_path / "in" / name).write_bytes(random.Random(name).randbytes(size))
+    (tmp_path / "in" / "z.gz").write_bytes(gzip.compress(random.Random(1).randbytes(3000)))
+    log, real = str(tmp_path / "log"), R.part_hasher
+
+    def logged(block):
+        able, hash_part = real(block)
+
+        def noted(path, length, at, stop, state):
+            with open(log, "a") as out:
+                out.write(f"{TaskContext.get().taskAttemptId()} {path} {at} {stop}\n")
+            return hash_part(path, length, at, stop, state)
+
+        return able, noted
+
+    monkeypatch.setattr(R, "part_hasher", logged)
+    monkeypatch.setattr(R, "STAGED_TURNS", 3)
+    got = R.file_digests(spark, str(tmp_path / "in"), read_whole=1000, block=300, part=1000).collect()
+    assert len(got) == len(sizes) + 1
+    for r in got:
+        held = (tmp_path / "in" / r.filename).read_bytes()
+        assert (r.bytes, r.sha256) == (len(held), hashlib.sha256(held).hexdigest())
+    reads = [line.split() for line in open(log)]
+    spans = {}
+    for task, path, at, stop in reads:
+        assert int(stop) - int(at) <= 1000
+        spans.setdefault(path[-5:], []).append((int(at), int(stop)))
+    assert len({r[0] for r in reads}) == len(reads)
+    assert len(spans["f.bin"]) == 10 and "h.bin" not in spans
+    for name, size in sizes.items():
+        if size > 1000:
+            assert sorted(spans[name]) == [(k, min(k + 1000, size)) for k in range(0, size, 1000)]
+
+
+def test_a_part_needs_no_earlier_bytes(tmp_path):
+    able, hash_part = part_hasher(64)
+    p, held = tmp_path / "f", random.Random(5).randbytes(1000)
+    for cut in (1, 63, 64, 65, 128, 999):
+        p.write_bytes(held)
+        state, none = hash_part(f"file:{p}", 1000, 0, cut, None)
+        assert none is None
+        p.write_bytes(bytes(cut) + held[cut:])
+        assert hash_part(f"file:{p}", 1000, cut, 1000, state) == (None, hashlib.sha256(held).hexdigest())
+    assert able(f"file:{p}") == (True, True)
+    assert able(f"file:{p}.gone") == able("nowhere://f") == (False, False)
+    with pytest.raises(EOFError):
+        hash_part(f"file:{p}", 1001, 0, 1001, None)
+
+
+@pytest.mark.parametrize("opens", [False, True])
+def test_files_are_hashed_where_parts_cannot_be(spark, tmp_path, monkeypatch, opens):
+    """Stores that only Spark opens: one value a file. A library without a state to hand on: one task a file."""
+    held = random.Random(9).randbytes(5000)
+    (tmp_path / "f.bin").write_bytes(held)
+    real = R.part_hasher
+
+    def hindered(block):
+        hash_part = real(block)[1]
+
+        def whole(path, length, at, stop, state):
+            assert opens and (at, stop) == (0, length)
+            return hash_part(path, length, at, stop, state)
+
+        return (lambda path: (opens, False)), whole
+
+    monkeypatch.setattr(R, "part_hasher", hindered)
+    row = R.file_digests(spark, str(tmp_path), read_whole=1000, block=300, part=1000).head()
+    assert (row["filename"], row["bytes"], row["sha256"]) == ("f.bin", 5000, hashlib.sha256(held).hexdigest())
+
+
 def test_bad_headers_are_refused(spark, tmp_path):
     for name, text in {"dup": "a,a\n1,2\n", "gap": "a,,c\n1,2,3\n"}.items():
         p = tmp_path / f"{name}.csv"
