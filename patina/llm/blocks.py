@@ -49,7 +49,7 @@ def by_block(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys, "side")
 
 
-def _runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, int, int]]:
+def key_runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, int, int]]:
     """Runs of rows with equal keys: (key, first row, row after the last)."""
     n = batch.num_rows
     change = np.zeros(n + 1, bool)
@@ -70,7 +70,7 @@ def block_events(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
     """
     now, ready, waiting = None, None, []
     for batch in batches:
-        for key, a, b in _runs(batch, keys):
+        for key, a, b in key_runs(batch, keys):
             part = pa.Table.from_batches([batch.slice(a, b - a)])
             block, side = key[:-1], key[-1]
             if waiting and (block != now or side):

@@ -3,8 +3,11 @@
 On unit vectors cosine >= c means distance <= r = sqrt(2 - 2c). Pivots cut the space into
 cells, each vector living in the cell of its nearest pivot. By the triangle inequality a
 vector can only link into a cell whose pivot is at most r farther than the cell's radius,
-and lies at most 2r farther from it than its own pivot; only into such cells is it copied.
-Cells are then joined independently, each in blocks of bounded size.
+and lies at most 2r farther from it than its own pivot; only such vectors are compared.
+
+Cells are cut into chunks, a row each, which are stored once. A chunk meets those chunks that
+the inequalities leave as Spark's nested loop reads them again, so no vector is copied for the
+vectors it is compared with, and what is written grows as the table does.
 """
 
 from __future__ import annotations
@@ -13,39 +16,53 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patina.llm.blocks import HOME, SLICE, block_events, by_block
+from patina.llm.blocks import HOME, SLICE, key_runs
 from patina.llm.components import connected_components
 from patina.llm.shared import ship, stored
 
 COSINE = 0.95
-CELL_ROWS = 4096  # vectors that a cell should hold
-PIVOTS = 256  # vectors drawn as pivots, at most; larger cells are cut into chunks
+CELL_ROWS = 16_384  # vectors that a cell should hold
+PIVOTS = 1024  # vectors drawn as pivots, at most; larger cells are cut into chunks
 SLACK = 1e-6  # added to distances, far above rounding
-VISITS = HOME * SLICE  # visitors that one task streams
+VISITS = HOME * SLICE  # vectors of a chunk, at most
+CHUNK_BYTES = 1 << 24  # of a chunk's vectors in double precision, at most
+SPREAD = 24  # chunks that a table is cut into at least, of HOME vectors or more
+TILE = 512  # visitors that HOME vectors are compared with at a time
 
 
 def usable(vector: str) -> F.Column:
     """Whether a vector can link: not null, all components finite, not all zero."""
-    values = F.transform(vector, lambda x: x.cast("double"))
-    finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return F.coalesce(F.col(vector).isNotNull() & finite & F.exists(values, lambda x: x != 0.0), F.lit(False))
+    least, most, far = F.array_min(vector).cast("double"), F.array_max(vector).cast("double"), F.lit(float("inf"))
+    finite = (most < far) & (least > -far)  # NaN is above all
+    return F.coalesce(finite & ((most != 0.0) | (least != 0.0)) & F.forall(vector, lambda x: x.isNotNull()), F.lit(False))
 
 
-def _matrix(table, name: str = "vector") -> np.ndarray:
-    """Unit vectors of one dimension, in double precision."""
-    column = table.column(name)
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(float)
-    out = flat.reshape(len(column), -1)
+def digests(vector: str) -> list[F.Column]:
+    """128 bits that stand for a vector, h1 and h2; 0.0 and -0.0 are one value."""
+    return [F.xxhash64(F.lit(seed), vector).alias(f"h{seed}") for seed in (1, 2)]
+
+
+def _unit(values: np.ndarray) -> np.ndarray:
+    """Vectors scaled to length one, in double precision."""
+    values = values.astype(float)
     # Scaling by the largest component first keeps squares of tiny and huge values in range.
-    out = out / np.abs(out).max(axis=1, keepdims=True)
+    out = values / np.abs(values).max(axis=1, keepdims=True)
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
 
 
+def _values(table, name: str = "vector") -> np.ndarray:
+    """Vectors of one dimension as they are; in double precision unless they are in single."""
+    column = table.column(name)
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float32 if flat.dtype == np.float32 else float).reshape(len(column), -1)
+
+
 def _by_dimension(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, pa.RecordBatch]]:
     """Rows of each dimension: (dimension, row numbers, rows)."""
     sizes = batch.column("dim").to_numpy(zero_copy_only=False)
@@ -58,167 +75,284 @@ def _distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, 2 - 2 * (vectors @ pivots.T)))
 
 
-def draw_pivots(distinct: DataFrame, rows: int) -> dict[int, np.ndarray]:
+def draw_pivots(vectors: DataFrame, rows: int) -> dict[int, np.ndarray]:
     """Unit pivots of each dimension, drawn by a hash of the vector; at most ``PIVOTS`` in all."""
     wanted = int(np.clip(np.ceil(rows / CELL_ROWS), 1, PIVOTS))
-    drawn = distinct.orderBy(F.xxhash64("rep"), "rep").limit(wanted).select("dim", "vector").toArrow()
+    slots = 1 << 30
+    place = F.pmod(F.xxhash64(F.lit(3), "vector"), F.lit(slots))
+    # Rows below the cut are a few times as many as wanted, as copies may be among them.
+    cut = min(slots, int(slots * (4 * wanted + 64) / max(rows, 1)))
+    some = vectors.where(place < cut).where(usable("vector")).select("dim", "vector").distinct()
+    drawn = some.orderBy(place, "vector").limit(wanted).toArrow()
     if not drawn.num_rows:
         return {}
     batch = drawn.combine_chunks().to_batches()[0]
-    return {dim: _matrix(part) for dim, _, part in _by_dimension(batch)}
-
+    return {dim: _unit(_values(part)) for dim, _, part in _by_dimension(batch)}
 
-def assign_cells(distinct: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
-    """Add the cell of each vector and its distance to every pivot of its dimension."""
-    sent = distinct.sparkSession.sparkContext.broadcast(pivots)
-    schema = T.StructType([*distinct.schema, *T.StructType.fromDDL("cell int, away array<double>")])
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for dim, _, part in _by_dimension(batch):
-                near = sent.value.get(dim)
-                away = _distances(_matrix(part), near) if near is not None else np.zeros((part.num_rows, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(away.argmin(axis=1).astype(np.int32)), pa.array(list(away))],
-                    names=schema.names,
-                )
-
-    return distinct.mapInArrow(assign, schema)
+def _merged(table: pa.Table) -> pa.Table:
+    """One row per distinct vector: its least rep, its copies added up."""
+    first = table.column("h1").to_numpy()
+    if len(np.unique(first)) == len(first):
+        return table
+    table = table.take(pc.sort_indices(table, sort_keys=[(name, "ascending") for name in ("h1", "h2", "rep")]))
+    first, second = table.column("h1").to_numpy(), table.column("h2").to_numpy()
+    starts = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
+    copies = np.add.reduceat(table.column("copies").to_numpy(), starts)
+    at = table.schema.get_field_index("copies")
+    return table.take(pa.array(starts)).set_column(at, table.schema.field(at), pa.array(copies))
 
 
-LINKS = "n_links bigint"
+def _chunk_rows(rows: int, dim: int) -> int:
+    """Vectors of one dimension that a chunk should hold."""
+    return max(1, min(int(np.clip(-(-rows // SPREAD), HOME, VISITS)), CHUNK_BYTES // (8 * dim)))
 
 
-def _compare(cells: DataFrame, kind: T.DataType, cosine: float) -> DataFrame:
-    """What each block finds: (u, n_links, v): links of u, and a vector that u hangs together with.
+def assign_cells(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """Put each vector (rep, vector, copies, dim) into the cell of its nearest pivot; one row per chunk of a cell.
 
-    A block gives one row per linked vector, not one per pair: its links weighted by copies,
-    and the least vector that links within the block connect it to.
+    Equal vectors become one, with the least rep and all copies. A chunk holds its vectors, their reps,
+    copies and digests, its cell's pivot and how far from it they reach; and for every pivot the least
+    distance of its vectors (``least``) and by how much that pivot is farther than their own at least (``gap``).
     """
-    keys = ["dim", "cell", "block_i", "block_s"]
-    schema = T.StructType([T.StructField("u", kind), *T.StructType.fromDDL(LINKS), T.StructField("v", kind)])
+    sent = vectors.sparkSession.sparkContext.broadcast(pivots)
+    rows = vectors.select("dim", "rep", "copies", "vector", *digests("vector"))
+    schema = T.StructType([*rows.schema, *T.StructType.fromDDL("cell int, chunk int")])
+
+    def away(unit: np.ndarray, dim: int) -> np.ndarray:
+        near = sent.value.get(dim)
+        return _distances(unit, near) if near is not None else np.zeros((len(unit), 1))
+
+    def place(chunks: dict[tuple[int, int], int]) -> DataFrame:
+        """Distinct vectors of a batch with their cells, each of which is cut into so many chunks by the digest."""
+
+        def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for dim, _, part in _by_dimension(batch):
+                    part = _merged(pa.Table.from_batches([part])).combine_chunks().to_batches()[0]
+                    cells = away(_unit(_values(part)), dim).argmin(axis=1).astype(np.int32)
+                    cuts = np.array([chunks.get((dim, c), 1) for c in range(cells.max() + 1)])
+                    chunk = (part.column("h1").to_numpy() % cuts[cells]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells), pa.array(chunk)], names=schema.names)
+
+        return rows.mapInArrow(assign, schema)
+
+    sizes = place({}).groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n")).collect()  # a row per pivot
+    total = sum(r.n for r in sizes)
+    chunks = {(r.dim, r.cell): -(-r.n // _chunk_rows(total, r.dim)) for r in sizes}
+    keys = ["dim", "cell", "chunk"]
+    kind = vectors.schema["rep"].dataType
+    packed = T.StructType(
+        [
+            *T.StructType.fromDDL("dim int, cell int, chunk int, vectors binary"),
+            T.StructField("reps", T.ArrayType(kind)),
+            *T.StructType.fromDDL("copies array<bigint>, h1 array<bigint>, h2 array<bigint>"),
+            *T.StructType.fromDDL("pivot array<double>, reach double, least array<double>, gap array<double>"),
+        ]
+    )
 
-    def linked(a: np.ndarray, a32: np.ndarray, b: np.ndarray, b32: np.ndarray) -> np.ndarray:
-        """Pairs at or above the cosine; single precision only rules out, doubles decide."""
-        rows, columns = np.nonzero(a32 @ b32.T >= cosine - 1e-4)
-        sure = np.empty(len(rows), bool)
-        for start in range(0, len(rows), 65_536):
-            r, c = rows[start : start + 65_536], columns[start : start + 65_536]
-            sure[start : start + 65_536] = (a[r] * b[c]).sum(axis=1) >= cosine
-        return np.stack([rows[sure], columns[sure]])
-
-    def forest(n: int, pairs: np.ndarray) -> np.ndarray:
-        """Least row number that pairs connect each of n rows to."""
-        root = np.arange(n)
-        a, b = pairs
-        while True:
-            low = np.minimum(root[a], root[b])
-            new = root.copy()
-            np.minimum.at(new, root[a], low)
-            np.minimum.at(new, root[b], low)
-            new = new[new]
-            if (new == root).all():
-                return root
-            root = new
-
-    def emit(names: list, counts: np.ndarray, roots: np.ndarray, like: pa.DataType):
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([names[k] for k in some], like),
-                pa.array(counts[some]),
-                pa.array([names[roots[k]] for k in some], like),
-            ],
-            names=["u", "n_links", "v"],
+    def pack(key: tuple, parts: list[pa.Table]) -> pa.RecordBatch:
+        table, (dim, cell, _) = _merged(pa.concat_tables(parts)).combine_chunks(), key
+        values, near = _values(table), sent.value.get(dim)
+        far = away(_unit(values), dim)
+        own = far[:, cell]
+        held = [table.column(c).chunk(0) for c in ("rep", "copies", "h1", "h2")]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in held]
+        rest = [near[cell] if near is not None else np.empty(0), own.max(), far.min(axis=0), (far - own[:, None]).min(axis=0)]
+        start = [pa.array([x], pa.int32()) for x in key]
+        return pa.RecordBatch.from_arrays(
+            [*start, pa.array([values.tobytes()], pa.binary()), *lists, *(pa.array([x]) for x in rest)], names=packed.names
         )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        home = home32 = names = copies = None
-        for what, table in block_events(batches, [*keys, "side"]):
-            like = table.schema.field("rep").type
-            vectors, ids = _matrix(table), table.column("rep").to_pylist()
-            weights = table.column("copies").to_numpy()
-            if what == "home":
-                home, home32, names, copies = vectors, vectors.astype(np.float32), ids, weights
-                if not table.column("own")[0].as_py():
-                    continue
-                a, b = linked(home, home32, home, home32)
-                apart = a < b
-                pairs = np.stack([a[apart], b[apart]])
-                found, n, known, heavy = pairs, len(home), ids, weights
-            else:
-                a, b = linked(home, home32, vectors, vectors.astype(np.float32))
-                n, known = len(home) + len(ids), names + ids
-                heavy = np.append(copies, weights)
-                found = np.stack([a, b + len(home)])
-            if found.shape[1]:
-                counts = np.bincount(found[0], heavy[found[1]], n) + np.bincount(found[1], heavy[found[0]], n)
-                yield from emit(known, counts.astype(np.int64), forest(n, found), like)
-
-    return by_block(cells, *keys).mapInArrow(compare, schema)
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, waiting = None, []
+        for batch in batches:
+            for key, a, b in key_runs(batch, keys):
+                if waiting and key != now:
+                    yield pack(now, waiting)
+                    waiting = []
+                now = key
+                waiting.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+        if waiting:
+            yield pack(now, waiting)
+
+    dealt = place(chunks).repartition(max(1, sum(chunks.values())), *keys)
+    return dealt.sortWithinPartitions(*keys).mapInArrow(gather, packed)
 
 
 def cell_blocks(placed: DataFrame, radius: float) -> DataFrame:
-    """Copies of vectors for the blocks in which they are compared.
+    """The pairs of chunks that are compared: a chunk with itself (side 0) or with a visitor (side 1).
 
-    A vector is at home in one chunk of its own cell. It visits the earlier chunks of that
-    cell, and all chunks of every earlier cell that the triangle inequality doesn't rule
-    out, so each pair meets in one block. Long lines of visitors are cut into slices.
+    A chunk visits the earlier chunks of its own cell, and chunks of every earlier cell that
+    the triangle inequality doesn't rule out for all its vectors, so each pair of vectors meets in one row.
     """
-    cells = placed.groupBy("dim", "cell").agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.element_at("away", F.col("cell") + 1)).alias("reach")
-    )
-    known = {(r.dim, r.cell): (r.n, r.reach) for r in cells.collect()}  # a row per pivot
-    chunk_counts = {key: int(np.ceil(n / HOME)) for key, (n, _) in known.items()}
-    sizes = F.create_map(*[F.lit(x) for (d, c), k in chunk_counts.items() for x in (f"{d}:{c}", k)])
-    reaches = F.create_map(*[F.lit(x) for (d, c), (_, far) in known.items() for x in (f"{d}:{c}", float(far))])
-    name = lambda c: F.concat_ws(":", F.col("dim").cast("string"), c.cast("string"))
-    own = F.element_at("away", F.col("cell") + 1)
-    near = F.filter(
-        F.sequence(F.lit(0), F.size("away") - 1),
-        lambda c: (c < F.col("cell"))
-        & (F.element_at("away", c + 1) <= own + 2 * radius)
-        & (F.element_at("away", c + 1) <= F.coalesce(F.try_element_at(reaches, name(c)), F.lit(-1.0)) + radius),
-    )
-    rows = placed.withColumn("chunks", F.element_at(sizes, name(F.col("cell")))).withColumn(
-        "chunk", F.pmod(F.xxhash64(F.lit(7), "rep"), F.col("chunks")).cast("int")
+    kept = ["dim", "cell", "chunk", "vectors", "reps", "copies", "pivot", "reach"]
+    home = placed.select(*(F.col(c).alias(f"home_{c}") for c in kept))
+    visitor = placed.select(*(F.col(c).alias(f"visitor_{c}") for c in kept), "least", "gap")
+    at = F.col("home_cell")
+    near = (F.get("least", at) <= F.col("home_reach") + radius) & (F.get("gap", at) <= 2 * radius)
+    earlier = F.when(at == F.col("visitor_cell"), F.col("home_chunk") <= F.col("visitor_chunk")).otherwise(
+        (at < F.col("visitor_cell")) & near
     )
-    at = lambda cell, i, s, side, mine: F.struct(
-        cell.cast("int").alias("cell"), i.cast("int").alias("block_i"), s.cast("int").alias("slice"),
-        F.lit(side).alias("side"), F.lit(mine).alias("own"),
-    )
-    draw = F.pmod(F.xxhash64(F.lit(11), "rep"), F.lit(1 << 20)).cast("int")
-    before = F.when(F.col("chunk") > 0, F.sequence(F.lit(0), F.col("chunk") - 1)).otherwise(F.array().cast("array<int>"))
-    visits = F.concat(
-        F.transform(before, lambda i: at(F.col("cell"), i, draw, 1, False)),
-        F.flatten(
-            F.transform(
-                near,
-                lambda c: F.transform(
-                    F.sequence(F.lit(0), F.element_at(sizes, name(c)) - 1), lambda i: at(c, i, draw, 1, False)
-                ),
-            )
-        ),
+    # An equality would bring all chunks of a dimension into one task.
+    meet = (F.abs(F.col("home_dim") - F.col("visitor_dim")) < 1) & earlier
+    alone = (at == F.col("visitor_cell")) & (F.col("home_chunk") == F.col("visitor_chunk"))
+    pairs = home.join(visitor.hint("shuffle_replicate_nl"), meet).drop("least", "gap", "visitor_dim")
+    return pairs.withColumn("side", F.when(alone, 0).otherwise(1)).withColumn(
+        "visitor_vectors", F.when(~alone, F.col("visitor_vectors"))
     )
-    base = ["dim", "rep", "copies", "vector"]
-    visiting = rows.select(*base, F.explode(visits).alias("p"))
-    # How many visitors a block gets decides into how many slices its line is cut.
-    lines = visiting.groupBy("dim", "p.cell", "p.block_i").agg(F.count(F.lit(1)).alias("line"))
-    slices = lines.select(
-        "dim", "cell", "block_i", F.greatest(F.lit(1), F.ceil(F.col("line") / VISITS)).cast("int").alias("slices")
-    )
-    home = rows.select(*base, "cell", F.col("chunk").alias("block_i"))
-    at_home = (
-        home.join(slices, ["dim", "cell", "block_i"], "left")
-        .withColumn("block_s", F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)))
-        .select(*base, "cell", "block_i", "block_s", F.lit(0).alias("side"), (F.col("block_s") == 0).alias("own"))
-    )
-    visitors = (
-        visiting.select(*base, "p.*")
-        .join(slices, ["dim", "cell", "block_i"])
-        .select(*base, "cell", "block_i", F.pmod("slice", "slices").alias("block_s"), "side", "own")
-    )
-    return at_home.unionByName(visitors)
+
+
+LINKS = "n_links bigint"
+
+
+def leading_directions(pivots: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Orthonormal columns, of each dimension, along which vectors are compared first.
+
+    The directions of the pivots come first. Few are taken as they cost less than whole vectors;
+    dimensions with little to save have none.
+    """
+    out = {}
+    for dim, near in pivots.items():
+        k = 19 + dim // 16
+        if k < 0.7 * dim:
+            along = np.linalg.svd(near, full_matrices=False)[2][:k]
+            more = np.random.default_rng(dim).normal(size=(dim, k))
+            out[dim] = np.linalg.qr(np.hstack([along.T, more]))[0][:, :k]
+    return out
+
+
+def _shortened(unit: np.ndarray, along: np.ndarray | None) -> np.ndarray:
+    """Vectors whose products bound the cosines from above: coordinates along some directions, and the length of the rest."""
+    if along is None:
+        return unit.astype(np.float32)
+    lead = unit @ along
+    rest = np.sqrt(np.maximum(0, 1 - (lead * lead).sum(axis=1)))
+    return np.column_stack([lead, rest]).astype(np.float32)
+
+
+def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Join the trees of ``a`` and ``b``, pair by pair; every row points to the least of its tree, before and after."""
+    root = root.copy()
+    while True:
+        x, y = root[a], root[b]
+        if (x == y).all():
+            return root
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+class _Rows:
+    """Vectors of a chunk, sorted by their distance to a pivot."""
+
+    def __init__(self, unit: np.ndarray, along: np.ndarray | None, away: np.ndarray, copies: np.ndarray, rows: np.ndarray):
+        order = rows[np.argsort(away[rows], kind="stable")]
+        self.rows, self.away, self.copies = order, away[order], copies[order].astype(float)
+        self.unit = unit[order]
+        self.single = self.unit.astype(np.float32)
+        self.short = _shortened(self.unit, along)
+
+
+def _links(home: _Rows, visitors: _Rows, alone: bool, cosine: float, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links of home rows and then visitors, weighted by copies, and the least row that these connect each to.
+
+    Where ``alone`` holds, both are the same rows and numbered once. Single precision only
+    decides where it is beyond its rounding; doubles decide the rest.
+    """
+    start = 0 if alone else len(home.rows)
+    n = start + len(visitors.rows)
+    counts, root = np.zeros(n), np.arange(n)
+    rounding = max(1e-4, (home.unit.shape[1] + 4) * 2.0**-22)
+    low, high = cosine - rounding, cosine + rounding
+    across = np.ascontiguousarray(visitors.short.T)
+    space = np.empty(HOME * TILE, np.float32)
+    for s in range(0, len(home.rows), HOME):
+        e = min(s + HOME, len(home.rows))
+        first = np.searchsorted(visitors.away, home.away[s] - radius)
+        last = np.searchsorted(visitors.away, home.away[e - 1] + radius, "right")
+        for f in range(max(first, s) if alone else first, last, TILE):
+            t = min(f + TILE, last)
+            bound = np.matmul(home.short[s:e], across[:, f:t], out=space[: (e - s) * (t - f)].reshape(e - s, t - f))
+            if bound.max() < low:
+                continue
+            a = np.flatnonzero(bound.max(axis=1) >= low)
+            b = f + np.flatnonzero(bound[a].max(axis=0) >= low)
+            a += s
+            score = home.single[a] @ visitors.single[b].T
+            hit = score >= low
+            if alone:
+                hit &= a[:, None] < b
+            r, c = np.nonzero(hit & (score < high))
+            for k in range(0, len(r), 65_536):
+                i, j = r[k : k + 65_536], c[k : k + 65_536]
+                hit[i, j] = (home.unit[a[i]] * visitors.unit[b[j]]).sum(axis=1) >= cosine
+            if not hit.any():
+                continue
+            weights = hit.astype(float)
+            counts[a] += weights @ visitors.copies[b]
+            b += start
+            counts[b] += home.copies[a] @ weights
+            # A first link of every row and column joins most trees; what is left apart takes further turns.
+            while (apart := hit & (root[a][:, None] != root[b])).any():
+                r, c = np.flatnonzero(apart.any(axis=1)), np.flatnonzero(apart.any(axis=0))
+                ends = np.append(a[r], a[apart[:, c].argmax(axis=0)]), np.append(b[apart[r].argmax(axis=1)], b[c])
+                root = unite(root, *ends)
+    return counts.astype(np.int64), root
+
+
+def _compare(cells: DataFrame, kind: T.DataType, cosine: float, radius: float, along: dict[int, np.ndarray]) -> DataFrame:
+    """What each pair of chunks finds: (u, n_links, v): links of u, and a vector that u hangs together with.
+
+    A pair gives one row per linked vector, not one per link: its links weighted by copies,
+    and the first vector that links within the pair connect it to.
+    """
+    sent = cells.sparkSession.sparkContext.broadcast(along)
+    schema = T.StructType([T.StructField("u", kind), *T.StructType.fromDDL(LINKS), T.StructField("v", kind)])
+
+    def vectors(held, dim: int, n: int) -> np.ndarray:
+        data = held.as_buffer()
+        return _unit(np.frombuffer(data, np.float32 if data.size == 4 * n * dim else float).reshape(n, dim))
+
+    def away(unit: np.ndarray, pivot: np.ndarray) -> np.ndarray:
+        return _distances(unit, pivot[None])[:, 0] if len(pivot) else np.zeros(len(unit))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = whole = None
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {name: batch.column(name)[k] for name in batch.schema.names}
+                dim, cell, there = (row[x].as_py() for x in ("home_dim", "home_cell", "visitor_cell"))
+                held = [row[f"{x}_reps"].values for x in ("home", "visitor")]
+                copies = [row[f"{x}_copies"].values.to_numpy() for x in ("home", "visitor")]
+                pivots = [row[f"{x}_pivot"].values.to_numpy() for x in ("home", "visitor")]
+                directions, alone = sent.value.get(dim), row["side"].as_py() == 0
+                if key != (dim, cell, row["home_chunk"].as_py()):
+                    key, unit = (dim, cell, row["home_chunk"].as_py()), vectors(row["home_vectors"], dim, len(held[0]))
+                    own = away(unit, pivots[0])
+                    whole = _Rows(unit, directions, own, copies[0], np.arange(len(unit)))
+                home = whole
+                if alone:
+                    visitors = home
+                else:
+                    other = vectors(row["visitor_vectors"], dim, len(held[1]))
+                    to_home, some = away(other, pivots[0]), np.arange(len(other))
+                    if cell != there:
+                        reach = [row[f"{x}_reach"].as_py() for x in ("home", "visitor")]
+                        some = np.flatnonzero(to_home <= np.minimum(away(other, pivots[1]) + radius, reach[0]) + radius)
+                        near = np.flatnonzero(away(unit, pivots[1]) <= np.minimum(own + radius, reach[1]) + radius)
+                        if len(near) < len(unit):
+                            home = _Rows(unit, directions, own, copies[0], near)
+                    visitors = _Rows(other, directions, to_home, copies[1], some)
+                counts, root = _links(home, visitors, alone, cosine, radius)
+                linked = np.flatnonzero(counts)
+                if len(linked):
+                    names = held[0].take(pa.array(home.rows))
+                    names = names if alone else pa.concat_arrays([names, held[1].take(pa.array(visitors.rows))])
+                    found = [names.take(pa.array(linked)), pa.array(counts[linked]), names.take(pa.array(root[linked]))]
+                    yield pa.RecordBatch.from_arrays(found, names=schema.names)
+
+    return cells.mapInArrow(compare, schema)
 
 
 def near_duplicates(
@@ -233,7 +367,7 @@ def near_duplicates(
     Null vectors, zero vectors and vectors with null or non-finite components link with
     nothing; neither do vectors of different dimensions. Rows with a null key link with
     nothing: their n_links is 0, their component null, and they are kept. Equal vectors are
-    compared once, however many rows share them. Rows that share a key are one point of the
+    compared once, however many rows share them; 128 bits of hash tell them apart. Rows that share a key are one point of the
     graph. Unlike vectors whose least key is the same one each report the links of all of
     them, so keys should be unique where n_links matters. Other columns are not read. An empty table
     gives no rows.
@@ -242,36 +376,35 @@ def near_duplicates(
     radius = float(np.sqrt(2 - 2 * cosine)) + SLACK
     kind = vectors.schema[key].dataType
     rows = vectors.select(F.col(key).alias("id"), F.col(vector).alias("vector"))
-    rows = rows.withColumn("good", usable("vector") & F.col("id").isNotNull())
-    distinct = stored(
-        rows.where("good")
-        .groupBy("vector")
-        .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-        .withColumn("dim", F.size("vector"))
+    linkable = F.col("id").isNotNull() & F.col("vector").isNotNull()
+    some = rows.where(linkable).select(
+        F.col("id").alias("rep"), "vector", F.lit(1).cast("bigint").alias("copies"), F.size("vector").alias("dim")
     )
-    n = distinct.count()
-    lone = rows.select(F.col("id").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
-    if not n:
-        return lone.withColumn("kept", F.lit(True))
-    placed = stored(assign_cells(distinct, draw_pivots(distinct, n)))
-    found = stored(_compare(cell_blocks(placed, radius), kind, cosine))
+    pivots = draw_pivots(some, rows.count())
+    placed = stored(assign_cells(some.where(usable("vector")), pivots))
+    found = stored(_compare(cell_blocks(placed, radius), kind, cosine, radius, leading_directions(pivots)))
     links = found.groupBy(F.col("u").alias("rep")).agg(F.sum("n_links").alias("others"))
     tied = connected_components(found.select("u", "v")).select(F.col("u").alias("rep"), "component")
+    # Rows find their vector's class by its digest, so vectors are not moved again.
     classes = (
-        distinct.select("vector", "rep", "copies")
+        placed.select(F.explode(F.arrays_zip(F.col("reps").alias("rep"), "copies", "h1", "h2")).alias("x"))
+        .select("x.*")
         .join(links, "rep", "left")
         .join(tied, "rep", "left")
         .select(
-            "vector",
+            "h1",
+            "h2",
             (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("component", "rep").alias("component"),
         )
     )
-    linked = rows.where("good").join(classes, "vector").select(
-        F.col("id").alias(key), "n_links", F.col("component").alias("component_id")
-    )
-    alone = rows.where(~F.col("good")).select(
-        F.col("id").alias(key), F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id")
+    own = F.col("id").alias(key)
+    linked = (
+        rows.where(linkable)
+        .select("id", *digests("vector"))
+        .join(classes, ["h1", "h2"], "left")
+        .select(own, F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     )
+    alone = rows.where(~linkable).select(own, F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
     kept = F.col(key).isNull() | (F.col(key) == F.col("component_id"))
     return linked.unionByName(alone).withColumn("kept", kept)

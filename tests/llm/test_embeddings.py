@@ -89,3 +89,66 @@ def test_unlike_vectors_under_one_key_share_their_links(spark):
     found = embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     got = sorted(tuple(r) for r in found)
     assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]
+
+
+def test_long_vectors_are_ruled_out_by_their_leading_directions(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 40)
+    monkeypatch.setattr(embeddings, "HOME", 8)
+    monkeypatch.setattr(embeddings, "VISITS", 24)
+    monkeypatch.setattr(embeddings, "TILE", 5)
+    rows = vectors(n=220, dim=64, seed=11)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = sorted((tuple(r) for r in embeddings.near_duplicates(frame).collect()), key=str)
+    wanted = expected(rows, 0.95)
+    assert got == wanted and any(n > 3 for _, n, *_ in wanted)
+    assert embeddings.leading_directions({64: np.eye(64)[:5], 8: np.eye(8)}).keys() == {64}
+
+
+def test_keys_of_text_double_precision_and_negative_zero(spark):
+    rows = [("b", [-0.0, 1.0, 0.0]), ("a", [0.0, 1.0, 0.0]), ("c", [0.0, 3.0, 0.1]), ("d", [5.0, 0.0, 0.0]), (None, [0.0, 1.0, 0.0])]
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, "name string, v array<double>"), "v", "name").collect()
+    wanted = {("a", 2, "a", True), ("b", 2, "a", False), ("c", 2, "a", False), ("d", 0, "d", True), (None, 0, None, True)}
+    assert {tuple(r) for r in found} == wanted
+
+
+def test_vectors_are_written_once_however_many_they_are_compared_with(spark, monkeypatch, tmp_path, capsys):
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 50)
+    monkeypatch.setattr(embeddings, "HOME", 8)
+    monkeypatch.setattr(embeddings, "VISITS", 16)
+    even = np.random.default_rng(5).normal(size=(400, 16))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(even)]
+    frame = spark.createDataFrame(rows, "rep long, vector array<double>").selectExpr("rep", "vector", "1L AS copies", "16 AS dim")
+    embeddings.assign_cells(frame, embeddings.draw_pivots(frame, 400)).write.parquet(str(tmp_path / "chunks"))
+    chunks = spark.read.parquet(str(tmp_path / "chunks"))
+    pairs = embeddings.cell_blocks(chunks, math.sqrt(0.1) + embeddings.SLACK)
+    pairs.explain()
+    # Chunks that meet are read again: an exchange would write every vector as often as it is compared.
+    assert "Exchange" not in capsys.readouterr().out
+    sizes = [len(r.reps) for r in chunks.collect()]
+    assert sum(sizes) == 400 and len(sizes) > 20 and max(sizes) < 60
+    assert pairs.where("side = 1").count() > 5 * len(sizes)
+
+
+
+def test_cells_apart_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL_ROWS", 50)
+    draw = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in np.eye(16)[i % 8] + draw.normal(size=16) * 0.01]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "rep long, vector array<double>").selectExpr("rep", "vector", "1L AS copies", "16 AS dim")
+    pivots = {16: np.eye(16)[:8]}
+    pairs = embeddings.cell_blocks(embeddings.assign_cells(frame, pivots), math.sqrt(0.1) + embeddings.SLACK)
+    assert pairs.groupBy("side").count().collect() == [(0, 8)]
+
+
+def test_trees_join_as_pairs_come():
+    draw = np.random.default_rng(2)
+    for _ in range(20):
+        a, b = draw.integers(60, size=(2, 45))
+        root = np.arange(60)
+        for part in np.array_split(np.arange(45), 4):
+            root = embeddings.unite(root, a[part], b[part])
+        wanted = np.arange(60)
+        for _ in range(60):
+            np.minimum.at(wanted, a, wanted[b])
+            np.minimum.at(wanted, b, wanted[a])
+        assert (root == wanted).all()
