@@ -33,6 +33,7 @@ VISITS = HOME * SLICE  # vectors of a chunk, at most
 CHUNK_BYTES = 1 << 24  # of a chunk's vectors in double precision, at most
 SPREAD = 24  # chunks that a table is cut into at least, of HOME vectors or more
 TILE = 512  # visitors that HOME vectors are compared with at a time
+AWAY = 1 << 20  # distances to pivots that a task holds at a time
 
 
 def usable(vector: str) -> F.Column:
@@ -119,9 +120,13 @@ def assign_cells(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame
     rows = vectors.select("dim", "rep", "copies", "vector", *digests("vector"))
     schema = T.StructType([*rows.schema, *T.StructType.fromDDL("cell int, chunk int")])
 
-    def away(unit: np.ndarray, dim: int) -> np.ndarray:
+    def away(unit: np.ndarray, dim: int) -> Iterator[np.ndarray]:
+        """Distances to all pivots, of some vectors after the other."""
         near = sent.value.get(dim)
-        return _distances(unit, near) if near is not None else np.zeros((len(unit), 1))
+        step = AWAY // len(near) if near is not None else len(unit)
+        for s in range(0, len(unit), step):
+            part = unit[s : s + step]
+            yield _distances(part, near) if near is not None else np.zeros((len(part), 1))
 
     def place(chunks: dict[tuple[int, int], int]) -> DataFrame:
         """Distinct vectors of a batch with their cells, each of which is cut into so many chunks by the digest."""
@@ -130,7 +135,8 @@ def assign_cells(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame
             for batch in batches:
                 for dim, _, part in _by_dimension(batch):
                     part = _merged(pa.Table.from_batches([part])).combine_chunks().to_batches()[0]
-                    cells = away(_unit(_values(part)), dim).argmin(axis=1).astype(np.int32)
+                    far = away(_unit(_values(part)), dim)
+                    cells = np.concatenate([x.argmin(axis=1) for x in far]).astype(np.int32)
                     cuts = np.array([chunks.get((dim, c), 1) for c in range(cells.max() + 1)])
                     chunk = (part.column("h1").to_numpy() % cuts[cells]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells), pa.array(chunk)], names=schema.names)
@@ -154,11 +160,11 @@ def assign_cells(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame
     def pack(key: tuple, parts: list[pa.Table]) -> pa.RecordBatch:
         table, (dim, cell, _) = _merged(pa.concat_tables(parts)).combine_chunks(), key
         values, near = _values(table), sent.value.get(dim)
-        far = away(_unit(values), dim)
-        own = far[:, cell]
+        far = [(x[:, cell].max(), x.min(axis=0), (x - x[:, [cell]]).min(axis=0)) for x in away(_unit(values), dim)]
+        reach, least, gap = max(x[0] for x in far), np.min([x[1] for x in far], axis=0), np.min([x[2] for x in far], axis=0)
         held = [table.column(c).chunk(0) for c in ("rep", "copies", "h1", "h2")]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in held]
-        rest = [near[cell] if near is not None else np.empty(0), own.max(), far.min(axis=0), (far - own[:, None]).min(axis=0)]
+        rest = [near[cell] if near is not None else np.empty(0), reach, least, gap]
         start = [pa.array([x], pa.int32()) for x in key]
         return pa.RecordBatch.from_arrays(
             [*start, pa.array([values.tobytes()], pa.binary()), *lists, *(pa.array([x]) for x in rest)], names=packed.names

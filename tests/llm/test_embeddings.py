@@ -96,6 +96,7 @@ def test_long_vectors_are_ruled_out_by_their_leading_directions(spark, monkeypat
     monkeypatch.setattr(embeddings, "HOME", 8)
     monkeypatch.setattr(embeddings, "VISITS", 24)
     monkeypatch.setattr(embeddings, "TILE", 5)
+    monkeypatch.setattr(embeddings, "AWAY", 30)
     rows = vectors(n=220, dim=64, seed=11)
     frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = sorted((tuple(r) for r in embeddings.near_duplicates(frame).collect()), key=str)
